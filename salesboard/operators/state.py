@@ -78,10 +78,19 @@ def latest_base(spark: SparkSession, state_root: str) -> tuple[DataFrame | None,
     return base.where(F.col("hw") == hw).drop("hw"), int(hw)
 
 
-def read_state(spark: SparkSession, state_root: str, measure: str | None = None) -> DataFrame:
-    """Current ``(measure, key, amt)``: compacted base plus newer deltas."""
+def read_state(spark: SparkSession, state_root: str, measure: str | None = None,
+               up_to_batch: int | None = None) -> DataFrame:
+    """Current ``(measure, key, amt)``: compacted base plus newer deltas.
+
+    ``up_to_batch`` reads the state as of that batch (deltas after it are
+    ignored), so a replayed batch sees exactly what it saw the first time.
+    """
     base, hw = latest_base(spark, state_root)
+    if up_to_batch is not None and base is not None and hw > up_to_batch:
+        raise ValueError(f"batch {up_to_batch} is already folded into base hw={hw}")
     d = read_deltas(spark, state_root).where(F.col("batch_id") > hw)
+    if up_to_batch is not None:
+        d = d.where(F.col("batch_id") <= up_to_batch)
     parts = d.select("measure", "key", F.col("delta").alias("amt"))
     if base is not None:
         parts = base.select("measure", "key", "amt").unionByName(parts)

@@ -1 +1,7 @@
 """Query catalogue (Spark side) and its SQL twins (oracle side)."""
+
+
+def all_queries():
+    """``{name: (fn, sql | None)}`` with every module's entries registered."""
+    from salesboard.plans import catalog, live_queries  # noqa: F401  (registration)
+    return dict(catalog.QUERIES)

@@ -63,8 +63,9 @@ def start_offsets(offsets: DataFrame) -> DataFrame:
     entries = F.transform(ordered, lambda e: F.struct(
         e["partition"].cast("string").alias("k"), e["next_offset"].alias("v")))
     per_topic = offsets.groupBy("topic").agg(F.map_from_entries(entries).alias("p"))
-    nested = per_topic.agg(F.map_from_entries(F.array_sort(F.collect_list(
-        F.struct("topic", "p")))).alias("m"))
+    by_topic = F.array_sort(F.collect_list(F.struct("topic", "p")), lambda a, b: (
+        F.when(a["topic"] < b["topic"], -1).when(a["topic"] > b["topic"], 1).otherwise(0)))
+    nested = per_topic.agg(F.map_from_entries(by_topic).alias("m"))
     return nested.select(
         F.when(F.size("m") > 0, F.to_json("m")).otherwise(F.lit(EARLIEST)).alias("starting_offsets"))
 

@@ -109,7 +109,8 @@ def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> None:
     finally:
         slim.unpersist()
     if cfg.serve:
-        snap = serving_snapshot(read_state(spark, cfg.state_root), lag_seconds=cfg.lag_seconds)
+        state = read_state(spark, cfg.state_root, up_to_batch=batch_id)
+        snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds)
         write_partitioned(snap.select("*", *tag), cfg.serving, "stream_id", "batch_id")
 
 
