@@ -93,6 +93,11 @@ def rank_in_groups(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     firsts = s.groupBy("_p", *group).agg(F.min("_m").alias("_m0"), F.count("*").alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_p")
     firsts = firsts.withColumn("_before", F.sum("_n").over(w) - F.col("_n"))
-    out = s.join(firsts, ["_p", *group])
+    f = firsts.select(F.col("_p").alias("_fp"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
+                      "_m0", "_before")
+    cond = F.col("_p") == F.col("_fp")
+    for i, g in enumerate(group):          # null-safe: a null group is a group too
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    out = s.join(f, cond)
     pos = (F.col("_before") + F.col("_m") - F.col("_m0") + 1).alias(name)
     return out.select(*[F.col(c) for c in df.columns], pos)

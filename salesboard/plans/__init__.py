@@ -3,5 +3,5 @@
 
 def all_queries():
     """``{name: (fn, sql | None)}`` with every module's entries registered."""
-    from salesboard.plans import catalog, live_queries  # noqa: F401  (registration)
+    from salesboard.plans import catalog, client_queries, live_queries  # noqa: F401
     return dict(catalog.QUERIES)
