@@ -101,5 +101,4 @@ def round0(x) -> Column:
 
 def price_low(text) -> Column:
     """A price may be a range ``low - high``: keep the text before the first ``-``."""
-    t = _c(text)
-    return F.trim(F.when(t.contains("-"), F.split_part(t, F.lit("-"), F.lit(1))).otherwise(t))
+    return F.trim(F.substring_index(_c(text), "-", 1))

@@ -16,6 +16,7 @@ from salesboard.functions.scalar import price_low
 from salesboard.schema import (
     BAD_ARITY,
     BAD_PRICE,
+    FIELD_SEPARATOR,
     N_FIELDS,
     PRICE_TYPE,
     RECORD_FIELDS,
@@ -23,17 +24,31 @@ from salesboard.schema import (
     VALID_SALE_COLUMNS,
 )
 
-_TRAILING_SEPARATORS = r"\^+$"
 _SEPARATOR_RE = r"\^"
 
 
+def _body(value) -> Column:
+    """The record without trailing separators (so trailing empty fields drop)."""
+    v = value if isinstance(value, Column) else F.col(value)
+    return F.rtrim(v, F.lit(FIELD_SEPARATOR))
+
+
 def split_record(value) -> Column:
     """Split on a literal ``^``; trailing empty fields are dropped.
 
     ``'a^b^^'`` -> ``['a', 'b']``; plain ``split`` would keep the two empties.
     """
-    v = value if isinstance(value, Column) else F.col(value)
-    return F.split(F.regexp_replace(v, _TRAILING_SEPARATORS, ""), _SEPARATOR_RE)
+    return F.split(_body(value), _SEPARATOR_RE)
+
+
+def field_count(body: Column) -> Column:
+    """Number of fields of a trimmed body, without splitting it."""
+    return F.length(body) - F.length(F.replace(body, F.lit(FIELD_SEPARATOR), F.lit(""))) + 1
+
+
+def field_at(body: Column, i: int) -> Column:
+    """Field ``i`` (0-based) of a body, without splitting it (valid when i < count)."""
+    return F.substring_index(F.substring_index(body, FIELD_SEPARATOR, i + 1), FIELD_SEPARATOR, -1)
 
 
 def name_fields(fields: Column) -> list[Column]:
@@ -58,19 +73,26 @@ def parse_records(raw: DataFrame, value_col: str = "value",
 
     ``status`` is null for a valid row, else ``bad_arity`` / ``bad_price``.
     ``carry`` columns of ``raw`` (offsets, ingest time, ...) are kept.
+
+    Plan shape: the status inputs (field count, price field) are scalar
+    string scans of the trimmed body, so when the optimizer pushes a
+    ``status`` filter below this projection it copies only cheap
+    expressions; the full split runs once per row, above the filter.
     """
-    f = split_record(F.col(value_col))
     stage = raw.select(*[F.col(c) for c in carry], F.col(value_col).alias("value"),
-                       f.alias("_f"))
-    price = price_cast(price_low(F.get(F.col("_f"), RECORD_FIELDS.index("current_price"))))
-    n = F.size("_f")
-    return stage.select(
+                       _body(F.col(value_col)).alias("_b"))
+    b = F.col("_b")
+    n = field_count(b)
+    price = price_cast(price_low(field_at(b, RECORD_FIELDS.index("current_price"))))
+    typed = stage.select(*[F.col(c) for c in carry], "value", n.alias("n_fields"),
+                         F.split(b, _SEPARATOR_RE).alias("_f"), price.alias("price"))
+    return typed.select(
         *[F.col(c) for c in carry],
         "value",
-        n.alias("n_fields"),
+        "n_fields",
         *name_fields(F.col("_f")),
-        price.alias("price"),
-        _status(n, price).alias("status"),
+        "price",
+        _status(F.col("n_fields"), F.col("price")).alias("status"),
     )
 
 
