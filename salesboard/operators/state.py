@@ -2,12 +2,15 @@
 
 Layout under a state root (a folder on shared storage)::
 
-    delta/stream_id=<s>/batch_id=<b>/   (measure, key, delta)   one partition per batch
-    base/hw=<b>/                         (measure, key, amt)     compacted prefix
-
-A micro-batch writes its deltas with *dynamic partition overwrite*, so a
-replayed batch id (after a crash between the write and the checkpoint commit)
-replaces its own partition instead of adding twice.  The running value of a
+    log/stream_id=<s>/batch_id=<b>/kind=<k>/   one partition per batch and kind
+    base/hw=<b>/                                (measure, key, amt) compacted prefix
+
+``kind`` is a measure (``total``, ``shop``, ``trend``: rows ``key, amt``) or
+a batch by-product written in the same job: ``metric`` (row counts),
+``offset`` (next offset per topic partition) and ``bad`` (quarantined lines).
+A micro-batch writes all of them at once with *dynamic partition
+overwrite*, so a replayed batch id (after a crash between the write and the
+checkpoint commit) replaces its own partitions instead of adding twice.  The running value of a
 key is ``base + sum(delta where batch_id > hw)``: a partial + final hash
 aggregate, so a hot key is pre-aggregated per task before the shuffle.
 """
@@ -46,12 +49,44 @@ def measure_deltas(valid: DataFrame, bucket_col: str = "bucket_time") -> DataFra
     return total.unionByName(shop).unionByName(trend)
 
 
-def upsert_add(delta_root: str, deltas: DataFrame, stream_id: str, batch_id: int) -> None:
-    """Keyed add-to-stored, idempotent by ``(stream_id, batch_id)``."""
-    out = deltas.select("measure", "key", F.col("delta").cast(DELTA_TYPE).alias("delta"),
-                        F.lit(stream_id).alias("stream_id"),
-                        F.lit(int(batch_id)).cast("long").alias("batch_id"))
-    write_partitioned(out, delta_root, "stream_id", "batch_id")
+MEASURES = (M_TOTAL, M_SHOP, M_TREND)
+LOG_PARTITIONS = ("stream_id", "batch_id", "kind")
+
+
+def log_rows(df: DataFrame, kind, key=None, amt=None, topic=None, partition=None,
+             line=None, n_fields=None) -> DataFrame:
+    """Project rows of any kind onto the common batch-log schema."""
+    def c(x, t):
+        if x is None:
+            return F.lit(None).cast(t)
+        return (F.col(x) if isinstance(x, str) else x).cast(t)
+    return df.select(
+        (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+        c(key, "string").alias("key"), c(amt, DELTA_TYPE).alias("amt"),
+        c(topic, "string").alias("topic"), c(partition, "int").alias("partition"),
+        c(line, "string").alias("line"), c(n_fields, "int").alias("n_fields"))
+
+
+def write_batch_log(state_root: str, rows: DataFrame, stream_id: str, batch_id: int) -> None:
+    """One job writes every output of a batch; replay overwrites the same partitions."""
+    out = rows.select("*", F.lit(stream_id).alias("stream_id"),
+                      F.lit(int(batch_id)).cast("long").alias("batch_id"))
+    write_partitioned(out, f"{state_root}/log", *LOG_PARTITIONS)
+
+
+def upsert_add(state_root: str, deltas: DataFrame, stream_id: str, batch_id: int) -> None:
+    """Keyed add-to-stored, idempotent by ``(stream_id, batch_id)``.
+
+    ``deltas`` has ``(measure, key, delta)``.
+    """
+    write_batch_log(state_root, log_rows(deltas, F.col("measure"), "key", "delta"),
+                    stream_id, batch_id)
+
+
+def read_log(spark: SparkSession, state_root: str, *kinds: str) -> DataFrame:
+    """Batch-log rows of the given kinds (partition pruning on ``kind``)."""
+    log = spark.read.parquet(f"{state_root}/log")
+    return log.where(F.col("kind").isin(*kinds)) if kinds else log
 
 
 def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
@@ -64,7 +99,36 @@ def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_deltas(spark: SparkSession, state_root: str) -> DataFrame:
-    return spark.read.parquet(f"{state_root}/delta")
+    """``(measure, key, delta, stream_id, batch_id)`` of every batch."""
+    return read_log(spark, state_root, *MEASURES).select(
+        F.col("kind").alias("measure"), "key", F.col("amt").alias("delta"), "stream_id", "batch_id")
+
+
+def read_metrics(spark: SparkSession, state_root: str) -> DataFrame:
+    """Per batch: ``(stream_id, batch_id, n_rows, n_valid, n_bad, amt)``."""
+    log = read_log(spark, state_root, "metric", M_TOTAL)
+    def pick(kind, key=None):
+        cond = F.col("kind") == kind
+        if key:
+            cond = cond & (F.col("key") == key)
+        return F.max(F.when(cond, F.col("amt")))
+    return log.groupBy("stream_id", "batch_id").agg(
+        pick("metric", "n_rows").cast("long").alias("n_rows"),
+        pick("metric", "n_valid").cast("long").alias("n_valid"),
+        pick("metric", "n_bad").cast("long").alias("n_bad"),
+        pick(M_TOTAL).alias("amt"))
+
+
+def read_ledger(spark: SparkSession, state_root: str) -> DataFrame:
+    """Per batch: ``(topic, partition, next_offset, stream_id, batch_id)``."""
+    return read_log(spark, state_root, "offset").select(
+        "topic", "partition", F.col("amt").cast("long").alias("next_offset"), "stream_id", "batch_id")
+
+
+def read_quarantine(spark: SparkSession, state_root: str) -> DataFrame:
+    """Rejected lines: ``(value, n_fields, reason, stream_id, batch_id)``."""
+    return read_log(spark, state_root, "bad").select(
+        F.col("line").alias("value"), "n_fields", F.col("key").alias("reason"), "stream_id", "batch_id")
 
 
 def latest_base(spark: SparkSession, state_root: str) -> tuple[DataFrame | None, int]:

@@ -40,7 +40,7 @@ def src_topic(spark, sf):
 @query("offset_ledger", q("""
 SELECT topic, "partition", MAX("offset") + 1 AS next_offset FROM raw_ticks GROUP BY 1, 2"""))
 def offset_ledger(spark, sf):
-    ledger = spark.read.parquet(_live(spark, sf).cfg.ledger)
+    ledger = ST.read_ledger(spark, _live(spark, sf).cfg.state_root)
     return T.latest_offsets(ledger)
 
 
@@ -53,7 +53,7 @@ FROM (
   GROUP BY topic
 )"""))
 def start_offsets(spark, sf):
-    ledger = spark.read.parquet(_live(spark, sf).cfg.ledger)
+    ledger = ST.read_ledger(spark, _live(spark, sf).cfg.state_root)
     return T.start_offsets(T.latest_offsets(ledger))
 
 
@@ -92,7 +92,7 @@ FROM chunks GROUP BY chunk"""
 
 @query("batch_metric", q(_METRICS_SQL))
 def batch_metric(spark, sf):
-    m = spark.read.parquet(_live(spark, sf).cfg.metrics)
+    m = ST.read_metrics(spark, _live(spark, sf).cfg.state_root)
     return m.select("batch_id", "n_rows", "n_valid", dbl("amt"))
 
 
@@ -100,7 +100,7 @@ def batch_metric(spark, sf):
 SELECT COUNT(*) AS n_batches_written, MAX(batch_id) AS last_batch_written FROM (""" + _METRICS_SQL + ")"))
 def skip_empty_batch(spark, sf):
     # the run committed one more batch (the empty one) than it wrote
-    m = spark.read.parquet(_live(spark, sf).cfg.metrics)
+    m = ST.read_metrics(spark, _live(spark, sf).cfg.state_root)
     return m.agg(F.count("*").alias("n_batches_written"),
                  F.max("batch_id").alias("last_batch_written"))
 
@@ -171,7 +171,7 @@ def running_trend(spark, sf):
 @query("micro_batch", q("""
 SELECT COUNT(DISTINCT chunk) AS n_batches, COUNT(*) AS n_rows FROM chunks"""))
 def micro_batch(spark, sf):
-    m = spark.read.parquet(_live(spark, sf).cfg.metrics)
+    m = ST.read_metrics(spark, _live(spark, sf).cfg.state_root)
     return m.agg(F.count("*").alias("n_batches"), F.sum("n_rows").alias("n_rows"))
 
 

@@ -2,16 +2,16 @@
 
 ``run`` starts ``readStream -> foreachBatch(process_batch)``.  Per micro-batch:
 
-1. an empty batch is skipped (no state, no offsets, no metrics);
-2. the raw rows are parsed once and the narrow slim frame is persisted
+1. the raw rows are parsed once and the narrow slim frame is persisted
    (fan-out: the measures, metrics, quarantine and ledger all read it);
-3. the three measures are written as one delta-log partition
-   ``(stream_id, batch_id)`` with dynamic partition overwrite -- a batch that
-   is replayed after a crash overwrites itself instead of adding twice;
-4. metrics, quarantine and the offset ledger are written the same way, after
-   the outputs (the stream checkpoint is the real recovery point);
-5. the serving snapshot (total, ranking JSON, trend point) is refreshed from
-   the state, so readers never see a half-written measure.
+   an empty batch stops here (no state, no offsets, no metrics);
+2. ONE job writes the three measures' deltas, the batch metrics, the
+   quarantined lines and the offset ledger as partitions
+   ``(stream_id, batch_id, kind)`` of the batch log, with dynamic partition
+   overwrite -- a batch replayed after a crash overwrites itself instead of
+   adding twice (the stream checkpoint is the real recovery point);
+3. the serving snapshot (total, ranking JSON, trend point) is refreshed from
+   the state as of this batch, so readers never see a half-written measure.
 
 Amounts are decimals end to end; nothing is collected to the driver except
 ``isEmpty``.
@@ -28,9 +28,9 @@ from pyspark.sql.streaming import StreamingQuery
 from salesboard.operators.measures import bucket_time
 from salesboard.operators.parse import parse_records
 from salesboard.operators.serving import serving_snapshot
-from salesboard.operators.state import measure_deltas, read_state, upsert_add, write_partitioned
-from salesboard.schema import DELTA_TYPE, TIME_FORMAT
-from salesboard.sources.topic import offset_ledger
+from salesboard.operators.state import (latest_base, log_rows, read_state, write_batch_log,
+                                        write_partitioned)
+from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TIME_FORMAT, TOTAL_KEY
 
 ENVELOPE_CARRY = ("topic", "partition", "offset", "timestamp")
 
@@ -49,22 +49,6 @@ class JobConfig:
     serve: bool = True               # refresh the serving snapshot per batch
     lag_seconds: int = 5
 
-    @property
-    def delta(self) -> str:
-        return f"{self.state_root}/delta"
-
-    @property
-    def metrics(self) -> str:
-        return f"{self.state_root}/metrics"
-
-    @property
-    def quarantine(self) -> str:
-        return f"{self.state_root}/quarantine"
-
-    @property
-    def ledger(self) -> str:
-        return f"{self.state_root}/ledger"
-
     @property
     def serving(self) -> str:
         return f"{self.state_root}/serving"
@@ -82,35 +66,62 @@ def slim_batch(raw: DataFrame, time_col: str = "event") -> DataFrame:
     )
 
 
-def batch_metrics(slim: DataFrame) -> DataFrame:
-    valid = F.col("status").isNull()
-    return slim.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(valid, 1)).alias("n_valid"),
-        F.coalesce(F.sum(F.when(valid, F.col("price"))), F.lit(0)).cast(DELTA_TYPE).alias("amt"),
+def _entry(kind, key, amt, off=None, topic=None, partition=None):
+    return F.struct(
+        F.lit(kind).alias("kind"), key.cast("string").alias("key"),
+        amt.cast(DELTA_TYPE).alias("amt"),
+        (off if off is not None else F.lit(None)).cast("long").alias("off"),
+        (topic if topic is not None else F.lit(None)).cast("string").alias("topic"),
+        (partition if partition is not None else F.lit(None)).cast("int").alias("partition"))
+
+
+def batch_log(slim: DataFrame) -> DataFrame:
+    """Everything a batch writes, as batch-log rows: ONE aggregation + the bad lines.
+
+    Each record emits tagged entries -- row counts, its offset, the total (0
+    for a bad row, so an all-bad batch still has a total), its shop and its
+    second when valid -- and a single ``groupBy(kind, key)`` with partial
+    aggregation produces all measures, metrics and the offset ledger with one
+    shuffle.  The busiest key (the total) is pre-combined in every map task.
+    """
+    ok = F.col("status").isNull()
+    zero, one = F.lit(0), F.lit(1)
+    second = F.date_format(F.date_trunc("second", F.col("bucket_time")), TIME_FORMAT)
+    entries = F.array(
+        _entry("metric", F.lit("n_rows"), one),
+        _entry("metric", F.lit("n_valid"), F.when(ok, one).otherwise(zero)),
+        _entry(M_TOTAL, F.lit(TOTAL_KEY), F.when(ok, F.col("price")).otherwise(zero)),
+        _entry("offset", F.lit(None), F.lit(None), F.col("offset"), F.col("topic"), F.col("partition")),
+        F.when(ok & (F.col("shop_id") != ""), _entry(M_SHOP, F.col("shop_id"), F.col("price"))),
+        F.when(ok & F.col("bucket_time").isNotNull(), _entry(M_TREND, second, F.col("price"))),
     )
+    tagged = slim.select(F.explode(entries).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+    agg = tagged.groupBy("kind", "key", "topic", "partition").agg(
+        F.sum("amt").alias("amt"), F.max("off").alias("off"))
+    folded = log_rows(agg, F.col("kind"), "key",
+                      F.when(F.col("kind") == "offset", F.col("off") + 1).otherwise(F.col("amt")),
+                      topic="topic", partition="partition")
+    bad = log_rows(slim.where(~ok), "bad", key="status", line="value", n_fields="n_fields")
+    return folded.unionByName(bad)
 
 
 def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> None:
     """Body of ``foreachBatch``; also callable on a plain batch DataFrame."""
-    if raw.isEmpty():
-        return
     spark = raw.sparkSession
-    tag = [F.lit(cfg.stream_id).alias("stream_id"), F.lit(int(batch_id)).cast("long").alias("batch_id")]
     slim = slim_batch(raw, cfg.time_col).persist()
     try:
-        valid = slim.where(F.col("status").isNull())
-        upsert_add(cfg.delta, measure_deltas(valid), cfg.stream_id, batch_id)
-        write_partitioned(batch_metrics(slim).select("*", *tag), cfg.metrics, "stream_id", "batch_id")
-        bad = slim.where(F.col("status").isNotNull()).select(
-            "value", "n_fields", F.col("status").alias("reason"))
-        write_partitioned(bad.select("*", *tag), cfg.quarantine, "stream_id", "batch_id")
-        write_partitioned(offset_ledger(slim).select("*", *tag), cfg.ledger, "stream_id", "batch_id")
+        if slim.isEmpty():
+            return
+        write_batch_log(cfg.state_root, batch_log(slim), cfg.stream_id, batch_id)
     finally:
         slim.unpersist()
     if cfg.serve:
+        _, hw = latest_base(spark, cfg.state_root)
+        if batch_id <= hw:          # replay of a batch already folded into the base
+            return
         state = read_state(spark, cfg.state_root, up_to_batch=batch_id)
         snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds)
+        tag = [F.lit(cfg.stream_id).alias("stream_id"), F.lit(int(batch_id)).cast("long").alias("batch_id")]
         write_partitioned(snap.select("*", *tag), cfg.serving, "stream_id", "batch_id")
 
 

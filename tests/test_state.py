@@ -44,16 +44,16 @@ def test_upsert_add_is_idempotent_and_compacts(spark):
     b0 = _deltas(spark, [("shop", "a", Decimal("1.00")), ("total", "*", Decimal("1.00"))])
     b1 = _deltas(spark, [("shop", "a", Decimal("2.00")), ("shop", "b", Decimal("5.00")),
                          ("total", "*", Decimal("7.00"))])
-    ST.upsert_add(f"{root}/delta", b0, "s", 0)
-    ST.upsert_add(f"{root}/delta", b1, "s", 1)
-    ST.upsert_add(f"{root}/delta", b1, "s", 1)          # replay of batch 1
+    ST.upsert_add(root, b0, "s", 0)
+    ST.upsert_add(root, b1, "s", 1)
+    ST.upsert_add(root, b1, "s", 1)          # replay of batch 1
     want = {("shop", "a"): Decimal("3.00"), ("shop", "b"): Decimal("5.00"), ("total", "*"): Decimal("8.00")}
     got = {(r.measure, r.key): r.amt for r in ST.read_state(spark, root).collect()}
     assert got == want
     assert {(r.measure, r.key): r.amt for r in ST.read_state(spark, root, up_to_batch=0).collect()} == \
         {("shop", "a"): Decimal("1.00"), ("total", "*"): Decimal("1.00")}
     ST.compact(spark, root, 0)
-    ST.upsert_add(f"{root}/delta", _deltas(spark, [("shop", "c", Decimal("1.00"))]), "s", 2)
+    ST.upsert_add(root, _deltas(spark, [("shop", "c", Decimal("1.00"))]), "s", 2)
     want[("shop", "c")] = Decimal("1.00")
     got = {(r.measure, r.key): r.amt for r in ST.read_state(spark, root).collect()}
     assert got == want

@@ -41,12 +41,12 @@ def test_replay_did_not_double_count(spark, live):
     d = ST.read_deltas(spark, live.cfg.state_root)
     per_batch = d.where("measure = 'total'").groupBy("batch_id").count().collect()
     assert all(r[1] == 1 for r in per_batch)            # one total row per batch, replay included
-    m = spark.read.parquet(live.cfg.metrics).agg(F.sum("n_rows")).first()[0]
+    m = ST.read_metrics(spark, live.cfg.state_root).agg(F.sum("n_rows")).first()[0]
     assert m == ticks(spark, SF_SMALL).count()
 
 
 def test_empty_batch_skipped(spark, live):
-    written = spark.read.parquet(live.cfg.metrics).select("batch_id").distinct().count()
+    written = ST.read_metrics(spark, live.cfg.state_root).select("batch_id").distinct().count()
     assert live.batches_committed == written + 1
 
 
@@ -61,7 +61,7 @@ def test_properties(spark, live):
 
 def test_live_poll_is_cumulative(spark, live):
     snaps = spark.read.parquet(live.cfg.serving).orderBy("batch_id").collect()
-    metrics = spark.read.parquet(live.cfg.metrics).orderBy("batch_id").collect()
+    metrics = ST.read_metrics(spark, live.cfg.state_root).orderBy("batch_id").collect()
     run = Decimal(0)
     for s, m in zip(snaps, metrics):
         run += m.amt
