@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TOTAL_KEY
@@ -51,6 +52,18 @@ def measure_deltas(valid: DataFrame, bucket_col: str = "bucket_time") -> DataFra
 
 MEASURES = (M_TOTAL, M_SHOP, M_TREND)
 LOG_PARTITIONS = ("stream_id", "batch_id", "kind")
+#: Batch-log schema, partition columns included (read with it: no type inference).
+LOG_SCHEMA = T.StructType([
+    T.StructField("key", T.StringType()), T.StructField("amt", T.DecimalType(28, 2)),
+    T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()),
+    T.StructField("line", T.StringType()), T.StructField("n_fields", T.IntegerType()),
+    T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType()),
+    T.StructField("kind", T.StringType()),
+])
+BASE_SCHEMA = T.StructType([
+    T.StructField("measure", T.StringType()), T.StructField("key", T.StringType()),
+    T.StructField("amt", T.DecimalType(28, 2)), T.StructField("hw", T.LongType()),
+])
 
 
 def log_rows(df: DataFrame, kind, key=None, amt=None, topic=None, partition=None,
@@ -85,13 +98,17 @@ def upsert_add(state_root: str, deltas: DataFrame, stream_id: str, batch_id: int
 
 def read_log(spark: SparkSession, state_root: str, *kinds: str) -> DataFrame:
     """Batch-log rows of the given kinds (partition pruning on ``kind``)."""
-    log = spark.read.parquet(f"{state_root}/log")
+    log = spark.read.schema(LOG_SCHEMA).parquet(f"{state_root}/log")
     return log.where(F.col("kind").isin(*kinds)) if kinds else log
 
 
-def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_if_present(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        r = spark.read.schema(schema) if schema is not None else spark.read
+        df = r.parquet(path)
+        if schema is not None:
+            df.limit(0).collect()       # a missing folder fails here, not later
+        return df
     except AnalysisException as e:  # nothing written there yet
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
@@ -133,7 +150,7 @@ def read_quarantine(spark: SparkSession, state_root: str) -> DataFrame:
 
 def latest_base(spark: SparkSession, state_root: str) -> tuple[DataFrame | None, int]:
     """The newest compacted base and its high-water batch id (``-1`` if none)."""
-    base = _read_if_present(spark, f"{state_root}/base")
+    base = _read_if_present(spark, f"{state_root}/base", BASE_SCHEMA)
     if base is None:
         return None, -1
     hw = base.agg(F.max("hw")).first()[0]

@@ -205,7 +205,8 @@ def top_shops_ties_all(spark, sf):
 
 
 _RANKED = """
-SELECT row_number() OVER (ORDER BY amt DESC, shop_id) AS "rank", shop_id, CAST(amt AS DOUBLE) AS amt
+SELECT CAST(row_number() OVER (ORDER BY amt DESC, shop_id) AS INTEGER) AS "rank", shop_id,
+       CAST(amt AS DOUBLE) AS amt
 FROM (SELECT amt, MIN(shop_id) AS shop_id FROM shop_amt GROUP BY amt ORDER BY amt DESC, shop_id LIMIT 5)"""
 
 

@@ -70,7 +70,8 @@ def fn_compact_time(spark, sf):
 
 @query("fn_text_ops", q("""
 SELECT "partition", "offset", contains(value, ' - ') AS has_range,
-       len(string_split(value, '^')) AS n_parts, length(trim(value)) AS n_chars
+       CAST(len(string_split(value, '^')) AS INTEGER) AS n_parts,
+       CAST(length(trim(value)) AS INTEGER) AS n_chars
 FROM raw_ticks"""))
 def fn_text_ops(spark, sf):
     t = ticks(spark, sf)
@@ -147,7 +148,8 @@ def log_slice(spark, sf):
 @query("shop_dim_lookup", q("""
 SELECT r."rank", r.shop_id, COALESCE(d.shop_name, r.shop_id) AS shop_name, r.amt
 FROM (""" + """
-SELECT row_number() OVER (ORDER BY amt DESC, shop_id) AS "rank", shop_id, CAST(amt AS DOUBLE) AS amt
+SELECT CAST(row_number() OVER (ORDER BY amt DESC, shop_id) AS INTEGER) AS "rank", shop_id,
+       CAST(amt AS DOUBLE) AS amt
 FROM (SELECT amt, MIN(shop_id) AS shop_id FROM shop_amt GROUP BY amt ORDER BY amt DESC, shop_id LIMIT 5)
 """ + """) r LEFT JOIN (
   SELECT CAST(user_id AS VARCHAR) AS shop_id, 'Shop ' || CAST(user_id AS VARCHAR) AS shop_name
@@ -212,7 +214,7 @@ closure(node, anc, dist) AS (
   WHERE n.parent IS NOT NULL
 ),
 rollup AS (
-  SELECT c.anc AS node, SUM(n.size) AS value FROM closure c JOIN nodes n ON c.node = n.node GROUP BY c.anc
+  SELECT c.anc AS node, CAST(SUM(n.size) AS BIGINT) AS value FROM closure c JOIN nodes n ON c.node = n.node GROUP BY c.anc
 )"""
 
 
@@ -277,11 +279,11 @@ def ext_volume_5min(spark, sf):
 
 @query("ext_region_rank", q("""
 SELECT 'province' AS level, name, CAST(amt AS DOUBLE) AS amt,
-       row_number() OVER (ORDER BY amt DESC, name) AS "rank"
+       CAST(row_number() OVER (ORDER BY amt DESC, name) AS INTEGER) AS "rank"
 FROM (SELECT split_part(shipping_address, ' ', 1) AS name, SUM(price) AS amt FROM ticks_valid
       GROUP BY 1 ORDER BY amt DESC, name LIMIT 8)
 UNION ALL
-SELECT 'city', name, CAST(amt AS DOUBLE), row_number() OVER (ORDER BY amt DESC, name)
+SELECT 'city', name, CAST(amt AS DOUBLE), CAST(row_number() OVER (ORDER BY amt DESC, name) AS INTEGER)
 FROM (SELECT split_part(shipping_address, ' ', 1) || ' ' || regexp_extract(shipping_address, '[^ ]*$') AS name,
              SUM(price) AS amt FROM ticks_valid WHERE contains(shipping_address, ' ')
       GROUP BY 1 ORDER BY amt DESC, name LIMIT 8)"""))
@@ -294,7 +296,8 @@ SELECT keyword, month, new_count, total_count,
        CASE WHEN total_count - new_count > 0 THEN new_count / (total_count - new_count) END AS growth
 FROM (
   SELECT keyword, month, new_count,
-         SUM(new_count) OVER (PARTITION BY keyword ORDER BY month ROWS UNBOUNDED PRECEDING) AS total_count
+         CAST(SUM(new_count) OVER (PARTITION BY keyword ORDER BY month ROWS UNBOUNDED PRECEDING) AS BIGINT)
+           AS total_count
   FROM (SELECT keyword, date_trunc('month', "time") AS month, COUNT(*) AS new_count
         FROM sales_valid WHERE "time" IS NOT NULL GROUP BY 1, 2)
 )"""))

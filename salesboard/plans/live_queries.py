@@ -17,6 +17,7 @@ from salesboard.plans.oracle import q
 from salesboard.schema import M_SHOP, M_TOTAL, M_TREND
 from salesboard.sources import topic as T
 from salesboard.streaming import native as N
+from salesboard.streaming.job import read_serving
 from salesboard.streaming.live import live_run
 
 
@@ -214,7 +215,7 @@ SELECT chunk AS batch_id,
        CAST(SUM(SUM(price)) OVER (ORDER BY chunk) AS DOUBLE) AS total_amt
 FROM chunks WHERE status IS NULL GROUP BY chunk"""))
 def live_poll(spark, sf):
-    s = spark.read.parquet(_live(spark, sf).cfg.serving)
+    s = read_serving(spark, _live(spark, sf).cfg)
     return s.select("batch_id", "total_amt")
 
 

@@ -54,6 +54,14 @@ class JobConfig:
         return f"{self.state_root}/serving"
 
 
+SERVING_SCHEMA = "total_amt double, ranking string, trend_point string, stream_id string, batch_id long"
+
+
+def read_serving(spark, cfg: JobConfig) -> DataFrame:
+    """Serving snapshots, one per batch (``live_poll``)."""
+    return spark.read.schema(SERVING_SCHEMA).parquet(cfg.serving)
+
+
 def slim_batch(raw: DataFrame, time_col: str = "event") -> DataFrame:
     """Parse a raw batch into the narrow frame every output reads."""
     parsed = parse_records(raw, carry=ENVELOPE_CARRY).withColumn(

@@ -11,6 +11,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 6)
@@ -50,6 +54,9 @@ def test_query_matches_oracle(spark, con, name, fn, sql):
     quoted = ", ".join('"' + c + '"' for c in cols)
     res = con.sql(f"SELECT {quoted} FROM ({sql})")
     assert sorted(res.columns) == sorted(cols)
+    duck_types = dict(zip(res.columns, [str(t) for t in res.types]))
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK[f.dataType.simpleString()] == duck_types[f.name], f.name
     assert _rows(got) == _rows(res.fetchall())
 
 
