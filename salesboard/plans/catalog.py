@@ -19,7 +19,7 @@ from salesboard.operators import measures as M
 from salesboard.operators import parse as P
 from salesboard.operators import ranking as R
 from salesboard.plans.oracle import q
-from salesboard.sources import fixtures as FX
+from salesboard.sources.logs import raw_log
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -38,8 +38,8 @@ TICK_CARRY = ("partition", "offset", "timestamp", "ordinal")
 
 
 def ticks(spark: SparkSession, sf: str) -> DataFrame:
-    """The ``raw_ticks`` envelope plus its ordinal."""
-    return FX.raw_ticks(spark, sf).withColumn("ordinal", FX.envelope_ordinal())
+    """The ``raw_ticks`` envelope plus its ordinal (a log table built from ``events``)."""
+    return raw_log(spark, sf, "ticks")
 
 
 def ticks_parsed(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,7 +51,7 @@ def ticks_valid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales_valid(spark: SparkSession, sf: str) -> DataFrame:
-    return P.valid_sales(P.parse_records(FX.raw_sales(spark, sf), carry=("ordinal",)),
+    return P.valid_sales(P.parse_records(raw_log(spark, sf, "sales"), carry=("ordinal",)),
                          carry=("ordinal",))
 
 
