@@ -33,7 +33,7 @@ def batch_shop_amt(valid: DataFrame, price: str = "price", shop: str = "shop_id"
             .groupBy(shop).agg(F.sum(price).cast(DELTA_TYPE).alias("amt")))
 
 
-def bucket_time(time_col: str = "event", event: str = "time", ingest: str = "timestamp") -> Column:
+def bucket_time(time_col: str = "event", event="time", ingest="timestamp") -> Column:
     """The time a row is bucketed by.
 
     ``event``      the record's own time field (default; deterministic)
@@ -41,9 +41,9 @@ def bucket_time(time_col: str = "event", event: str = "time", ingest: str = "tim
     ``processing`` the micro-batch clock (one value per batch)
     """
     if time_col == "event":
-        return F.col(event)
+        return event if isinstance(event, Column) else F.col(event)
     if time_col == "ingest":
-        return F.col(ingest)
+        return ingest if isinstance(ingest, Column) else F.col(ingest)
     if time_col == "processing":
         return F.current_timestamp()
     raise ValueError(f"time_col must be one of {TIME_SOURCES}, got {time_col!r}")

@@ -8,6 +8,7 @@ quarantine frame with a reason, so ``valid`` + ``quarantine`` = input.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,21 +80,28 @@ def parse_records(raw: DataFrame, value_col: str = "value",
     ``status`` filter below this projection it copies only cheap
     expressions; the full split runs once per row, above the filter.
     """
-    stage = raw.select(*[F.col(c) for c in carry], F.col(value_col).alias("value"),
-                       _body(F.col(value_col)).alias("_b"))
+    stage, typed, final = _parse_columns(value_col, tuple(carry))
+    return raw.select(*stage).select(*typed).select(*final)
+
+
+@lru_cache(maxsize=64)
+def _parse_columns(value_col: str, carry: tuple) -> tuple:
+    """The three projections of ``parse_records``.
+
+    Built once per process and reused: they are unresolved expressions, and
+    building them costs one JVM round trip per node -- too much to repeat in
+    every micro-batch.
+    """
+    keep = [F.col(c) for c in carry]
+    stage = [*keep, F.col(value_col).alias("value"), _body(F.col(value_col)).alias("_b")]
     b = F.col("_b")
     n = field_count(b)
     price = price_cast(price_low(field_at(b, RECORD_FIELDS.index("current_price"))))
-    typed = stage.select(*[F.col(c) for c in carry], "value", n.alias("n_fields"),
-                         F.split(b, _SEPARATOR_RE).alias("_f"), price.alias("price"))
-    return typed.select(
-        *[F.col(c) for c in carry],
-        "value",
-        "n_fields",
-        *name_fields(F.col("_f")),
-        "price",
-        _status(F.col("n_fields"), F.col("price")).alias("status"),
-    )
+    typed = [*keep, F.col("value"), n.alias("n_fields"),
+             F.split(b, _SEPARATOR_RE).alias("_f"), price.alias("price")]
+    final = [*keep, F.col("value"), F.col("n_fields"), *name_fields(F.col("_f")), F.col("price"),
+             _status(F.col("n_fields"), F.col("price")).alias("status")]
+    return tuple(stage), tuple(typed), tuple(final)
 
 
 def valid_sales(parsed: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Layout under a state root (a folder on shared storage)::
 
-    log/stream_id=<s>/batch_id=<b>/kind=<k>/   one partition per batch and kind
-    base/hw=<b>/                                (measure, key, amt) compacted prefix
+    log/stream_id=<s>/batch_id=<b>/kind=<k>/      one partition per batch and kind
+    log/stream_id=_base/batch_id=<hw>/kind=base_<measure>/   compacted prefix
 
 ``kind`` is a measure (``total``, ``shop``, ``trend``: rows ``key, amt``) or
 a batch by-product written in the same job: ``metric`` (row counts),
@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TOTAL_KEY
 
@@ -51,6 +50,9 @@ def measure_deltas(valid: DataFrame, bucket_col: str = "bucket_time") -> DataFra
 
 
 MEASURES = (M_TOTAL, M_SHOP, M_TREND)
+BASE_PREFIX = "base_"
+BASE_KINDS = tuple(BASE_PREFIX + m for m in MEASURES)
+BASE_STREAM = "_base"
 LOG_PARTITIONS = ("stream_id", "batch_id", "kind")
 #: Batch-log schema, partition columns included (read with it: no type inference).
 LOG_SCHEMA = T.StructType([
@@ -60,24 +62,26 @@ LOG_SCHEMA = T.StructType([
     T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType()),
     T.StructField("kind", T.StringType()),
 ])
-BASE_SCHEMA = T.StructType([
-    T.StructField("measure", T.StringType()), T.StructField("key", T.StringType()),
-    T.StructField("amt", T.DecimalType(28, 2)), T.StructField("hw", T.LongType()),
-])
 
 
-def log_rows(df: DataFrame, kind, key=None, amt=None, topic=None, partition=None,
-             line=None, n_fields=None) -> DataFrame:
-    """Project rows of any kind onto the common batch-log schema."""
+
+def log_columns(kind, key=None, amt=None, topic=None, partition=None,
+                line=None, n_fields=None) -> list:
+    """Columns projecting rows of any kind onto the common batch-log schema."""
     def c(x, t):
         if x is None:
             return F.lit(None).cast(t)
         return (F.col(x) if isinstance(x, str) else x).cast(t)
-    return df.select(
-        (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
-        c(key, "string").alias("key"), c(amt, DELTA_TYPE).alias("amt"),
-        c(topic, "string").alias("topic"), c(partition, "int").alias("partition"),
-        c(line, "string").alias("line"), c(n_fields, "int").alias("n_fields"))
+    return [(F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+            c(key, "string").alias("key"), c(amt, DELTA_TYPE).alias("amt"),
+            c(topic, "string").alias("topic"), c(partition, "int").alias("partition"),
+            c(line, "string").alias("line"), c(n_fields, "int").alias("n_fields")]
+
+
+def log_rows(df: DataFrame, kind, key=None, amt=None, topic=None, partition=None,
+             line=None, n_fields=None) -> DataFrame:
+    """Project rows of any kind onto the common batch-log schema."""
+    return df.select(*log_columns(kind, key, amt, topic, partition, line, n_fields))
 
 
 def write_batch_log(state_root: str, rows: DataFrame, stream_id: str, batch_id: int) -> None:
@@ -102,19 +106,6 @@ def read_log(spark: SparkSession, state_root: str, *kinds: str) -> DataFrame:
     return log.where(F.col("kind").isin(*kinds)) if kinds else log
 
 
-def _read_if_present(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    try:
-        r = spark.read.schema(schema) if schema is not None else spark.read
-        df = r.parquet(path)
-        if schema is not None:
-            df.limit(0).collect()       # a missing folder fails here, not later
-        return df
-    except AnalysisException as e:  # nothing written there yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
 def read_deltas(spark: SparkSession, state_root: str) -> DataFrame:
     """``(measure, key, delta, stream_id, batch_id)`` of every batch."""
     return read_log(spark, state_root, *MEASURES).select(
@@ -148,36 +139,32 @@ def read_quarantine(spark: SparkSession, state_root: str) -> DataFrame:
         F.col("line").alias("value"), "n_fields", F.col("key").alias("reason"), "stream_id", "batch_id")
 
 
-def latest_base(spark: SparkSession, state_root: str) -> tuple[DataFrame | None, int]:
-    """The newest compacted base and its high-water batch id (``-1`` if none)."""
-    base = _read_if_present(spark, f"{state_root}/base", BASE_SCHEMA)
-    if base is None:
-        return None, -1
-    hw = base.agg(F.max("hw")).first()[0]
-    if hw is None:
-        return None, -1
-    return base.where(F.col("hw") == hw).drop("hw"), int(hw)
+def base_high_water(spark: SparkSession, state_root: str) -> int:
+    """Newest compaction's high-water batch id (``-1`` if none); one small read."""
+    v = read_log(spark, state_root, *BASE_KINDS).agg(F.max("batch_id")).first()[0]
+    return -1 if v is None else int(v)
 
 
 def read_state(spark: SparkSession, state_root: str, measure: str | None = None,
                up_to_batch: int | None = None) -> DataFrame:
-    """Current ``(measure, key, amt)``: compacted base plus newer deltas.
+    """Current ``(measure, key, amt)``: newest compacted base plus newer deltas.
 
-    ``up_to_batch`` reads the state as of that batch (deltas after it are
-    ignored), so a replayed batch sees exactly what it saw the first time.
+    ``up_to_batch`` reads the state as of that batch (later deltas are
+    ignored), so a replayed batch sees exactly what it saw the first time; it
+    must not be older than the newest compaction.  The high-water mark is a
+    scalar subquery, so the whole read is one plan.
     """
-    base, hw = latest_base(spark, state_root)
-    if up_to_batch is not None and base is not None and hw > up_to_batch:
-        raise ValueError(f"batch {up_to_batch} is already folded into base hw={hw}")
-    d = read_deltas(spark, state_root).where(F.col("batch_id") > hw)
+    kinds = (measure,) if measure else MEASURES
+    log = read_log(spark, state_root, *kinds, *[BASE_PREFIX + k for k in kinds])
+    is_base = F.col("kind").startswith(BASE_PREFIX)
+    hw = (read_log(spark, state_root, *BASE_KINDS)
+          .agg(F.coalesce(F.max("batch_id"), F.lit(-1).cast("long"))).scalar())
+    keep = (is_base & (F.col("batch_id") == hw)) | (~is_base & (F.col("batch_id") > hw))
     if up_to_batch is not None:
-        d = d.where(F.col("batch_id") <= up_to_batch)
-    parts = d.select("measure", "key", F.col("delta").alias("amt"))
-    if base is not None:
-        parts = base.select("measure", "key", "amt").unionByName(parts)
-    if measure is not None:
-        parts = parts.where(F.col("measure") == measure)
-    return parts.groupBy("measure", "key").agg(F.sum("amt").cast(DELTA_TYPE).alias("amt"))
+        keep = keep & (is_base | (F.col("batch_id") <= F.lit(int(up_to_batch))))
+    measure_col = F.regexp_replace("kind", "^" + BASE_PREFIX, "")
+    return (log.where(keep).groupBy(measure_col.alias("measure"), "key")
+            .agg(F.sum("amt").cast(DELTA_TYPE).alias("amt")))
 
 
 def state_merge(hist: DataFrame, delta: DataFrame, keys=("key",),
@@ -195,24 +182,20 @@ def state_merge(hist: DataFrame, delta: DataFrame, keys=("key",),
 
 
 def compact(spark: SparkSession, state_root: str, up_to_batch: int) -> int:
-    """Fold batches ``<= up_to_batch`` into a new base version ``hw=up_to_batch``.
+    """Fold batches ``<= up_to_batch`` into a new base, kinds ``base_<measure>``.
 
-    Run outside a running micro-batch.  Old versions are left in place (the
-    reader picks the newest), so a crash mid-compaction loses nothing.
+    The base is written into the same log as partition
+    ``stream_id=_base/batch_id=<up_to_batch>``; readers take the newest base
+    and only deltas after it.  Old bases and deltas are left in place, so a
+    crash mid-compaction loses nothing.  Run outside a running micro-batch.
+    The merged state is checkpointed first: the log is read and written.
     """
-    base, hw = latest_base(spark, state_root)
+    hw = base_high_water(spark, state_root)
     if up_to_batch <= hw:
         return hw
-    d = (read_deltas(spark, state_root)
-         .where((F.col("batch_id") > hw) & (F.col("batch_id") <= up_to_batch))
-         .groupBy("measure", "key").agg(F.sum("delta").alias("delta")))
-    if base is None:
-        merged = d.select("measure", "key", F.col("delta").cast(DELTA_TYPE).alias("amt"))
-    else:
-        merged = state_merge(base, d, keys=("measure", "key"))
-    (merged.withColumn("hw", F.lit(int(up_to_batch)).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("hw").parquet(f"{state_root}/base"))
+    merged = read_state(spark, state_root, up_to_batch=up_to_batch).checkpoint()
+    rows = log_rows(merged, F.concat(F.lit(BASE_PREFIX), F.col("measure")), "key", "amt")
+    write_batch_log(state_root, rows, BASE_STREAM, up_to_batch)
     return up_to_batch
 
 

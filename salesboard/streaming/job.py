@@ -20,15 +20,16 @@ Amounts are decimals end to end; nothing is collected to the driver except
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from salesboard.operators.measures import bucket_time
 from salesboard.operators.parse import parse_records
 from salesboard.operators.serving import serving_snapshot
-from salesboard.operators.state import (latest_base, log_rows, read_state, write_batch_log,
+from salesboard.operators.state import (base_high_water, log_columns, read_state, write_batch_log,
                                         write_partitioned)
 from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TIME_FORMAT, TOTAL_KEY
 
@@ -64,14 +65,16 @@ def read_serving(spark, cfg: JobConfig) -> DataFrame:
 
 def slim_batch(raw: DataFrame, time_col: str = "event") -> DataFrame:
     """Parse a raw batch into the narrow frame every output reads."""
-    parsed = parse_records(raw, carry=ENVELOPE_CARRY).withColumn(
-        "_event_time", F.try_to_timestamp(F.col("time"), F.lit(TIME_FORMAT)))
-    return parsed.select(
-        "topic", "partition", "offset",
-        bucket_time(time_col, event="_event_time", ingest="timestamp").alias("bucket_time"),
-        "price", "shop_id", "status", "n_fields",
-        F.when(F.col("status").isNotNull(), F.col("value")).alias("value"),
-    )
+    return parse_records(raw, carry=ENVELOPE_CARRY).select(*_slim_columns(time_col))
+
+
+@lru_cache(maxsize=8)
+def _slim_columns(time_col: str) -> tuple:
+    event_time = F.try_to_timestamp(F.col("time"), F.lit(TIME_FORMAT))
+    return (F.col("topic"), F.col("partition"), F.col("offset"),
+            bucket_time(time_col, event=event_time, ingest=F.col("timestamp")).alias("bucket_time"),
+            F.col("price"), F.col("shop_id"), F.col("status"), F.col("n_fields"),
+            F.when(F.col("status").isNotNull(), F.col("value")).alias("value"))
 
 
 def _entry(kind, key, amt, off=None, topic=None, partition=None):
@@ -92,6 +95,14 @@ def batch_log(slim: DataFrame) -> DataFrame:
     aggregation produces all measures, metrics and the offset ledger with one
     shuffle.  The busiest key (the total) is pre-combined in every map task.
     """
+    c = _batch_log_columns()
+    tagged = slim.select(c["explode"]).where(c["not_null"]).select("e.*")
+    agg = tagged.groupBy(*c["group"]).agg(*c["aggs"])
+    return agg.select(*c["folded"]).unionByName(slim.where(c["bad"]).select(*c["bad_rows"]))
+
+
+@lru_cache(maxsize=1)
+def _batch_log_columns() -> dict:
     ok = F.col("status").isNull()
     zero, one = F.lit(0), F.lit(1)
     second = F.date_format(F.date_trunc("second", F.col("bucket_time")), TIME_FORMAT)
@@ -103,34 +114,48 @@ def batch_log(slim: DataFrame) -> DataFrame:
         F.when(ok & (F.col("shop_id") != ""), _entry(M_SHOP, F.col("shop_id"), F.col("price"))),
         F.when(ok & F.col("bucket_time").isNotNull(), _entry(M_TREND, second, F.col("price"))),
     )
-    tagged = slim.select(F.explode(entries).alias("e")).where(F.col("e").isNotNull()).select("e.*")
-    agg = tagged.groupBy("kind", "key", "topic", "partition").agg(
-        F.sum("amt").alias("amt"), F.max("off").alias("off"))
-    folded = log_rows(agg, F.col("kind"), "key",
-                      F.when(F.col("kind") == "offset", F.col("off") + 1).otherwise(F.col("amt")),
-                      topic="topic", partition="partition")
-    bad = log_rows(slim.where(~ok), "bad", key="status", line="value", n_fields="n_fields")
-    return folded.unionByName(bad)
-
-
-def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> None:
-    """Body of ``foreachBatch``; also callable on a plain batch DataFrame."""
+    return {
+        "explode": F.explode(entries).alias("e"),
+        "not_null": F.col("e").isNotNull(),
+        "group": ("kind", "key", "topic", "partition"),
+        "aggs": (F.sum("amt").alias("amt"), F.max("off").alias("off")),
+        "folded": log_columns(F.col("kind"), "key",
+                              F.when(F.col("kind") == "offset", F.col("off") + 1).otherwise(F.col("amt")),
+                              topic="topic", partition="partition"),
+        "bad": ~ok,
+        "bad_rows": log_columns("bad", key="status", line="value", n_fields="n_fields"),
+    }
+
+
+def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> int:
+    """Body of ``foreachBatch``; also callable on a plain batch DataFrame.
+
+    Returns the number of records.  An empty batch writes nothing (the
+    aggregation of no rows has no rows) and refreshes no snapshot; its size
+    is observed during the write job itself, so no extra job asks.
+    """
     spark = raw.sparkSession
     slim = slim_batch(raw, cfg.time_col).persist()
+    seen = Observation(f"batch_{cfg.stream_id}_{batch_id}")
     try:
-        if slim.isEmpty():
-            return
-        write_batch_log(cfg.state_root, batch_log(slim), cfg.stream_id, batch_id)
+        out = batch_log(slim).observe(
+            seen, F.coalesce(F.sum(F.when((F.col("kind") == "metric") & (F.col("key") == "n_rows"),
+                                          F.col("amt"))), F.lit(0)).cast("long").alias("n_rows"))
+        write_batch_log(cfg.state_root, out, cfg.stream_id, batch_id)
     finally:
         slim.unpersist()
+    n_rows = int(seen.get.get("n_rows", 0) or 0)
+    if n_rows == 0:
+        return 0
     if cfg.serve:
-        _, hw = latest_base(spark, cfg.state_root)
-        if batch_id <= hw:          # replay of a batch already folded into the base
-            return
+        if batch_id <= base_high_water(spark, cfg.state_root):
+            # replay of a batch already folded into the base
+            return n_rows
         state = read_state(spark, cfg.state_root, up_to_batch=batch_id)
         snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds)
         tag = [F.lit(cfg.stream_id).alias("stream_id"), F.lit(int(batch_id)).cast("long").alias("batch_id")]
         write_partitioned(snap.select("*", *tag), cfg.serving, "stream_id", "batch_id")
+    return n_rows
 
 
 def run(raw_stream: DataFrame, cfg: JobConfig, checkpoint: str,
