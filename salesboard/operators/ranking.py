@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesboard.session import ensure_checkpoint_dir
+
 # --- fixed values -----------------------------------------------------------
 RANKING_SIZE = 5                       # entries in the served ranking
 RANK_DISPLAY_CAP = 6                   # the page shows at most 6 rows
@@ -85,6 +87,7 @@ def rank_in_groups(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     order (end it with a unique key) so positions are deterministic.  The
     sorted rows are checkpointed so both passes see the same partitions.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     keys = [F.col(g) for g in group]
     s = (df.orderBy(*keys, *order)
          .select("*", F.spark_partition_id().alias("_p"),

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesboard.session import ensure_checkpoint_dir
 from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TOTAL_KEY
 
 
@@ -190,6 +191,7 @@ def compact(spark: SparkSession, state_root: str, up_to_batch: int) -> int:
     crash mid-compaction loses nothing.  Run outside a running micro-batch.
     The merged state is checkpointed first: the log is read and written.
     """
+    ensure_checkpoint_dir(spark)
     hw = base_high_water(spark, state_root)
     if up_to_batch <= hw:
         return hw

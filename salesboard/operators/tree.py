@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesboard.operators.ranking import rank_in_groups
+from salesboard.session import ensure_checkpoint_dir
 
 MAX_LEVELS = 10_000   # guard against a parent cycle (a tree has none)
 
@@ -34,6 +35,7 @@ def tree_rollup(nodes: DataFrame) -> DataFrame:
     aggregated (one row per node), then handed to its parent.  Both sides of
     every join hold one row per node, so a huge fan-out cannot skew it.
     """
+    ensure_checkpoint_dir(nodes.sparkSession)
     edges = _edges(nodes).checkpoint()
     carry = (nodes.where(F.col("parent").isNotNull())
              .groupBy(F.col("parent").alias("node")).agg(F.sum("size").alias("amt"))
@@ -57,6 +59,7 @@ def tree_depth(nodes: DataFrame) -> DataFrame:
     The probe side is keyed by parent, so a hot parent is one skewed key:
     AQE's skew-join split handles it (the build side has one row per node).
     """
+    ensure_checkpoint_dir(nodes.sparkSession)
     level = (nodes.where(F.col("parent").isNull())
              .select("node", "parent", F.lit(0).alias("depth")).checkpoint())
     children = _edges(nodes).checkpoint()

@@ -69,6 +69,11 @@ def scratch_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """``DataFrame.checkpoint()`` needs a checkpoint dir; make sure one is set."""
+    scratch_root(spark)
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unique sub-folder of the scratch root (never reused, never cleared)."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"

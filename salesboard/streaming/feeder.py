@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesboard.session import ensure_checkpoint_dir
+
 
 def log_slice(log: DataFrame, start: int, size: int, ordinal: str = "ordinal") -> DataFrame:
     """Lines ``[start, start + size)`` of an ordered log (by its ordinal column)."""
@@ -26,6 +28,7 @@ def with_line_ordinal(lines: DataFrame, name: str = "ordinal") -> DataFrame:
     row per partition), turn the counts into start offsets with a window
     over that small table, and add each row's position inside its partition.
     """
+    ensure_checkpoint_dir(lines.sparkSession)
     tagged = lines.select("*", F.spark_partition_id().alias("_p"),
                           F.monotonically_increasing_id().alias("_m")).checkpoint()
     from pyspark.sql import Window
