@@ -36,6 +36,7 @@ JUNK_PRICE = "n/a"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    use_utc(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
