@@ -24,12 +24,15 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from salesboard.operators.measures import bucket_time
 from salesboard.operators.parse import parse_records
 from salesboard.operators.serving import serving_snapshot
-from salesboard.operators.state import (base_high_water, log_columns, read_state, write_batch_log,
+from salesboard.sources.topic import (EARLIEST, latest_offsets, read_topic,
+                                      starting_offsets_option)
+from salesboard.operators.state import (base_high_water, log_columns, read_ledger, read_state, write_batch_log,
                                         write_partitioned)
 from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TIME_FORMAT, TOTAL_KEY
 
@@ -171,6 +174,23 @@ def run(raw_stream: DataFrame, cfg: JobConfig, checkpoint: str,
     return w.start()
 
 
+def run_topic(spark, bootstrap_servers: str, topics: str, cfg: JobConfig, checkpoint: str,
+              batch_seconds: int | None = None, **kafka_options: str) -> StreamingQuery:
+    """The live job on a topic, with the batch interval as its trigger.
+
+    A first start resumes from the offsets this state root has recorded
+    (``startingOffsets`` JSON), or ``earliest`` when there are none; after
+    that the stream checkpoint is the source of truth.
+    """
+    try:
+        offsets = starting_offsets_option(latest_offsets(read_ledger(spark, cfg.state_root)))
+    except AnalysisException:        # nothing recorded yet
+        offsets = EARLIEST
+    raw = read_topic(spark, bootstrap_servers, topics, offsets, **kafka_options)
+    trigger = micro_batch_trigger(batch_seconds) if batch_seconds else None
+    return run(raw, cfg, checkpoint, trigger)
+
+
 def micro_batch_trigger(seconds: int) -> dict:
     """The fixed batch interval as a trigger."""
     return {"processingTime": f"{int(seconds)} seconds"}
