@@ -32,7 +32,7 @@ from salesboard.operators.parse import parse_records
 from salesboard.operators.serving import serving_snapshot
 from salesboard.sources.topic import (EARLIEST, latest_offsets, read_topic,
                                       starting_offsets_option)
-from salesboard.operators.state import (base_high_water, log_columns, read_ledger, read_state, write_batch_log,
+from salesboard.operators.state import (base_high_water, compact, log_columns, read_ledger, read_state, write_batch_log,
                                         write_partitioned)
 from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TIME_FORMAT, TOTAL_KEY
 
@@ -52,6 +52,7 @@ class JobConfig:
     time_col: str = "event"          # event | ingest | processing
     serve: bool = True               # refresh the serving snapshot per batch
     lag_seconds: int = 5
+    compact_every: int | None = 100  # fold the log into a new base every n batches
 
     @property
     def serving(self) -> str:
@@ -158,6 +159,10 @@ def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> int:
         snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds)
         tag = [F.lit(cfg.stream_id).alias("stream_id"), F.lit(int(batch_id)).cast("long").alias("batch_id")]
         write_partitioned(snap.select("*", *tag), cfg.serving, "stream_id", "batch_id")
+    if cfg.compact_every and (batch_id + 1) % cfg.compact_every == 0:
+        # batches run one after another, so this is between batches; state
+        # reads then cover one base plus at most ``compact_every`` batches
+        compact(spark, cfg.state_root, batch_id)
     return n_rows
 
 

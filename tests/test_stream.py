@@ -96,3 +96,23 @@ def test_late_rows_leave_native_trend_not_delta_log(spark):
     assert len(logged) == len(batch)
     native = spark.read.parquet(f"{root}/trend").select("bucket").distinct().count()
     assert 0 < native < len(batch)
+
+
+def test_auto_compaction_keeps_state(spark):
+    from salesboard.session import fresh_dir
+    from salesboard.sources.logs import raw_log
+    from salesboard.streaming.job import JobConfig, process_batch
+
+    root = fresh_dir(spark, "t-compact")
+    cfg = JobConfig(state_root=root, stream_id="c", compact_every=2)
+    log = raw_log(spark, SF_SMALL, "ticks")
+    env = ["topic", "partition", "offset", "timestamp", "value"]
+    for b in range(5):
+        process_batch(log.where(F.col("ordinal") % 5 == b).select(*env), b, cfg)
+    assert ST.base_high_water(spark, root) == 3
+    valid = ticks_valid(spark, SF_SMALL)
+    got = {r.key: r.amt for r in ST.read_state(spark, root, "shop").collect()}
+    assert got == _as_dict(M.batch_shop_amt(valid).collect(), "shop_id", "amt")
+    # a replay of a compacted batch changes nothing
+    process_batch(log.where(F.col("ordinal") % 5 == 1).select(*env), 1, cfg)
+    assert {r.key: r.amt for r in ST.read_state(spark, root, "shop").collect()} == got
