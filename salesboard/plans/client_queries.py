@@ -11,8 +11,7 @@ from salesboard.operators import ranking as R
 from salesboard.operators import series as SE
 from salesboard.operators import serving as S
 from salesboard.operators import tree as TR
-from salesboard.plans.catalog import (dbl, ntz, query, sales_valid, ticks, ticks_parsed,
-                                      ticks_valid)
+from salesboard.plans.catalog import dbl, ntz, query, sales_valid, ticks, ticks_valid
 from salesboard.plans.oracle import q
 from salesboard.sources import fixtures as FX
 from salesboard.streaming.feeder import log_slice as _log_slice
