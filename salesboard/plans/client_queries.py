@@ -151,14 +151,12 @@ SELECT CAST(row_number() OVER (ORDER BY amt DESC, shop_id) AS INTEGER) AS "rank"
        CAST(amt AS DOUBLE) AS amt
 FROM (SELECT amt, MIN(shop_id) AS shop_id FROM shop_amt GROUP BY amt ORDER BY amt DESC, shop_id LIMIT 5)
 """ + """) r LEFT JOIN (
-  SELECT CAST(user_id AS VARCHAR) AS shop_id, 'Shop ' || CAST(user_id AS VARCHAR) AS shop_name
-  FROM events WHERE user_id % 2 = 0 GROUP BY user_id
+  SELECT CAST(s_suppkey AS VARCHAR) AS shop_id, MIN(s_name) AS shop_name FROM supplier GROUP BY 1
 ) d ON r.shop_id = d.shop_id"""))
 def shop_dim_lookup(spark, sf):
-    # the shop dimension: every second user of events has a display name
-    dim = (_events(spark, sf).where(F.col("user_id") % 2 == 0).select("user_id").distinct()
-           .select(F.col("user_id").cast("string").alias("shop_id"),
-                   F.concat(F.lit("Shop "), F.col("user_id").cast("string")).alias("shop_name")))
+    # the shop dimension: supplier key -> name; shop ids beyond the suppliers miss
+    dim = FX.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("shop_id"), F.col("s_name").alias("shop_name"))
     top = R.rank_position(R.top_shops(M.batch_shop_amt(ticks_valid(spark, sf))))
     out = S.shop_dim_lookup(top, dim, bounded=True)
     return out.select("rank", "shop_id", "shop_name", dbl("amt"))
