@@ -7,6 +7,7 @@ only read it.  ``get_session`` is for tests, the bench and local runs.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -69,6 +70,22 @@ def scratch_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+@contextlib.contextmanager
+def conf_override(spark: SparkSession, settings: dict):
+    """Set runtime SQL confs for a block, then restore the previous values."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """``DataFrame.checkpoint()`` needs a checkpoint dir; make sure one is set."""
     scratch_root(spark)

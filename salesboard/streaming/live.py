@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesboard.session import fresh_dir
+from salesboard.session import conf_override, fresh_dir
 from salesboard.sources.topic import read_envelope_files
 from salesboard.streaming import native as N
 from salesboard.streaming.feeder import Feeder
@@ -67,10 +67,14 @@ def live_run(spark: SparkSession, log: DataFrame, key: str, n_chunks: int = N_CH
             N.append_sink(raw, p["raw"], f"{ck}/raw"),
         ]
 
-    for k in range(n_chunks):
-        feeder.publish(k)
-        for sq in start_all():
-            sq.awaitTermination()
+    # stateful queries fix their state partitions at first start: size them to
+    # the cluster's cores, not to a batch-job default (state here is small)
+    state_parts = str(max(8, spark.sparkContext.defaultParallelism))
+    with conf_override(spark, {"spark.sql.shuffle.partitions": state_parts}):
+        for k in range(n_chunks):
+            feeder.publish(k)
+            for sq in start_all():
+                sq.awaitTermination()
     # an empty arrival: the job sees a new batch with no rows and must skip it
     feeder.publish_empty()
     job = run(read_envelope_files(spark, lr.source), lr.cfg, f"{ck}/job")
