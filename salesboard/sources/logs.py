@@ -17,17 +17,6 @@ from salesboard.sources import fixtures as FX
 _LOGS: dict[tuple[str, str, str], str] = {}
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a thin input so downstream work runs in parallel.
-
-    Only when the input has fewer partitions than the cluster has cores (one
-    small file, one row group); a wide input passes through untouched, so at
-    scale this adds no shuffle.
-    """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 BUILDERS = {
     "ticks": lambda s, sf: FX.raw_ticks(s, sf).withColumn("ordinal", FX.envelope_ordinal()),
     "sales": FX.raw_sales,
@@ -41,6 +30,6 @@ def raw_log(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = _LOGS.get(key)
     if path is None:
         path = fresh_dir(spark, f"log-{name}")
-        spread(BUILDERS[name](spark, sf_dir)).write.parquet(path)
+        BUILDERS[name](spark, sf_dir).write.parquet(path)
         _LOGS[key] = path
     return spark.read.parquet(path)
