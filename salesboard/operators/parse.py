@@ -38,13 +38,24 @@ def split_record(value) -> Column:
     """Split on a literal ``^``; trailing empty fields are dropped.
 
     ``'a^b^^'`` -> ``['a', 'b']``; plain ``split`` would keep the two empties.
+    A line of separators only has no field at all; an empty line has one.
     """
-    return F.split(_body(value), _SEPARATOR_RE)
+    v = value if isinstance(value, Column) else F.col(value)
+    body = _body(v)
+    return F.when((body == "") & (v != ""), F.array().cast("array<string>")) \
+        .otherwise(F.split(body, _SEPARATOR_RE))
+
 
+def field_count(body: Column, value: Column | None = None) -> Column:
+    """Number of fields of a trimmed body, without splitting it.
 
-def field_count(body: Column) -> Column:
-    """Number of fields of a trimmed body, without splitting it."""
-    return F.length(body) - F.length(F.replace(body, F.lit(FIELD_SEPARATOR), F.lit(""))) + 1
+    As in a split that drops trailing empty fields: an empty line has one
+    (empty) field, a line of separators only has none.
+    """
+    n = F.length(body) - F.length(F.replace(body, F.lit(FIELD_SEPARATOR), F.lit(""))) + 1
+    if value is None:
+        return n
+    return F.when((body == "") & (value != ""), F.lit(0)).otherwise(n)
 
 
 def field_at(body: Column, i: int) -> Column:
@@ -95,7 +106,7 @@ def _parse_columns(value_col: str, carry: tuple) -> tuple:
     keep = [F.col(c) for c in carry]
     stage = [*keep, F.col(value_col).alias("value"), _body(F.col(value_col)).alias("_b")]
     b = F.col("_b")
-    n = field_count(b)
+    n = field_count(b, F.col("value"))
     price = price_cast(price_low(field_at(b, RECORD_FIELDS.index("current_price"))))
     typed = [*keep, F.col("value"), n.alias("n_fields"),
              F.split(b, _SEPARATOR_RE).alias("_f"), price.alias("price")]

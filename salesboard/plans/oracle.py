@@ -84,7 +84,9 @@ def parsed(src: str, name: str, keys: str) -> str:
   SELECT *,
     CASE WHEN n_fields <> 13 THEN 'bad_arity' WHEN price IS NULL THEN 'bad_price' END AS status
   FROM (
-    SELECT {keys}, value, CAST(len(f) AS INTEGER) AS n_fields,
+    SELECT {keys}, value,
+      CAST(CASE WHEN regexp_replace(value, '\^+$', '') = '' AND value <> '' THEN 0 ELSE len(f) END
+           AS INTEGER) AS n_fields,
       f[1] AS "time", f[2] AS url, f[3] AS product_id, f[4] AS name, f[5] AS keyword,
       f[6] AS "rank", f[7] AS current_price, f[8] AS original_price, f[9] AS sales_count,
       f[10] AS shipping_address, f[11] AS shop_id, f[12] AS comments_count, f[13] AS shop_name,

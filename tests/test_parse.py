@@ -13,9 +13,9 @@ def _line(price="19.90", shop="42", name="Shop 42"):
 
 
 def test_split_drops_trailing_empty_fields(spark):
-    df = spark.createDataFrame([("a^b^^",), ("^a^b",), ("",), ("a^^b",)], "value string")
+    df = spark.createDataFrame([("a^b^^",), ("^a^b",), ("",), ("a^^b",), ("^^^",)], "value string")
     got = [r[0] for r in df.select(split_record("value")).collect()]
-    assert got == [["a", "b"], ["", "a", "b"], [""], ["a", "", "b"]]
+    assert got == [["a", "b"], ["", "a", "b"], [""], ["a", "", "b"], []]
 
 
 def test_price_low_cases(spark):
@@ -60,3 +60,10 @@ def test_fixture_counts_sf001(spark):
     assert total == Decimal("459865.61")
     shops = p.where("status is null and shop_id != ''").select("shop_id").distinct().count()
     assert shops == 150
+
+
+def test_field_count_edge_lines(spark):
+    df = spark.createDataFrame([("",), ("^^^",), ("a",), ("a^",), ("^a",)], "value string")
+    got = [(r.n_fields, r.status) for r in parse_records(df).select("n_fields", "status").collect()]
+    assert [n for n, _ in got] == [1, 0, 1, 1, 2]
+    assert all(s == "bad_arity" for _, s in got)
