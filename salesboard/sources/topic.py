@@ -21,7 +21,9 @@ def read_topic(spark: SparkSession, bootstrap_servers: str, topics: str,
     """Subscribe to a comma-separated topic list; string value.
 
     ``starting_offsets`` is ``"earliest"`` or the JSON from ``start_offsets``;
-    on restart the stream's checkpoint wins over it.
+    on restart the stream's checkpoint wins over it.  At scale pass
+    ``maxOffsetsPerTrigger`` (bounds a micro-batch) and ``minPartitions``
+    (splits a large topic partition over several tasks) in ``options``.
     """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
