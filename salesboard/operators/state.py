@@ -2,8 +2,16 @@
 
 Layout under a state root (a folder on shared storage)::
 
-    log/stream_id=<s>/batch_id=<b>/kind=<k>/      one partition per batch and kind
-    log/stream_id=_base/batch_id=<hw>/kind=base_<measure>/   compacted prefix
+    log/g=<gen>/stream_id=<s>/batch_id=<b>/kind=<k>/          a batch's outputs
+    log/g=<gen>/stream_id=_base/batch_id=<hw>/kind=base_<m>/  the generation's base
+    head/                                                     (g, hw), one row per compaction
+
+A compaction starts a new generation: its base folds every batch up to
+``hw``, later batches are written into it, and a row ``(g, hw)`` is appended
+to ``head``.  State reads list only the current generation (bounded by the
+compaction interval however long the job runs); audit reads (metrics,
+ledger, quarantine) read every generation.  Old generations are never read
+for state and can be expired by storage lifecycle rules.
 
 ``kind`` is a measure (``total``, ``shop``, ``trend``: rows ``key, amt``) or
 a batch by-product written in the same job: ``metric`` (row counts),
@@ -21,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark.errors import AnalysisException
+
 from salesboard.session import ensure_checkpoint_dir
 from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TOTAL_KEY
 
@@ -54,12 +64,13 @@ MEASURES = (M_TOTAL, M_SHOP, M_TREND)
 BASE_PREFIX = "base_"
 BASE_KINDS = tuple(BASE_PREFIX + m for m in MEASURES)
 BASE_STREAM = "_base"
-LOG_PARTITIONS = ("stream_id", "batch_id", "kind")
+LOG_PARTITIONS = ("g", "stream_id", "batch_id", "kind")
 #: Batch-log schema, partition columns included (read with it: no type inference).
 LOG_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()), T.StructField("amt", T.DecimalType(28, 2)),
     T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()),
     T.StructField("line", T.StringType()), T.StructField("n_fields", T.IntegerType()),
+    T.StructField("g", T.LongType()),
     T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType()),
     T.StructField("kind", T.StringType()),
 ])
@@ -85,9 +96,39 @@ def log_rows(df: DataFrame, kind, key=None, amt=None, topic=None, partition=None
     return df.select(*log_columns(kind, key, amt, topic, partition, line, n_fields))
 
 
-def write_batch_log(state_root: str, rows: DataFrame, stream_id: str, batch_id: int) -> None:
+HEAD_SCHEMA = T.StructType([T.StructField("g", T.LongType()), T.StructField("hw", T.LongType())])
+_HEADS: dict[tuple[str, str], tuple[int, int]] = {}
+
+
+def head(spark: SparkSession, state_root: str, fresh: bool = True) -> tuple[int, int]:
+    """``(generation, high-water batch)``; ``(0, -1)`` before any compaction.
+
+    The job that owns a state root keeps its own view (``fresh=False``) and
+    updates it when it compacts; other readers re-read the small head table.
+    """
+    key = (spark.sparkContext.applicationId, state_root)
+    if not fresh and key in _HEADS:
+        return _HEADS[key]
+    try:
+        h = (spark.read.schema(HEAD_SCHEMA).parquet(f"{state_root}/head")
+             .agg(F.max_by(F.struct("g", "hw"), "g").alias("h")).first()["h"])
+    except AnalysisException:          # no compaction yet
+        h = None
+    out = (int(h["g"]), int(h["hw"])) if h is not None else (0, -1)
+    _HEADS[key] = out
+    return out
+
+
+def _set_head(spark: SparkSession, state_root: str, g: int, hw: int) -> None:
+    spark.createDataFrame([(g, hw)], HEAD_SCHEMA).write.mode("append").parquet(f"{state_root}/head")
+    _HEADS[(spark.sparkContext.applicationId, state_root)] = (g, hw)
+
+
+def write_batch_log(state_root: str, rows: DataFrame, stream_id: str, batch_id: int,
+                    generation: int | None = None) -> None:
     """One job writes every output of a batch; replay overwrites the same partitions."""
-    out = rows.select("*", F.lit(stream_id).alias("stream_id"),
+    g = head(rows.sparkSession, state_root, fresh=False)[0] if generation is None else generation
+    out = rows.select("*", F.lit(int(g)).cast("long").alias("g"), F.lit(stream_id).alias("stream_id"),
                       F.lit(int(batch_id)).cast("long").alias("batch_id"))
     write_partitioned(out, f"{state_root}/log", *LOG_PARTITIONS)
 
@@ -101,21 +142,28 @@ def upsert_add(state_root: str, deltas: DataFrame, stream_id: str, batch_id: int
                     stream_id, batch_id)
 
 
-def read_log(spark: SparkSession, state_root: str, *kinds: str) -> DataFrame:
-    """Batch-log rows of the given kinds (partition pruning on ``kind``)."""
-    log = spark.read.schema(LOG_SCHEMA).parquet(f"{state_root}/log")
+def read_log(spark: SparkSession, state_root: str, *kinds: str, history: bool = False,
+             fresh: bool = True) -> DataFrame:
+    """Batch-log rows of the given kinds (partition pruning on ``kind``).
+
+    The current generation only (its folder alone is listed), or with
+    ``history=True`` every generation.
+    """
+    base = f"{state_root}/log"
+    r = spark.read.schema(LOG_SCHEMA).option("basePath", base)
+    log = r.parquet(base if history else f"{base}/g={head(spark, state_root, fresh)[0]}")
     return log.where(F.col("kind").isin(*kinds)) if kinds else log
 
 
 def read_deltas(spark: SparkSession, state_root: str) -> DataFrame:
     """``(measure, key, delta, stream_id, batch_id)`` of every batch."""
-    return read_log(spark, state_root, *MEASURES).select(
+    return read_log(spark, state_root, *MEASURES, history=True).select(
         F.col("kind").alias("measure"), "key", F.col("amt").alias("delta"), "stream_id", "batch_id")
 
 
 def read_metrics(spark: SparkSession, state_root: str) -> DataFrame:
     """Per batch: ``(stream_id, batch_id, n_rows, n_valid, n_bad, amt)``."""
-    log = read_log(spark, state_root, "metric", M_TOTAL)
+    log = read_log(spark, state_root, "metric", M_TOTAL, history=True)
     def pick(kind, key=None):
         cond = F.col("kind") == kind
         if key:
@@ -130,36 +178,35 @@ def read_metrics(spark: SparkSession, state_root: str) -> DataFrame:
 
 def read_ledger(spark: SparkSession, state_root: str) -> DataFrame:
     """Per batch: ``(topic, partition, next_offset, stream_id, batch_id)``."""
-    return read_log(spark, state_root, "offset").select(
+    return read_log(spark, state_root, "offset", history=True).select(
         "topic", "partition", F.col("amt").cast("long").alias("next_offset"), "stream_id", "batch_id")
 
 
 def read_quarantine(spark: SparkSession, state_root: str) -> DataFrame:
     """Rejected lines: ``(value, n_fields, reason, stream_id, batch_id)``."""
-    return read_log(spark, state_root, "bad").select(
+    return read_log(spark, state_root, "bad", history=True).select(
         F.col("line").alias("value"), "n_fields", F.col("key").alias("reason"), "stream_id", "batch_id")
 
 
-def base_high_water(spark: SparkSession, state_root: str) -> int:
-    """Newest compaction's high-water batch id (``-1`` if none); one small read."""
-    v = read_log(spark, state_root, *BASE_KINDS).agg(F.max("batch_id")).first()[0]
-    return -1 if v is None else int(v)
+def base_high_water(spark: SparkSession, state_root: str, fresh: bool = True) -> int:
+    """Newest compaction's high-water batch id (``-1`` if none)."""
+    return head(spark, state_root, fresh)[1]
 
 
 def read_state(spark: SparkSession, state_root: str, measure: str | None = None,
-               up_to_batch: int | None = None) -> DataFrame:
-    """Current ``(measure, key, amt)``: newest compacted base plus newer deltas.
+               up_to_batch: int | None = None, fresh: bool = True) -> DataFrame:
+    """Current ``(measure, key, amt)``: the generation's base plus its later deltas.
 
     ``up_to_batch`` reads the state as of that batch (later deltas are
     ignored), so a replayed batch sees exactly what it saw the first time; it
-    must not be older than the newest compaction.  The high-water mark is a
-    scalar subquery, so the whole read is one plan.
+    must not be older than the newest compaction.
     """
+    g, hw = head(spark, state_root, fresh)
+    if up_to_batch is not None and up_to_batch < hw:
+        raise ValueError(f"batch {up_to_batch} is already folded into the base (hw={hw})")
     kinds = (measure,) if measure else MEASURES
-    log = read_log(spark, state_root, *kinds, *[BASE_PREFIX + k for k in kinds])
+    log = read_log(spark, state_root, *kinds, *[BASE_PREFIX + k for k in kinds], fresh=False)
     is_base = F.col("kind").startswith(BASE_PREFIX)
-    hw = (read_log(spark, state_root, *BASE_KINDS)
-          .agg(F.coalesce(F.max("batch_id"), F.lit(-1).cast("long"))).scalar())
     keep = (is_base & (F.col("batch_id") == hw)) | (~is_base & (F.col("batch_id") > hw))
     if up_to_batch is not None:
         keep = keep & (is_base | (F.col("batch_id") <= F.lit(int(up_to_batch))))
@@ -182,23 +229,28 @@ def state_merge(hist: DataFrame, delta: DataFrame, keys=("key",),
                     .cast(DELTA_TYPE).alias("amt"))
 
 
-def compact(spark: SparkSession, state_root: str, up_to_batch: int) -> int:
-    """Fold batches ``<= up_to_batch`` into a new base, kinds ``base_<measure>``.
+def compact(spark: SparkSession, state_root: str, up_to_batch: int | None = None) -> int:
+    """Start a new generation whose base folds every batch written so far.
 
-    The base is written into the same log as partition
-    ``stream_id=_base/batch_id=<up_to_batch>``; readers take the newest base
-    and only deltas after it.  Old bases and deltas are left in place, so a
-    crash mid-compaction loses nothing.  Run outside a running micro-batch.
-    The merged state is checkpointed first: the log is read and written.
+    The new high-water mark is the newest batch in the current generation
+    (and at least ``up_to_batch``): a generation never leaves a batch behind.
+    Writes the base into ``g+1``, then appends ``(g+1, hw)`` to the head; a
+    crash before the head row leaves the old generation current (the
+    half-made one is rewritten next time).  Run it from the job that owns the
+    state root (``compact_every``), or while that job is stopped.
     """
     ensure_checkpoint_dir(spark)
-    hw = base_high_water(spark, state_root)
-    if up_to_batch <= hw:
+    g, hw = head(spark, state_root)
+    newest = read_log(spark, state_root, *MEASURES, fresh=False).agg(F.max("batch_id")).first()[0]
+    new_hw = max(hw, -1 if newest is None else int(newest),
+                 -1 if up_to_batch is None else int(up_to_batch))
+    if new_hw <= hw:
         return hw
-    merged = read_state(spark, state_root, up_to_batch=up_to_batch).checkpoint()
+    merged = read_state(spark, state_root, up_to_batch=new_hw, fresh=False).checkpoint()
     rows = log_rows(merged, F.concat(F.lit(BASE_PREFIX), F.col("measure")), "key", "amt")
-    write_batch_log(state_root, rows, BASE_STREAM, up_to_batch)
-    return up_to_batch
+    write_batch_log(state_root, rows, BASE_STREAM, new_hw, generation=g + 1)
+    _set_head(spark, state_root, g + 1, new_hw)
+    return new_hw
 
 
 def state_point_get(state: DataFrame, key_col: str, key_value) -> DataFrame:

@@ -30,10 +30,10 @@ from pyspark.sql.streaming import StreamingQuery
 from salesboard.operators.measures import bucket_time
 from salesboard.operators.parse import parse_records
 from salesboard.operators.serving import serving_snapshot
+from salesboard.operators.state import (base_high_water, compact, log_columns, read_ledger,
+                                        read_state, write_batch_log, write_partitioned)
 from salesboard.sources.topic import (EARLIEST, latest_offsets, read_topic,
                                       starting_offsets_option)
-from salesboard.operators.state import (base_high_water, compact, log_columns, read_ledger, read_state, write_batch_log,
-                                        write_partitioned)
 from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TIME_FORMAT, TOTAL_KEY
 
 ENVELOPE_CARRY = ("topic", "partition", "offset", "timestamp")
@@ -139,6 +139,8 @@ def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> int:
     is observed during the write job itself, so no extra job asks.
     """
     spark = raw.sparkSession
+    if batch_id <= base_high_water(spark, cfg.state_root, fresh=False):
+        return 0    # replay of a batch already folded into the base: nothing to redo
     slim = slim_batch(raw, cfg.time_col).persist()
     seen = Observation(f"batch_{cfg.stream_id}_{batch_id}")
     try:
@@ -152,10 +154,7 @@ def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> int:
     if n_rows == 0:
         return 0
     if cfg.serve:
-        if batch_id <= base_high_water(spark, cfg.state_root):
-            # replay of a batch already folded into the base
-            return n_rows
-        state = read_state(spark, cfg.state_root, up_to_batch=batch_id)
+        state = read_state(spark, cfg.state_root, up_to_batch=batch_id, fresh=False)
         snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds)
         tag = [F.lit(cfg.stream_id).alias("stream_id"), F.lit(int(batch_id)).cast("long").alias("batch_id")]
         write_partitioned(snap.select("*", *tag), cfg.serving, "stream_id", "batch_id")

@@ -52,14 +52,18 @@ def test_upsert_add_is_idempotent_and_compacts(spark):
     assert got == want
     assert {(r.measure, r.key): r.amt for r in ST.read_state(spark, root, up_to_batch=0).collect()} == \
         {("shop", "a"): Decimal("1.00"), ("total", "*"): Decimal("1.00")}
-    ST.compact(spark, root, 0)
+    assert ST.compact(spark, root) == 1                  # folds every batch written so far
+    assert ST.head(spark, root) == (1, 1)
     ST.upsert_add(root, _deltas(spark, [("shop", "c", Decimal("1.00"))]), "s", 2)
     want[("shop", "c")] = Decimal("1.00")
     got = {(r.measure, r.key): r.amt for r in ST.read_state(spark, root).collect()}
     assert got == want
-    ST.compact(spark, root, 2)
+    assert ST.compact(spark, root, 2) == 2
     got = {(r.measure, r.key): r.amt for r in ST.read_state(spark, root).collect()}
     assert got == want
+    # audit reads see every generation; each batch exactly once
+    per_batch = ST.read_deltas(spark, root).groupBy("batch_id").count().collect()
+    assert sorted(r.batch_id for r in per_batch) == [0, 1, 2]
 
 
 def test_state_merge_full_outer(spark):
