@@ -4,8 +4,8 @@ The log (``raw_ticks``, one record per ``events`` row) is cut into ordinal
 ranges by the feeder.  For each range: publish it, then run every streaming
 query with ``availableNow`` (each resumes from its own checkpoint, exactly as
 after a restart).  Finally one empty file is published (the job must skip the
-empty batch) and batch 1 is replayed through ``process_batch`` (the delta log
-must not move).
+empty batch) and batch 1 is replayed through ``process_batch`` (the state
+must not move; batch 1 is folded into a compacted base by then).
 
 Queries run on the whole log; all folders are new sub-folders of the
 session's scratch root (``spark.checkpoint.dir``).
@@ -47,7 +47,8 @@ def live_run(spark: SparkSession, log: DataFrame, key: str, n_chunks: int = N_CH
     if memo in _RUNS:
         return _RUNS[memo]
     root = fresh_dir(spark, "live")
-    lr = LiveRun(root=root, cfg=JobConfig(state_root=f"{root}/state", stream_id="s0"),
+    # compact every 2 batches, so state reads cross generations in every run
+    lr = LiveRun(root=root, cfg=JobConfig(state_root=f"{root}/state", stream_id="s0", compact_every=2),
                  source=f"{root}/source", staging=f"{root}/staging")
     feeder = Feeder(spark, log, lr.staging, lr.source, n_chunks, keep=ENVELOPE_COLUMNS)
     p = lr.paths
