@@ -148,6 +148,6 @@ def parse_sales(raw: DataFrame, value_col: str = "value",
     return valid_sales(parsed, carry), quarantine(parsed)
 
 
-def slim_projection(valid: DataFrame) -> DataFrame:
-    """The six columns the measures need."""
-    return valid.select(*VALID_SALE_COLUMNS)
+def slim_projection(valid: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The six columns the measures need (plus carried keys)."""
+    return valid.select(*carry, *VALID_SALE_COLUMNS)

@@ -116,8 +116,8 @@ SELECT "partition", "offset", "time", product_id, name, CAST(price AS DOUBLE) AS
        shop_id, shop_name
 FROM ticks_valid"""))
 def slim_projection(spark, sf):
-    v = ticks_valid(spark, sf)
-    return v.select("partition", "offset", ntz("time"), "product_id", "name", dbl("price"),
+    s = P.slim_projection(ticks_valid(spark, sf), carry=("partition", "offset"))
+    return s.select("partition", "offset", ntz("time"), "product_id", "name", dbl("price"),
                     "shop_id", "shop_name")
 
 
