@@ -116,3 +116,17 @@ def test_auto_compaction_keeps_state(spark):
     # a replay of a compacted batch changes nothing
     process_batch(log.where(F.col("ordinal") % 5 == 1).select(*env), 1, cfg)
     assert {r.key: r.amt for r in ST.read_state(spark, root, "shop").collect()} == got
+
+
+def test_processing_time_buckets_one_second_per_batch(spark):
+    from salesboard.session import fresh_dir
+    from salesboard.sources.logs import raw_log
+    from salesboard.streaming.job import JobConfig, process_batch
+
+    root = fresh_dir(spark, "t-proc")
+    cfg = JobConfig(state_root=root, stream_id="p", time_col="processing", serve=False)
+    env = ["topic", "partition", "offset", "timestamp", "value"]
+    process_batch(raw_log(spark, SF_SMALL, "ticks").select(*env), 0, cfg)
+    trend = ST.read_state(spark, root, "trend").collect()
+    total = ST.read_state(spark, root, "total").first().amt
+    assert len(trend) == 1 and trend[0].amt == total
