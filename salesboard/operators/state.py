@@ -106,9 +106,20 @@ def _set_head(spark: SparkSession, state_root: str, g: int, hw: int) -> None:
 
 
 def write_batch_log(state_root: str, rows: DataFrame, stream_id: str, batch_id: int,
-                    generation: int | None = None) -> None:
-    """One job writes every output of a batch; replay overwrites the same partitions."""
+                    generation: int | None = None, cluster_by_key: bool = False) -> None:
+    """One job writes every output of a batch; replay overwrites the same partitions.
+
+    ``cluster_by_key`` sorts each file by key (the writer's partition-column
+    order first), so min/max statistics let point gets skip row groups.
+    """
     g = head(rows.sparkSession, state_root, fresh=False)[0] if generation is None else generation
+    if cluster_by_key:
+        # write into the batch's own folder, partitioned by kind only: the
+        # constant partition values live in the path, so the writer's
+        # required order (kind) is a prefix of ours (kind, key) and it keeps it
+        folder = f"{state_root}/log/g={int(g)}/stream_id={stream_id}/batch_id={int(batch_id)}"
+        write_partitioned(rows.sortWithinPartitions("kind", "key"), folder, "kind")
+        return
     out = rows.select("*", F.lit(int(g)).cast("long").alias("g"), F.lit(stream_id).alias("stream_id"),
                       F.lit(int(batch_id)).cast("long").alias("batch_id"))
     write_partitioned(out, f"{state_root}/log", *LOG_PARTITIONS)
@@ -228,8 +239,10 @@ def compact(spark: SparkSession, state_root: str, up_to_batch: int | None = None
     if new_hw <= hw:
         return hw
     merged = read_state(spark, state_root, up_to_batch=new_hw, fresh=False).checkpoint()
+    # clustered by key inside each file, so a point get on the base skips row
+    # groups by their min/max statistics
     rows = log_rows(merged, F.concat(F.lit(BASE_PREFIX), F.col("measure")), "key", "amt")
-    write_batch_log(state_root, rows, BASE_STREAM, new_hw, generation=g + 1)
+    write_batch_log(state_root, rows, BASE_STREAM, new_hw, generation=g + 1, cluster_by_key=True)
     _set_head(spark, state_root, g + 1, new_hw)
     return new_hw
 
