@@ -10,8 +10,10 @@
    ``(stream_id, batch_id, kind)`` of the batch log, with dynamic partition
    overwrite -- a batch replayed after a crash overwrites itself instead of
    adding twice (the stream checkpoint is the real recovery point);
-3. the serving snapshot (total, ranking JSON, trend point) is refreshed from
-   the state as of this batch, so readers never see a half-written measure.
+3. every ``compact_every`` batches the log is folded into a new generation;
+4. the serving snapshot (total, ranking JSON, trend point) is written from
+   the state as of this batch into the current generation's serving folder,
+   so readers never see a half-written measure.
 
 Amounts are decimals end to end; nothing is collected to the driver except
 ``isEmpty``.
@@ -30,8 +32,8 @@ from pyspark.sql.streaming import StreamingQuery
 from salesboard.operators.measures import bucket_time
 from salesboard.operators.parse import parse_records
 from salesboard.operators.serving import serving_snapshot
-from salesboard.operators.state import (base_high_water, compact, log_columns, read_ledger,
-                                        read_state, write_batch_log, write_partitioned)
+from salesboard.operators.state import (base_high_water, compact, head, log_columns,
+                                        read_ledger, read_state, write_batch_log)
 from salesboard.sources.topic import (EARLIEST, latest_offsets, read_topic,
                                       starting_offsets_option)
 from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TIME_FORMAT, TOTAL_KEY
@@ -59,14 +61,29 @@ class JobConfig:
         return f"{self.state_root}/serving"
 
 
-SERVING_SCHEMA = "total_amt double, ranking string, trend_point string, stream_id string, batch_id long"
+SERVING_SCHEMA = ("total_amt double, ranking string, trend_point string, "
+                  "g long, stream_id string, batch_id long")
 
 
 def read_serving(spark, cfg: JobConfig) -> DataFrame:
-    """Serving snapshots, one per batch (``live_poll``)."""
+    """Every serving snapshot, one per batch, all generations (``live_poll`` history)."""
     return spark.read.schema(SERVING_SCHEMA).parquet(cfg.serving)
 
 
+def latest_snapshot(spark, cfg: JobConfig) -> DataFrame:
+    """The newest snapshot: what a wallboard polls.
+
+    Only the current generation's folder is listed (the job compacts before
+    it serves, so the newest snapshot is always there).
+    """
+    g = head(spark, cfg.state_root)[0]
+    snaps = (spark.read.schema(SERVING_SCHEMA).option("basePath", cfg.serving)
+             .parquet(f"{cfg.serving}/g={g}"))
+    newest = snaps.agg(F.max_by(F.struct("total_amt", "ranking", "trend_point", "batch_id"),
+                                "batch_id").alias("s"))
+    return newest.select("s.*")
+
+
 def slim_batch(raw: DataFrame, time_col: str = "event") -> DataFrame:
     """Parse a raw batch into the narrow frame every output reads."""
     return parse_records(raw, carry=ENVELOPE_CARRY).select(*_slim_columns(time_col))
@@ -153,15 +170,16 @@ def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> int:
     n_rows = int(seen.get.get("n_rows", 0) or 0)
     if n_rows == 0:
         return 0
-    if cfg.serve:
-        state = read_state(spark, cfg.state_root, up_to_batch=batch_id, fresh=False)
-        snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds)
-        tag = [F.lit(cfg.stream_id).alias("stream_id"), F.lit(int(batch_id)).cast("long").alias("batch_id")]
-        write_partitioned(snap.select("*", *tag), cfg.serving, "stream_id", "batch_id")
     if cfg.compact_every and (batch_id + 1) % cfg.compact_every == 0:
         # batches run one after another, so this is between batches; state
         # reads then cover one base plus at most ``compact_every`` batches
         compact(spark, cfg.state_root, batch_id)
+    if cfg.serve:
+        g = head(spark, cfg.state_root, fresh=False)[0]
+        state = read_state(spark, cfg.state_root, up_to_batch=batch_id, fresh=False)
+        snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds)
+        folder = f"{cfg.serving}/g={g}/stream_id={cfg.stream_id}/batch_id={int(batch_id)}"
+        snap.write.mode("overwrite").parquet(folder)     # replay-safe: the batch's own folder
     return n_rows
 
 

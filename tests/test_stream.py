@@ -130,3 +130,22 @@ def test_processing_time_buckets_one_second_per_batch(spark):
     trend = ST.read_state(spark, root, "trend").collect()
     total = ST.read_state(spark, root, "total").first().amt
     assert len(trend) == 1 and trend[0].amt == total
+
+
+def test_latest_snapshot_after_compaction(spark):
+    import json
+    from salesboard.session import fresh_dir
+    from salesboard.sources.logs import raw_log
+    from salesboard.streaming.job import JobConfig, latest_snapshot, process_batch, read_serving
+
+    root = fresh_dir(spark, "t-snap")
+    cfg = JobConfig(state_root=f"{root}/state", stream_id="q", compact_every=2)
+    log = raw_log(spark, SF_SMALL, "ticks")
+    env = ["topic", "partition", "offset", "timestamp", "value"]
+    for b in range(4):
+        process_batch(log.where(F.col("ordinal") % 4 == b).select(*env), b, cfg)
+    snap = latest_snapshot(spark, cfg).first()
+    total = float(M.batch_total(ticks_valid(spark, SF_SMALL)).first()[0])
+    assert snap.batch_id == 3 and abs(snap.total_amt - total) < 1e-6
+    assert len(json.loads(snap.ranking)) == 5
+    assert read_serving(spark, cfg).count() == 4
