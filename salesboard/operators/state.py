@@ -90,6 +90,11 @@ def head(spark: SparkSession, state_root: str, fresh: bool = True) -> tuple[int,
     key = (spark.sparkContext.applicationId, state_root)
     if not fresh and key in _HEADS:
         return _HEADS[key]
+    if not fresh:
+        # the owning job makes sure the head exists, so no read has to fail:
+        # a (0, -1) row is neutral (the newest generation wins)
+        spark.createDataFrame([(0, -1)], HEAD_SCHEMA).write.mode("append").parquet(
+            f"{state_root}/head")
     try:
         h = (spark.read.schema(HEAD_SCHEMA).parquet(f"{state_root}/head")
              .agg(F.max_by(F.struct("g", "hw"), "g").alias("h")).first()["h"])
