@@ -21,6 +21,7 @@ Amounts are decimals end to end; nothing is collected to the driver except
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -159,7 +160,7 @@ def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> int:
     if batch_id <= base_high_water(spark, cfg.state_root, fresh=False):
         return 0    # replay of a batch already folded into the base: nothing to redo
     slim = slim_batch(raw, cfg.time_col).persist()
-    seen = Observation(f"batch_{cfg.stream_id}_{batch_id}")
+    seen = Observation(f"batch_{cfg.stream_id}_{batch_id}_{uuid.uuid4().hex[:8]}")
     try:
         out = batch_log(slim).observe(
             seen, F.coalesce(F.sum(F.when((F.col("kind") == "metric") & (F.col("key") == "n_rows"),
