@@ -159,18 +159,20 @@ def read_deltas(spark: SparkSession, state_root: str) -> DataFrame:
 
 
 def read_metrics(spark: SparkSession, state_root: str) -> DataFrame:
-    """Per batch: ``(stream_id, batch_id, n_rows, n_valid, n_bad, amt)``."""
+    """Per batch: ``(stream_id, batch_id, n_rows, n_valid, n_bad, amt, batch_time)``."""
     log = read_log(spark, state_root, "metric", M_TOTAL, history=True)
     def pick(kind, key=None):
         cond = F.col("kind") == kind
         if key:
             cond = cond & (F.col("key") == key)
         return F.max(F.when(cond, F.col("amt")))
-    return log.groupBy("stream_id", "batch_id").agg(
+    per = log.groupBy("stream_id", "batch_id").agg(
         pick("metric", "n_rows").cast("long").alias("n_rows"),
         pick("metric", "n_valid").cast("long").alias("n_valid"),
-        pick("metric", "n_bad").cast("long").alias("n_bad"),
-        pick(M_TOTAL).alias("amt"))
+        pick(M_TOTAL).alias("amt"),
+        F.timestamp_millis(pick("metric", "batch_time_ms").cast("long")).alias("batch_time"))
+    return per.select("stream_id", "batch_id", "n_rows", "n_valid",
+                      (F.col("n_rows") - F.col("n_valid")).alias("n_bad"), "amt", "batch_time")
 
 
 def read_ledger(spark: SparkSession, state_root: str) -> DataFrame:

@@ -131,6 +131,8 @@ def _batch_log_columns() -> dict:
     entries = F.array(
         _entry("metric", F.lit("n_rows"), one),
         _entry("metric", F.lit("n_valid"), F.when(ok, one).otherwise(zero)),
+        # the batch clock (one value per query), kept as a max
+        _entry("metric", F.lit("batch_time_ms"), zero, F.unix_millis(F.current_timestamp())),
         _entry(M_TOTAL, F.lit(TOTAL_KEY), F.when(ok, F.col("price")).otherwise(zero)),
         _entry("offset", F.lit(None), F.lit(None), F.col("offset"), F.col("topic"), F.col("partition")),
         F.when(ok & (F.col("shop_id") != ""), _entry(M_SHOP, F.col("shop_id"), F.col("price"))),
@@ -142,7 +144,9 @@ def _batch_log_columns() -> dict:
         "group": ("kind", "key", "topic", "partition"),
         "aggs": (F.sum("amt").alias("amt"), F.max("off").alias("off")),
         "folded": log_columns(F.col("kind"), "key",
-                              F.when(F.col("kind") == "offset", F.col("off") + 1).otherwise(F.col("amt")),
+                              F.when(F.col("kind") == "offset", F.col("off") + 1)
+                              .when(F.col("key") == "batch_time_ms", F.col("off"))
+                              .otherwise(F.col("amt")),
                               topic="topic", partition="partition"),
         "bad": ~ok,
         "bad_rows": log_columns("bad", key="status", line="value", n_fields="n_fields"),

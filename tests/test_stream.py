@@ -149,3 +149,10 @@ def test_latest_snapshot_after_compaction(spark):
     assert snap.batch_id == 3 and abs(snap.total_amt - total) < 1e-6
     assert len(json.loads(snap.ranking)) == 5
     assert read_serving(spark, cfg).count() == 4
+
+
+def test_batch_metric_has_time_and_amount(spark, live):
+    rows = ST.read_metrics(spark, live.cfg.state_root).orderBy("batch_id").collect()
+    assert all(r.batch_time is not None for r in rows)
+    assert [r.batch_time for r in rows] == sorted(r.batch_time for r in rows)
+    assert all(r.n_rows == r.n_valid + r.n_bad for r in rows)
