@@ -16,3 +16,37 @@ def test_sort_and_flatten(spark):
     assert s["y"] == 1 and s["x"] == 2 and s["a"] == 1 and s["root"] == 1
     f = {r.node: (r.depth, r.is_leaf, r.max_depth) for r in T.tree_flatten(_nodes(spark)).collect()}
     assert f == {"a": (1, False, 2), "x": (2, True, 2), "y": (2, True, 2)}
+
+
+def test_hot_parent_against_brute_force(spark):
+    # 3000 nodes: a third hang off one parent, the rest form a deeper tree
+    parent = {"n0": None}
+    for i in range(1, 3000):
+        parent[f"n{i}"] = "n1" if i % 3 == 0 else f"n{(i - 1) // 4}"
+    size = {n: (int(n[1:]) * 37) % 11 for n in parent}
+    rows = [(n, p, size[n]) for n, p in parent.items()]
+    nodes = spark.createDataFrame(rows, "node string, parent string, size long").repartition(8)
+
+    children = {}
+    for n, p in parent.items():
+        children.setdefault(p, []).append(n)
+
+    def value(n):
+        return size[n] + sum(value(c) for c in children.get(n, []))
+
+    import sys
+    sys.setrecursionlimit(10000)
+    want = {n: value(n) for n in parent}
+    got = {r.node: r.value for r in T.tree_rollup(nodes).collect()}
+    assert got == want
+
+    rank = {}
+    for p, cs in children.items():
+        for i, c in enumerate(sorted(cs, key=lambda c: (-want[c], c)), 1):
+            rank[c] = i
+    assert {r.node: r.sibling_rank for r in T.tree_sort(nodes).collect()} == rank
+
+    def depth(n):
+        return 0 if parent[n] is None else 1 + depth(parent[n])
+    flat = {r.node: r.depth for r in T.tree_flatten(nodes).collect()}
+    assert flat == {n: depth(n) for n in parent if parent[n] is not None}
