@@ -66,12 +66,11 @@ class ForcedBoundaryBPE:
 
     def fragments(self, symbols: str) -> list[str]:
         """Cut a pre-token (as byte symbols) wherever no vocabulary token spans the place."""
-        out, start, last = [], 0, len(symbols) - 1
-        for k in range(last):
-            if symbols[k:k + 2] not in (self._ending if k + 1 == last else self._inside):
-                out.append(symbols[start:k + 1])
-                start = k + 1
-        return [*out, symbols[start:]]
+        pairs = [a + b for a, b in zip(symbols, symbols[1:])]
+        if not pairs or pairs[-1] in self._ending and self._inside.issuperset(pairs[:-1]):
+            return [symbols]
+        cuts = [k + 1 for k, p in enumerate(pairs) if p not in (self._ending if k + 1 == len(pairs) else self._inside)]
+        return [symbols[a:b] for a, b in zip([0, *cuts], [*cuts, len(symbols)])]
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-token; special-token strings give their id."""

@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesboard.llm import bpe
+from salesboard.llm import bpe, token_store
 from salesboard.llm.common import documents
+from salesboard.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB twins, where SQL can express the operator.
@@ -26,3 +28,10 @@ def query(fn):
 @query
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
+
+
+@query
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = documents(spark, sf_dir), fresh_dir(spark, "token-store")
+    token_store.write_store(docs, path)
+    return token_store.read_all(spark, path, docs.select(F.col("doc_id").alias("key")))
