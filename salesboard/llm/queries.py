@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesboard.llm import bpe, token_store
+from salesboard.llm import bpe, token_counts, token_store
 from salesboard.llm.common import documents
 from salesboard.session import fresh_dir
 
@@ -30,6 +30,11 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir))
+
+
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = documents(spark, sf_dir), fresh_dir(spark, "token-store")
