@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesboard.llm import bpe, token_counts, token_store
+from salesboard.llm import bpe, quality, simhash, token_counts, token_store
 from salesboard.llm.common import documents
 from salesboard.session import fresh_dir
 
@@ -35,6 +35,17 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, most=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = documents(spark, sf_dir), fresh_dir(spark, "token-store")
