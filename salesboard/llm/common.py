@@ -106,3 +106,12 @@ class Tokens:
         flat = pa.array(values, kind).take(pa.array(codes))
         lists = pa.LargeListArray.from_arrays(pa.array(at, pa.int64()), flat.cast(pa.large_string() if kind == pa.string() else pa.large_binary()))
         return pc.binary_join(lists, pa.scalar(by, lists.type.value_type))
+
+
+#: Rows of a few dozen bytes up to which a counted table is broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows (counted), else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.count() <= rows else df

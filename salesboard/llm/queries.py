@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesboard.llm import bpe, quality, simhash, token_counts, token_store
+from salesboard.llm import bpe, decontam, quality, simhash, token_counts, token_store
 from salesboard.llm.common import documents
 from salesboard.session import fresh_dir
 
@@ -35,6 +35,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
+@query
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "item_id", "n_words", "n_tiles", "n_covered", "coverage")
+
+
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
