@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesboard.llm import bpe, decontam, quality, simhash, token_counts, token_store
+from salesboard.llm import bpe, decontam, quality, rules, simhash, token_counts, token_store
 from salesboard.llm.common import documents
 from salesboard.session import fresh_dir
 
@@ -52,6 +52,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(documents(spark, sf_dir))
+
+
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = documents(spark, sf_dir), fresh_dir(spark, "token-store")
