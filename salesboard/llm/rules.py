@@ -2,7 +2,7 @@ r"""Quality rules: base counts and divergence from the language's own statistics
 
 Base counts come from the words ``[^\x20\x09-\x0D]+`` and lines of a whole text.
 For the verdict, a document's histogram over character classes and its histogram
-over the most common words of its language are compared with those of the whole
+over the most common words of its language (as written) are compared with those of the whole
 language by Jensen-Shannon distance (base 2, 0 to 1).  The references are counted
 over all documents of the table.  Two guards keep thin evidence out: documents
 below ``MIN_WORDS`` words and languages below ``MIN_REFERENCE_WORDS`` words are
@@ -29,7 +29,7 @@ from salesboard.llm.common import SPACE, small_side, whole_text, written
 #: Base rules.
 LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED_PERCENT = 20, 8, 30
 #: Common words of a language's reference, guards and largest accepted distances.
-COMMON_WORDS = 24
+COMMON_WORDS = 16
 MIN_WORDS, MIN_REFERENCE_WORDS = 50, 2000
 CLASS_DISTANCE, WORD_DISTANCE = 0.30, 0.42
 #: Character classes, counted in this order; what is left over is the last class.
@@ -42,7 +42,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def split_words(text: Column) -> Column:
-    return F.array_remove(F.split(text, SPACE + "+"), "")
+    """Words of a text: a plain one-character split, once every separator is a space."""
+    for mark in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(mark), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def _window_hashes(words: Column, n: Column) -> Column:
@@ -66,7 +69,7 @@ def _covered(hashes: Column) -> Column:
 
 
 def base_counts(docs: DataFrame, *carried: str) -> DataFrame:
-    """``doc_id``, the base counts, ``base_failed`` and the ``carried`` columns of every row; ``text`` whole."""
+    """``doc_id``, the base counts, ``base_failed``, the ``carried`` columns, the whole ``text`` and its ``words``, for every row."""
     kept = [c for c in carried if c not in ("doc_id", "text")]
     d = docs.select("doc_id", *kept, whole_text().alias("text"))
     d = d.withColumn("words", split_words(F.col("text")))
@@ -74,7 +77,7 @@ def base_counts(docs: DataFrame, *carried: str) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     d = d.withColumn("lines", lines).withColumn("hashes", F.when(F.col("n") >= REPEAT_WINDOW, _window_hashes(F.col("words"), F.col("n"))))
     repeated = F.when(F.size("hashes") > F.size(F.array_distinct("hashes")), _covered(F.col("hashes"))).otherwise(0)
-    d = d.select("doc_id", *kept, "text", F.col("n").cast("long").alias("n_words"),
+    d = d.select("doc_id", *kept, "text", "words", F.col("n").cast("long").alias("n_words"),
                  F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
                  (F.length("text") - F.length(F.regexp_replace("text", "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
                  (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -101,7 +104,7 @@ def references(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
     chars = d.select("language", class_counts(F.col("text")).alias("c")).groupBy("language").agg(*[F.sum(F.col("c")[k]).alias(f"c{k}") for k in range(n_classes)])
     total = sum((F.col(f"c{k}") for k in range(1, n_classes)), F.col("c0"))
     chars = chars.select("language", F.array(*[F.col(f"c{k}") / total for k in range(n_classes)]).alias("class_share"))
-    counts = d.select("language", F.explode(split_words(F.lower("text"))).alias("word")).groupBy("language", "word").agg(F.count("*").alias("n"))
+    counts = d.select("language", F.explode(split_words(F.col("text"))).alias("word")).groupBy("language", "word").agg(F.count("*").alias("n"))
     counts = written(counts, "language-words")
     sizes = counts.groupBy("language").agg(F.sum("n").alias("total")).where(F.col("total") >= MIN_REFERENCE_WORDS)
     order = Window.partitionBy("language").orderBy(F.desc("n"), "word")
@@ -125,7 +128,7 @@ def judge(docs: DataFrame) -> DataFrame:
     refs = small_side(written(references(docs), "references"))
     d = base_counts(docs, "lang").withColumn("language", F.coalesce(F.col("lang").cast("string"), F.lit(""))).join(refs, "language", "left")
     judged = (F.col("n_words") >= MIN_WORDS) & F.col("common").isNotNull()
-    d = d.withColumn("codes", F.when(judged, F.transform(split_words(F.lower("text")), lambda w: F.array_position("common", w))))
+    d = d.withColumn("codes", F.when(judged, F.transform("words", lambda w: F.array_position("common", w))))
     d = d.withColumn("classes", F.when(judged, class_counts(F.col("text"))))
     in_class = F.transform("classes", lambda c: c / F.aggregate("classes", F.lit(0.0), lambda a, x: a + x))
     at = [(F.size("codes") - F.size(F.array_remove("codes", F.lit(k).cast("long")))) / F.size("codes") for k in [*range(1, COMMON_WORDS + 1), 0]]
