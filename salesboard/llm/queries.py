@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesboard.llm import bpe, decontam, pii, quality, rules, simhash, token_counts, token_store
+from salesboard.llm import bpe, decontam, pii, quality, rules, simhash, substring, token_counts, token_store
 from salesboard.llm.common import documents
 from salesboard.session import fresh_dir
 
@@ -67,3 +67,9 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = documents(spark, sf_dir), fresh_dir(spark, "token-store")
     token_store.write_store(docs, path)
     return token_store.read_all(spark, path, docs.select(F.col("doc_id").alias("key")))
+
+
+@query
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.deduplicate(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
