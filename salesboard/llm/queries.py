@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesboard.llm import bpe, decontam, pii, quality, rules, simhash, substring, token_counts, token_store
+from salesboard.llm import bpe, decontam, licenses, pii, quality, rules, simhash, substring, token_counts, token_store
 from salesboard.llm.common import documents
 from salesboard.session import fresh_dir
 
@@ -62,6 +62,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(documents(spark, sf_dir))
 
 
+@query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = documents(spark, sf_dir), fresh_dir(spark, "token-store")
