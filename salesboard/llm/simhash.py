@@ -6,10 +6,9 @@ wildcarded, 2 x 32 variants a fingerprint; fingerprints that meet in a variant
 are candidates and are verified on all 64 bits.
 
 * Equal fingerprints are one entry from the start, so exact copies cost nothing.
-* A variant's bucket is first counted (pre-aggregated, with its smallest and
-  largest entry).  A bucket of two is verified from that row.  The members of
-  larger ones are joined back; a bucket gives the links of a spanning forest of
-  its verified pairs, never all pairs.
+* A variant's bucket is first counted (pre-aggregated).  The members of buckets
+  with more than one entry are joined back; a bucket gives the links of a spanning
+  forest of its verified pairs, never all pairs.
 * A bucket above ``BUCKET`` entries is split again by variants of what is still
   free: the other half is cut in two, then the remaining quarter.  After that, 11
   bits are free, so a bucket cannot hold more than 2,048 entries, whatever the data.
@@ -91,10 +90,6 @@ def _next_keys(rows: DataFrame, bits: int) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def _distance(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
-
-
 def _forest(fps: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """``(member, smallest member)`` over the connected parts of one bucket, under verified links."""
     near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= most
@@ -121,13 +116,13 @@ def links(fps: DataFrame, most: int = 3, bucket: int = BUCKET) -> DataFrame:
             return pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
         return fn
 
-    rows, free_bits, found = _first_keys(fps), 32, []
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows, free_bits, found = _first_keys(fps.repartition(n, "fp")), 32, []  # every entry becomes 64 rows: spread them first
     while True:
-        sizes = written(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "buckets")
-        found.append(sizes.where((F.col("n") == 2) & (_distance("a", "b") <= most)).select("a", "b"))
+        sizes = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
         last = free_bits <= 8
-        fits = F.col("n") > 2 if last else F.col("n").between(3, bucket)
-        members = rows.join(sizes.where(fits).select("key"), "key").groupBy("key").agg(F.collect_list("fp").alias("members"))
+        fits = sizes if last else sizes.where(F.col("n") <= bucket)
+        members = rows.join(fits.select("key").hint("merge"), "key").groupBy("key").agg(F.collect_list("fp").alias("members"))
         found.append(map_rows(members.select("members"), start, "a long, b long"))
         large = sizes.where(F.col("n") > bucket)
         if last or large.isEmpty():
