@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,25 +95,32 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return d.withColumn("ref", F.xxhash64("doc_id", "text"))
 
 
+def _inside(at: np.ndarray) -> np.ndarray:
+    """The places at which a window of one text starts, where texts stand one after the other."""
+    return np.concatenate([np.zeros(0, np.int64), *(np.arange(a, b - WINDOW + 1) for a, b in zip(at, at[1:]))])
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``key, ref, at``: an anchor's name and the windows it stands for (first window, and their number in the low byte)."""
+    """``key, ref, at``: an anchor's name and the windows it stands for (first window, and their number in the low byte).
+
+    The texts of a slice are worked on as one sequence: an anchor depends on its
+    window alone, and windows across two texts are left out.
+    """
     gc.disable()
     for batch in batches:
         refs, k = batch["ref"].to_numpy(), 0
         for texts in text_slices(batch["text"]):
             tokens, symbols = _symbols(texts)
-            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for a, b in zip(tokens.at, tokens.at[1:]):
-                own = symbols[a:b]
-                places = anchors(own)
-                if len(places):
-                    new = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
-                    count = np.diff(np.append(new, len(places)))
-                    out.append((rolling(own, KEY_WORDS, 0x9E3779B97F4A7C15)[places[new]], np.full(len(new), refs[k]), new << 8 | count))
-                k += 1
-            if out:
-                key, ref, at = (np.concatenate(c) for c in zip(*out))
-                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(ref), pa.array(at)], names=["key", "ref", "at"])
+            windows = _inside(tokens.at)
+            if len(windows):
+                places = anchors(symbols)[windows]
+                text = np.searchsorted(tokens.at, windows, side="right") - 1
+                new = np.flatnonzero(np.append(True, (places[1:] != places[:-1]) | (text[1:] != text[:-1])))
+                count = np.diff(np.append(new, len(places)))
+                key = rolling(symbols, KEY_WORDS, 0x9E3779B97F4A7C15)[places[new]]
+                at = windows[new] - tokens.at[text[new]]
+                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(refs[k + text[new]]), pa.array(at << 8 | count)], names=["key", "ref", "at"])
+            k += len(texts)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,14 +130,17 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         refs, ids, held, k = batch["ref"].to_numpy(), batch["doc_id"].to_numpy(zero_copy_only=False), batch["places"], 0
         for texts in text_slices(batch["text"]):
             tokens, symbols = _symbols(texts)
-            out = []
-            for a, b in zip(tokens.at, tokens.at[1:]):
-                runs = np.unique(held[k].values.to_numpy())
-                pos = np.unique(np.concatenate([np.arange(x >> 8, (x >> 8) + (x & 255)) for x in runs]))
-                h = rolling(symbols[a:b], WINDOW, 0xD6E8FEB86659FD93)[pos]
-                out.append((h.view(np.int64), np.full(len(pos), ids[k]), np.full(len(pos), refs[k]), pos))
-                k += 1
-            yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], names=["h", "doc_id", "ref", "pos"])
+            runs = held.slice(k, len(texts))
+            flat, counts = runs.flatten().to_numpy(), pc.list_value_length(runs).to_numpy()
+            text = np.repeat(np.repeat(np.arange(len(texts)), counts), flat & 255)
+            ends = np.cumsum(flat & 255)
+            place = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - (flat & 255), flat & 255) + np.repeat(flat >> 8, flat & 255)
+            place = np.unique(place + tokens.at[text])  # repeated rows list their windows again
+            text = np.searchsorted(tokens.at, place, side="right") - 1
+            h = rolling(symbols, WINDOW, 0xD6E8FEB86659FD93)[place]
+            yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(ids[k + text]), pa.array(refs[k + text]), pa.array(place - tokens.at[text])],
+                                  names=["h", "doc_id", "ref", "pos"])
+            k += len(texts)
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -141,7 +152,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     places = written(rows.join(shared, "key").groupBy("ref").agg(F.collect_list("at").alias("places")), "candidates")
     held = keyed.select("ref", "doc_id", "text").join(places, "ref").mapInArrow(_windows, "h long, doc_id long, ref long, pos long")
     held = written(held, "windows")
-    least = held.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("h", "first")
+    least = held.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first")
     return held.join(least, "h").where("doc_id > first").groupBy("ref").agg(F.collect_set("pos").alias("places"))
 
 
