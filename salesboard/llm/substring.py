@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesboard.llm.common import Tokens, map_rows, text_slices, whole_text, written
+from salesboard.llm.common import Tokens, map_rows, release, text_slices, whole_text, written
 
 #: Words of a repeated window; naming rounds; words of an anchor's name.
 WINDOW, ROUNDS, KEY_WORDS = 13, 5, 6
@@ -148,10 +148,16 @@ def repeats(docs: DataFrame) -> DataFrame:
     keyed = _keyed(docs).where("doc_id is not null")
     rows = keyed.select("ref", "text").mapInArrow(_anchor_rows, "key long, ref long, at long")
     shared = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-names")
+    del rows
+    release(docs.sparkSession)
+    rows = keyed.select("ref", "text").mapInArrow(_anchor_rows, "key long, ref long, at long")
     # windows by row, at most a document's own
     places = written(rows.join(shared, "key").groupBy("ref").agg(F.collect_list("at").alias("places")), "candidates")
+    del rows
+    release(docs.sparkSession)
     held = keyed.select("ref", "doc_id", "text").join(places, "ref").mapInArrow(_windows, "h long, doc_id long, ref long, pos long")
     held = written(held, "windows")
+    release(docs.sparkSession)
     least = held.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first")
     return held.join(least, "h").where("doc_id > first").groupBy("ref").agg(F.collect_set("pos").alias("places"))
 

@@ -93,7 +93,7 @@ def corpus_pieces(docs: DataFrame, name: str) -> DataFrame:
 def hot_bound(pieces: DataFrame, most: int) -> int:
     """The smallest occurrence count that at most ``most`` pre-tokens reach, over powers of two."""
     sizes = pieces.groupBy(F.floor(F.log2("n")).cast("int").alias("p")).count().collect()  # at most 64 rows
-    total, bound = 0, 63
+    total, bound = 0, 62  # beyond any count
     for p, count in sorted(((r["p"], r["count"]) for r in sizes), reverse=True):
         if (total := total + count) > most:
             break
