@@ -79,6 +79,9 @@ def log_rows(df: DataFrame, kind, key=None, amt=None, topic=None, partition=None
 
 HEAD_SCHEMA = T.StructType([T.StructField("g", T.LongType()), T.StructField("hw", T.LongType())])
 _HEADS: dict[tuple[str, str], tuple[int, int]] = {}
+#: Kind of the rows of a base that hold each stream's newest folded batch.
+FOLDED = "folded"
+_FOLDED: dict[tuple[str, str, int], dict[str, int]] = {}
 
 
 def head(spark: SparkSession, state_root: str, fresh: bool = True) -> tuple[int, int]:
@@ -188,27 +191,55 @@ def read_quarantine(spark: SparkSession, state_root: str) -> DataFrame:
 
 
 def base_high_water(spark: SparkSession, state_root: str, fresh: bool = True) -> int:
-    """Newest compaction's high-water batch id (``-1`` if none)."""
+    """Newest compaction's high-water batch id over all streams (``-1`` if none)."""
     return head(spark, state_root, fresh)[1]
 
 
-def read_state(spark: SparkSession, state_root: str, measure: str | None = None,
-               up_to_batch: int | None = None, fresh: bool = True) -> DataFrame:
-    """Current ``(measure, key, amt)``: the generation's base plus its later deltas.
+def folded_batch(spark: SparkSession, state_root: str, stream_id: str, fresh: bool = True) -> int:
+    """Newest batch of ``stream_id`` that a base holds (``-1`` if none).
 
-    ``up_to_batch`` reads the state as of that batch (later deltas are
-    ignored), so a replayed batch sees exactly what it saw the first time; it
-    must not be older than the newest compaction.
+    Batch ids start at 0 for every stream id, so each stream has its own mark,
+    written with the base that folds it.
     """
     g, hw = head(spark, state_root, fresh)
-    if up_to_batch is not None and up_to_batch < hw:
-        raise ValueError(f"batch {up_to_batch} is already folded into the base (hw={hw})")
+    if hw < 0:
+        return -1
+    key = (spark.sparkContext.applicationId, state_root, g)
+    if fresh or key not in _FOLDED:
+        rows = _folded(spark, state_root, hw).collect()      # one row per stream id
+        _FOLDED[key] = {r["stream"]: int(r["mark"]) for r in rows}
+    return _FOLDED[key].get(stream_id, -1)
+
+
+def _folded(spark: SparkSession, state_root: str, hw: int) -> DataFrame:
+    marks = read_log(spark, state_root, FOLDED, fresh=False).where(F.col("batch_id") == hw)
+    return marks.groupBy(F.col("key").alias("stream")).agg(F.max("amt").cast("long").alias("mark"))
+
+
+def read_state(spark: SparkSession, state_root: str, measure: str | None = None,
+               up_to_batch: int | None = None, fresh: bool = True,
+               stream_id: str | None = None) -> DataFrame:
+    """Current ``(measure, key, amt)``: the generation's base plus its deltas.
+
+    A generation holds only batches that came after its base, whatever their
+    ids.  ``up_to_batch`` reads the state as of that batch (later deltas, of
+    ``stream_id`` if given, are ignored), so a replayed batch sees exactly what
+    it saw the first time; it must not be older than the newest compaction.
+    """
+    hw = head(spark, state_root, fresh)[1]
+    if up_to_batch is not None:
+        mark = hw if stream_id is None else folded_batch(spark, state_root, stream_id, fresh=False)
+        if up_to_batch < mark:
+            raise ValueError(f"batch {up_to_batch} is already folded into the base (hw={mark})")
     kinds = (measure,) if measure else MEASURES
     log = read_log(spark, state_root, *kinds, *[BASE_PREFIX + k for k in kinds], fresh=False)
     is_base = F.col("kind").startswith(BASE_PREFIX)
-    keep = (is_base & (F.col("batch_id") == hw)) | (~is_base & (F.col("batch_id") > hw))
+    keep = ~is_base | (F.col("batch_id") == hw)
     if up_to_batch is not None:
-        keep = keep & (is_base | (F.col("batch_id") <= F.lit(int(up_to_batch))))
+        in_time = F.col("batch_id") <= F.lit(int(up_to_batch))
+        if stream_id is not None:
+            in_time = in_time | (F.col("stream_id") != stream_id)
+        keep = keep & (is_base | in_time)
     measure_col = F.regexp_replace("kind", "^" + BASE_PREFIX, "")
     return (log.where(keep).groupBy(measure_col.alias("measure"), "key")
             .agg(F.sum("amt").cast(DELTA_TYPE).alias("amt")))
@@ -238,17 +269,22 @@ def compact(spark: SparkSession, state_root: str, up_to_batch: int | None = None
     half-made one is rewritten next time).  Run it from the job that owns the
     state root (``compact_every``), or while that job is stopped.
     """
-    ensure_checkpoint_dir(spark)
     g, hw = head(spark, state_root)
-    newest = read_log(spark, state_root, *MEASURES, fresh=False).agg(F.max("batch_id")).first()[0]
+    log = read_log(spark, state_root, *MEASURES, fresh=False)
+    marks = log.groupBy(F.col("stream_id").alias("stream")).agg(F.max("batch_id").alias("mark"))
+    newest = marks.agg(F.max("mark")).first()[0]
+    if newest is None and (up_to_batch is None or up_to_batch <= hw):
+        return hw
     new_hw = max(hw, -1 if newest is None else int(newest),
                  -1 if up_to_batch is None else int(up_to_batch))
-    if new_hw <= hw:
-        return hw
-    merged = read_state(spark, state_root, up_to_batch=new_hw, fresh=False).checkpoint()
+    if hw >= 0:
+        marks = marks.unionByName(_folded(spark, state_root, hw))
+    marks = marks.groupBy("stream").agg(F.max("mark").alias("mark"))
+    merged = read_state(spark, state_root, fresh=False)
     # clustered by key inside each file, so a point get on the base skips row
     # groups by their min/max statistics
     rows = log_rows(merged, F.concat(F.lit(BASE_PREFIX), F.col("measure")), "key", "amt")
+    rows = rows.unionByName(log_rows(marks, FOLDED, "stream", "mark"))
     write_batch_log(state_root, rows, BASE_STREAM, new_hw, generation=g + 1, cluster_by_key=True)
     _set_head(spark, state_root, g + 1, new_hw)
     return new_hw

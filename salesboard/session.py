@@ -65,6 +65,8 @@ def scratch_root(spark: SparkSession) -> str:
     conf = sc.getConf().get("spark.checkpoint.dir", None)
     if conf:
         sc.setCheckpointDir(conf)
+    elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="salesboard-"))
     return sc.getCheckpointDir().rstrip("/")

@@ -23,13 +23,13 @@ def read_topic(spark: SparkSession, bootstrap_servers: str, topics: str,
     ``starting_offsets`` is ``"earliest"`` or the JSON from ``start_offsets``;
     on restart the stream's checkpoint wins over it.  At scale pass
     ``maxOffsetsPerTrigger`` (bounds a micro-batch) and ``minPartitions``
-    (splits a large topic partition over several tasks) in ``options``.
+    (splits a large topic partition over several tasks) in ``options``.  Records
+    aged out of the topic fail the query unless ``failOnDataLoss`` is passed as false.
     """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topics)
-              .option("startingOffsets", starting_offsets)
-              .option("failOnDataLoss", "false"))
+              .option("startingOffsets", starting_offsets))
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load().select(
@@ -51,9 +51,8 @@ def offset_ledger(batch: DataFrame) -> DataFrame:
 
 
 def latest_offsets(ledger: DataFrame) -> DataFrame:
-    """Last write wins: the newest batch's next offset per ``(topic, partition)``."""
-    return ledger.groupBy("topic", "partition").agg(
-        F.max_by("next_offset", "batch_id").alias("next_offset"))
+    """The furthest next offset per ``(topic, partition)``, whichever stream id recorded it."""
+    return ledger.groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
 
 
 def start_offsets(offsets: DataFrame) -> DataFrame:

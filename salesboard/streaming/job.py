@@ -33,7 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 from salesboard.operators.measures import bucket_time
 from salesboard.operators.parse import parse_records
 from salesboard.operators.serving import serving_snapshot
-from salesboard.operators.state import (base_high_water, compact, head, log_columns,
+from salesboard.operators.state import (compact, folded_batch, head, log_columns,
                                         read_ledger, read_state, write_batch_log)
 from salesboard.sources.topic import (EARLIEST, latest_offsets, read_topic,
                                       starting_offsets_option)
@@ -161,8 +161,12 @@ def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> int:
     is observed during the write job itself, so no extra job asks.
     """
     spark = raw.sparkSession
-    if batch_id <= base_high_water(spark, cfg.state_root, fresh=False):
-        return 0    # replay of a batch already folded into the base: nothing to redo
+    if batch_id <= folded_batch(spark, cfg.state_root, cfg.stream_id, fresh=False):
+        # replay of a batch of this stream that a base already holds: nothing to add, but a
+        # crash after the compaction may have left the new generation without a snapshot
+        if cfg.serve and not _has_snapshot(spark, cfg):
+            _serve(spark, cfg, batch_id, read_state(spark, cfg.state_root, fresh=False))
+        return 0
     slim = slim_batch(raw, cfg.time_col).persist()
     seen = Observation(f"batch_{cfg.stream_id}_{batch_id}_{uuid.uuid4().hex[:8]}")
     try:
@@ -180,14 +184,26 @@ def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> int:
         # reads then cover one base plus at most ``compact_every`` batches
         compact(spark, cfg.state_root, batch_id)
     if cfg.serve:
-        g = head(spark, cfg.state_root, fresh=False)[0]
-        state = read_state(spark, cfg.state_root, up_to_batch=batch_id, fresh=False)
-        snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds)
-        folder = f"{cfg.serving}/g={g}/stream_id={cfg.stream_id}/batch_id={int(batch_id)}"
-        snap.write.mode("overwrite").parquet(folder)     # replay-safe: the batch's own folder
+        _serve(spark, cfg, batch_id, read_state(spark, cfg.state_root, up_to_batch=batch_id,
+                                                fresh=False, stream_id=cfg.stream_id))
     return n_rows
 
 
+def _serve(spark, cfg: JobConfig, batch_id: int, state: DataFrame) -> None:
+    """Write the batch's snapshot into the current generation (replay-safe: the batch's own folder)."""
+    g = head(spark, cfg.state_root, fresh=False)[0]
+    snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds)
+    snap.write.mode("overwrite").parquet(
+        f"{cfg.serving}/g={g}/stream_id={cfg.stream_id}/batch_id={int(batch_id)}")
+
+
+def _has_snapshot(spark, cfg: JobConfig) -> bool:
+    try:
+        return not latest_snapshot(spark, cfg).isEmpty()
+    except AnalysisException:        # the generation has no folder yet
+        return False
+
+
 def run(raw_stream: DataFrame, cfg: JobConfig, checkpoint: str,
         trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
     """Start the job.  ``trigger`` e.g. ``{"processingTime": "5 seconds"}``

@@ -83,3 +83,27 @@ def test_point_get_pushes_filter(spark):
     with contextlib.redirect_stdout(buf):
         df.explain()
     assert "PushedFilters: [IsNotNull(shop_id), EqualTo(shop_id,7)]" in buf.getvalue()
+
+
+def test_second_stream_after_a_compaction_loses_nothing(spark):
+    """Batch ids restart at 0 with a new stream id; a base of the first stream must not swallow them."""
+    root = fresh_dir(spark, "two-streams")
+    delta = spark.createDataFrame([("total", "*", Decimal("10.00"))], "measure string, key string, delta decimal(18,2)")
+    for b in (0, 1):
+        ST.upsert_add(root, delta, "a", b)
+    assert ST.compact(spark, root) == 1
+    for b in (0, 1):
+        ST.upsert_add(root, delta, "b", b)
+    total = lambda: ST.read_state(spark, root, "total").first().amt
+    assert total() == 40
+    assert (ST.folded_batch(spark, root, "a"), ST.folded_batch(spark, root, "b")) == (1, -1)
+    ST.compact(spark, root)
+    assert total() == 40
+    assert (ST.folded_batch(spark, root, "a"), ST.folded_batch(spark, root, "b")) == (1, 1)
+
+
+def test_offsets_do_not_go_back_across_streams(spark):
+    from salesboard.sources.topic import latest_offsets
+    ledger = spark.createDataFrame([("t", 0, 100, "a", 99), ("t", 0, 150, "b", 3)],
+                                   "topic string, partition int, next_offset long, stream_id string, batch_id long")
+    assert latest_offsets(ledger).first().next_offset == 150
