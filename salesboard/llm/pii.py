@@ -159,8 +159,7 @@ def disclosures(docs: DataFrame, spanned: DataFrame) -> DataFrame:
     terms = docs.select(F.explode(F.array_distinct(split_words(whole_text()))).alias("w"))
     words = terms.groupBy("w").agg(F.count("*").alias("n")).select(term("w").alias("word"), "n")
     df_word = words.groupBy("word").agg(F.sum("n").alias("df_word")).join(pairs.select("word").distinct(), "word")
-    n = docs.agg(F.count("*").alias("n_docs"))
-    scored = pairs.join(df_word, "word").join(values, "value").join(F.broadcast(n))  # one row
+    scored = pairs.join(df_word, "word").join(values, "value").withColumn("n_docs", F.lit(docs.count()))
     information = F.log2(F.col("n_docs") / F.col("df_value"))
     # a word with several spellings in one document counts once for each; no more than all documents
     given = F.log2(F.col("n_docs") * F.col("df_pair") / (F.col("df_value") * F.greatest(F.least("df_word", "n_docs"), "df_pair")))
