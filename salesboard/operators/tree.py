@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from salesboard.operators.ranking import rank_in_groups
 from salesboard.session import ensure_checkpoint_dir
 
-MAX_LEVELS = 10_000   # guard against a parent cycle (a tree has none)
+MAX_LEVELS = 10_000   # deeper trees and parent cycles raise, they are never cut short
 
 
 def _edges(nodes: DataFrame) -> DataFrame:
@@ -48,6 +48,8 @@ def tree_rollup(nodes: DataFrame) -> DataFrame:
         if carry.isEmpty():
             break
         arrived.append(carry)
+    else:
+        raise ValueError(f"a parent cycle, or more than {MAX_LEVELS} levels")
     below = reduce(DataFrame.unionByName, arrived).groupBy("node").agg(F.sum("amt").alias("below"))
     out = nodes.select("node", "size").join(below, "node", "left")
     return out.select("node", (F.col("size") + F.coalesce("below", F.lit(0))).alias("value"))
@@ -70,6 +72,8 @@ def tree_depth(nodes: DataFrame) -> DataFrame:
         if level.isEmpty():
             break
         levels.append(level)
+    else:
+        raise ValueError(f"a parent cycle, or more than {MAX_LEVELS} levels")
     return reduce(DataFrame.unionByName, levels)
 
 

@@ -50,3 +50,13 @@ def test_hot_parent_against_brute_force(spark):
         return 0 if parent[n] is None else 1 + depth(parent[n])
     flat = {r.node: r.depth for r in T.tree_flatten(nodes).collect()}
     assert flat == {n: depth(n) for n in parent if parent[n] is not None}
+
+
+def test_a_cycle_raises_instead_of_inventing_totals(spark, monkeypatch):
+    import pytest
+
+    from salesboard.operators import tree
+    monkeypatch.setattr(tree, "MAX_LEVELS", 3)
+    nodes = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "node string, parent string, size long")
+    with pytest.raises(ValueError, match="cycle"):
+        tree.tree_rollup(nodes)
