@@ -3,89 +3,84 @@
 ``tree_rollup``  value = own size + sizes of all descendants
 ``tree_sort``    position among siblings by value, descending
 ``tree_flatten`` nodes except roots, with depth, leaf flag and max depth
+``tree_orphans`` nodes whose parent is not in the frame
 
-Loops run once per tree level (the depth), never once per row.  Each level's
-frame is checkpointed to the shared checkpoint dir so the lineage stays flat.
-Skew: a parent holding a third of all nodes is handled by aggregating before
-each join (roll-up: one row per parent on both join sides) and by the
-range-partitioned ranking (``rank_in_groups``).
+Pointers are doubled: each round adds the sums of the descendants that the pointers
+reach and squares the pointers, so a tree of depth ``d`` takes ``log2(d)`` rounds and
+no depth is cut.  A parent cycle raises: its pointers never end.  An orphan counts as
+the child of a root that is missing (depth 1).  A null size counts as 0.
+
+Each round is checkpointed to the shared checkpoint dir so the lineage stays flat.
+Skew: sums are aggregated before they are joined (one row per node on both sides);
+the pointer join has one row per node on its build side, so AQE can split a hot
+parent; ranking is range-partitioned (``rank_in_groups``).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesboard.operators.ranking import rank_in_groups
 from salesboard.session import ensure_checkpoint_dir
 
-MAX_LEVELS = 10_000   # deeper trees and parent cycles raise, they are never cut short
-
 
 def _edges(nodes: DataFrame) -> DataFrame:
     return nodes.where(F.col("parent").isNotNull()).select("node", "parent")
 
 
-def tree_rollup(nodes: DataFrame) -> DataFrame:
-    """``(node, value)``: own size plus the sum over all descendants.
+def tree_orphans(nodes: DataFrame) -> DataFrame:
+    """``(node, parent)`` of the nodes whose parent is not in the frame."""
+    known = nodes.select(F.col("node").alias("parent"))
+    return _edges(nodes).join(known, "parent", "left_anti").select("node", "parent")
+
+
+def _doubled(nodes: DataFrame) -> DataFrame:
+    """``(node, value, depth)`` of every node, by pointer doubling.
 
-    Sums move up one level per step: the amounts arriving at each node are
-    aggregated (one row per node), then handed to its parent.  Both sides of
-    every join hold one row per node, so a huge fan-out cannot skew it.
+    After round ``k`` a row holds its ``2^k``-th ancestor (null: none), the sum of
+    its descendants nearer than that, and its depth as far as that.
     """
     ensure_checkpoint_dir(nodes.sparkSession)
-    edges = _edges(nodes).checkpoint()
-    carry = (nodes.where(F.col("parent").isNotNull())
-             .groupBy(F.col("parent").alias("node")).agg(F.sum("size").alias("amt"))
-             .checkpoint())
-    arrived = [carry]
-    for _ in range(MAX_LEVELS):
-        carry = (carry.join(edges, "node")
-                 .groupBy(F.col("parent").alias("node")).agg(F.sum("amt").alias("amt"))
-                 .checkpoint())
-        if carry.isEmpty():
-            break
-        arrived.append(carry)
-    else:
-        raise ValueError(f"a parent cycle, or more than {MAX_LEVELS} levels")
-    below = reduce(DataFrame.unionByName, arrived).groupBy("node").agg(F.sum("amt").alias("below"))
-    out = nodes.select("node", "size").join(below, "node", "left")
-    return out.select("node", (F.col("size") + F.coalesce("below", F.lit(0))).alias("value"))
+    size = F.coalesce(F.col("size"), F.lit(0)) if "size" in nodes.columns else F.lit(0).cast("long")
+    own = nodes.select("node", "parent", size.alias("value"))
+    number = own.agg(F.sum("value")).schema[0].dataType
+    known = own.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
+    cur = own.join(known, "parent", "left").select(
+        "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.col("value").cast(number).alias("value"),
+        F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth")).checkpoint()
+    total, reach = cur.count(), 1
+    while not cur.where("up is not null").isEmpty():
+        if reach >= total:
+            raise ValueError("a parent cycle: some nodes have no root")
+        arrived = cur.where("up is not null").groupBy(F.col("up").alias("node")).agg(F.sum("value").alias("below"))
+        above = cur.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"))
+        cur = (cur.join(above, "up", "left").join(arrived, "node", "left")
+               .select("node", F.col("up2").alias("up"),
+                       (F.col("value") + F.coalesce("below", F.lit(0))).cast(number).alias("value"),
+                       (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")).checkpoint())
+        reach *= 2
+    return cur.select("node", "value", "depth")
 
 
-def tree_depth(nodes: DataFrame) -> DataFrame:
-    """``(node, parent, depth)`` with roots at depth 0 (breadth-first, one join per level).
+def tree_rollup(nodes: DataFrame) -> DataFrame:
+    """``(node, value)``: own size plus the sum over all descendants."""
+    return _doubled(nodes).select("node", "value")
 
-    The probe side is keyed by parent, so a hot parent is one skewed key:
-    AQE's skew-join split handles it (the build side has one row per node).
-    """
-    ensure_checkpoint_dir(nodes.sparkSession)
-    level = (nodes.where(F.col("parent").isNull())
-             .select("node", "parent", F.lit(0).alias("depth")).checkpoint())
-    children = _edges(nodes).checkpoint()
-    levels = [level]
-    for d in range(1, MAX_LEVELS):
-        level = (children.join(level.select(F.col("node").alias("parent")), "parent")
-                 .select("node", "parent", F.lit(d).alias("depth")).checkpoint())
-        if level.isEmpty():
-            break
-        levels.append(level)
-    else:
-        raise ValueError(f"a parent cycle, or more than {MAX_LEVELS} levels")
-    return reduce(DataFrame.unionByName, levels)
+
+def tree_depth(nodes: DataFrame) -> DataFrame:
+    """``(node, parent, depth)`` with roots at depth 0."""
+    return nodes.select("node", "parent").join(_doubled(nodes), "node").select("node", "parent", "depth")
 
 
 def tree_flatten(nodes: DataFrame) -> DataFrame:
     """Every node except the roots: ``(node, parent, depth, is_leaf, max_depth)``."""
     depth = tree_depth(nodes)
-    parents = _edges(nodes).select(F.col("parent").alias("node")).distinct()
-    leafs = depth.join(parents, "node", "left_anti").select("node", F.lit(True).alias("is_leaf"))
+    parents = _edges(nodes).select(F.col("parent").alias("node"), F.lit(False).alias("is_leaf")).distinct()
     max_depth = depth.agg(F.max("depth")).scalar()
-    out = depth.where(F.col("depth") > 0).join(leafs, "node", "left")
+    out = depth.where(F.col("parent").isNotNull()).join(parents, "node", "left")
     return out.select("node", "parent", "depth",
-                      F.coalesce("is_leaf", F.lit(False)).alias("is_leaf"),
+                      F.coalesce("is_leaf", F.lit(True)).alias("is_leaf"),
                       max_depth.alias("max_depth"))
 
 

@@ -1,3 +1,5 @@
+import pytest
+
 from salesboard.operators import tree as T
 
 
@@ -52,11 +54,27 @@ def test_hot_parent_against_brute_force(spark):
     assert flat == {n: depth(n) for n in parent if parent[n] is not None}
 
 
-def test_a_cycle_raises_instead_of_inventing_totals(spark, monkeypatch):
-    import pytest
+@pytest.mark.parametrize("edges", [[("a", "b"), ("b", "a")], [("a", "a")], [("r", None), ("a", "r"), ("x", "y"), ("y", "z"), ("z", "x")]])
+def test_a_cycle_raises_instead_of_inventing_totals(spark, edges):
+    nodes = spark.createDataFrame([(n, p, 1) for n, p in edges], "node string, parent string, size long")
+    for fn in (T.tree_rollup, T.tree_flatten):
+        with pytest.raises(ValueError, match="cycle"):
+            fn(nodes)
+
+
+def test_a_deep_chain_takes_few_rounds(spark, monkeypatch):
+    n, rounds = 1500, []
+    nodes = spark.createDataFrame([(k, k - 1 if k else None, 1) for k in range(n)], "node long, parent long, size long")
+    checkpoint = type(nodes).checkpoint
+    monkeypatch.setattr(type(nodes), "checkpoint", lambda self, *a, **k: rounds.append(1) or checkpoint(self, *a, **k))
+    assert {r.node: r.value for r in T.tree_rollup(nodes).collect()} == {k: n - k for k in range(n)}
+    assert len(rounds) <= 13
+    assert {r.node: r.depth for r in T.tree_flatten(nodes).collect()} == {k: k for k in range(1, n)}
+
 
-    from salesboard.operators import tree
-    monkeypatch.setattr(tree, "MAX_LEVELS", 3)
-    nodes = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "node string, parent string, size long")
-    with pytest.raises(ValueError, match="cycle"):
-        tree.tree_rollup(nodes)
+def test_orphans_are_kept_and_reported(spark):
+    nodes = spark.createDataFrame([("r", None, 1), ("a", "r", 2), ("o", "gone", 3), ("p", "o", None)],
+                                  "node string, parent string, size long")
+    assert {r.node: (r.depth, r.is_leaf) for r in T.tree_flatten(nodes).collect()} == {"a": (1, True), "o": (1, False), "p": (2, True)}
+    assert [tuple(r) for r in T.tree_orphans(nodes).collect()] == [("o", "gone")]
+    assert {r.node: r.value for r in T.tree_rollup(nodes).collect()} == {"r": 3, "a": 2, "o": 3, "p": 0}
