@@ -21,8 +21,13 @@ VOLUME_STEP = "5 minutes"
 
 
 def ext_top_products(valid: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
-    """Top products by sales amount: ``(product_id, name, amt)``."""
-    per = valid.groupBy("product_id").agg(F.sum("price").cast(DELTA_TYPE).alias("amt"),
+    """Top products by sales amount: ``(product_id, name, amt)``.
+
+    A hash aggregate per product and name first: the smallest name (text, so a sort
+    aggregate) is taken from those rows, not from raw records.
+    """
+    named = valid.groupBy("product_id", "name").agg(F.sum("price").cast(DELTA_TYPE).alias("amt"))
+    per = named.groupBy("product_id").agg(F.sum("amt").cast(DELTA_TYPE).alias("amt"),
                                           F.min("name").alias("name"))
     return per.orderBy(F.desc("amt"), F.asc("product_id")).limit(k).select("product_id", "name", "amt")
 
@@ -38,24 +43,28 @@ def split_address(addr) -> tuple:
     """``'<province> <city>'`` -> (province, city); the city is everything after the first space."""
     a = F.col(addr) if isinstance(addr, str) else addr
     return (F.split_part(a, F.lit(" "), F.lit(1)),
-            F.when(F.instr(a, " ") > 0, F.substring_index(a, " ", -1)))
+            F.when(F.instr(a, " ") > 0, F.substr(a, F.instr(a, " ") + 1)))
 
 
 def ext_region_rank(valid: DataFrame, k: int = TOP_PLACES) -> DataFrame:
-    """Top provinces and top cities by amount: ``(level, name, amt, rank)``."""
+    """Top provinces and top cities by amount: ``(level, name, amt, rank)``.
+
+    The log is read once: amounts per province and city first, then each such row
+    counts for its province and for its city.  ``rank <= k`` is applied in every
+    task before the shuffle, so a level's window sees k rows a task.
+    """
     prov, city = split_address("shipping_address")
     base = valid.select(prov.alias("province"), city.alias("city"), "price")
-    provinces = base.groupBy(F.col("province").alias("name")).agg(
-        F.sum("price").cast(DELTA_TYPE).alias("amt"))
-    cities = (base.where(F.col("city").isNotNull())
-              .groupBy(F.concat_ws(" ", "province", "city").alias("name"))
-              .agg(F.sum("price").cast(DELTA_TYPE).alias("amt")))
-    w = Window.orderBy(F.desc("amt"), F.asc("name"))
-    top_p = provinces.orderBy(F.desc("amt"), F.asc("name")).limit(k) \
-        .select(F.lit("province").alias("level"), "name", "amt", F.row_number().over(w).alias("rank"))
-    top_c = cities.orderBy(F.desc("amt"), F.asc("name")).limit(k) \
-        .select(F.lit("city").alias("level"), "name", "amt", F.row_number().over(w).alias("rank"))
-    return top_p.unionByName(top_c)
+    per = base.groupBy("province", "city").agg(F.sum("price").cast(DELTA_TYPE).alias("amt"))
+    levels = F.array(
+        F.struct(F.lit("province").alias("level"), F.col("province").alias("name")),
+        F.struct(F.lit("city").alias("level"),
+                 F.when(F.col("city").isNotNull(), F.concat_ws(" ", "province", "city")).alias("name")))
+    places = (per.select("amt", F.explode(levels).alias("p")).where("p.name is not null")
+              .groupBy("p.level", "p.name").agg(F.sum("amt").cast(DELTA_TYPE).alias("amt")))
+    w = Window.partitionBy("level").orderBy(F.desc("amt"), F.asc("name"))
+    return (places.select("level", "name", "amt", F.row_number().over(w).alias("rank"))
+            .where(F.col("rank") <= k))
 
 
 def ext_category_growth(valid: DataFrame) -> DataFrame:

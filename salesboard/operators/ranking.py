@@ -3,7 +3,8 @@
 ``orderBy(...).limit(k)`` plans as ``TakeOrderedAndProject``: every task keeps
 its own k best rows and only ``k x tasks`` rows reach the final merge, so a
 ranking never moves the whole table.  The tie-collapse rule first reduces to
-one row per distinct amount with a partial hash aggregate (skew-safe).
+one row per distinct amount with a partial aggregate (skew-safe; a sort
+aggregate, as the smallest id is a text).
 """
 
 from __future__ import annotations

@@ -13,8 +13,10 @@ from salesboard.operators import serving as S
 from salesboard.operators import tree as TR
 from salesboard.plans.catalog import dbl, ntz, query, sales_valid, ticks, ticks_valid
 from salesboard.plans.oracle import q
+from salesboard.session import fresh_dir
 from salesboard.sources import fixtures as FX
 from salesboard.streaming.feeder import log_slice as _log_slice
+from salesboard.streaming.feeder import with_line_ordinal
 
 
 def _trend(spark, sf):
@@ -144,6 +146,17 @@ def log_slice(spark, sf):
     return _log_slice(ticks(spark, sf), 1000, 2500).select("ordinal", "value")
 
 
+@query("log_slice_text", q("""
+SELECT n AS ordinal, value
+FROM (SELECT CAST(row_number() OVER (ORDER BY ordinal) - 1 AS BIGINT) AS n, value FROM raw_ticks)
+WHERE n >= 1000 AND n < 3500"""))
+def log_slice_text(spark, sf):
+    # the log as text files whose names follow the order of their lines
+    path = fresh_dir(spark, "text-log")
+    ticks(spark, sf).orderBy("ordinal").select("value").write.text(path)
+    return _log_slice(with_line_ordinal(spark.read.text(path)), 1000, 2500).select("ordinal", "value")
+
+
 @query("shop_dim_lookup", q("""
 SELECT r."rank", r.shop_id, COALESCE(d.shop_name, r.shop_id) AS shop_name, r.amt
 FROM (""" + """
@@ -277,15 +290,15 @@ def ext_volume_5min(spark, sf):
 @query("ext_region_rank", q("""
 SELECT 'province' AS level, name, CAST(amt AS DOUBLE) AS amt,
        CAST(row_number() OVER (ORDER BY amt DESC, name) AS INTEGER) AS "rank"
-FROM (SELECT split_part(shipping_address, ' ', 1) AS name, SUM(price) AS amt FROM ticks_valid
+FROM (SELECT split_part(shipping_address, ' ', 1) AS name, SUM(price) AS amt FROM sales_valid
       GROUP BY 1 ORDER BY amt DESC, name LIMIT 8)
 UNION ALL
 SELECT 'city', name, CAST(amt AS DOUBLE), CAST(row_number() OVER (ORDER BY amt DESC, name) AS INTEGER)
-FROM (SELECT split_part(shipping_address, ' ', 1) || ' ' || regexp_extract(shipping_address, '[^ ]*$') AS name,
-             SUM(price) AS amt FROM ticks_valid WHERE contains(shipping_address, ' ')
+FROM (SELECT split_part(shipping_address, ' ', 1) || ' ' || substr(shipping_address, instr(shipping_address, ' ') + 1) AS name,
+             SUM(price) AS amt FROM sales_valid WHERE contains(shipping_address, ' ')
       GROUP BY 1 ORDER BY amt DESC, name LIMIT 8)"""))
 def ext_region_rank(spark, sf):
-    return X.ext_region_rank(ticks_valid(spark, sf)).select("level", "name", dbl("amt"), "rank")
+    return X.ext_region_rank(sales_valid(spark, sf)).select("level", "name", dbl("amt"), "rank")
 
 
 @query("ext_category_growth", q("""

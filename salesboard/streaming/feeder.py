@@ -9,7 +9,7 @@ nothing passes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesboard.session import ensure_checkpoint_dir
@@ -22,21 +22,30 @@ def log_slice(log: DataFrame, start: int, size: int, ordinal: str = "ordinal") -
 
 
 def with_line_ordinal(lines: DataFrame, name: str = "ordinal") -> DataFrame:
-    """Give a text log (e.g. ``spark.read.text``) a 0-based line ordinal in read order.
+    """Give a text log (``spark.read.text``) a 0-based line ordinal: by file path, block and place in the block.
 
-    Distributed zip-with-index: count rows per input partition (one small
-    row per partition), turn the counts into start offsets with a window
-    over that small table, and add each row's position inside its partition.
+    Lines are counted per block of a file (one small row each); the rows are
+    range-partitioned by path and block, so that the lines before a block are
+    those of earlier partitions (one row per shuffle partition) and of earlier
+    blocks of its own.  The log is scanned twice and never copied.  Both scans must
+    cut the files alike; a line whose block was not counted raises.
     """
     ensure_checkpoint_dir(lines.sparkSession)
-    tagged = lines.select("*", F.spark_partition_id().alias("_p"),
-                          F.monotonically_increasing_id().alias("_m")).checkpoint()
-    from pyspark.sql import Window
-    starts = (tagged.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_m").alias("_m0"))
-              .withColumn("_start", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")))
-    out = tagged.join(F.broadcast(starts), "_p")   # one row per input partition
-    return out.select(*lines.columns,
-                      (F.col("_start") + F.col("_m") - F.col("_m0")).alias(name))
+    tagged = lines.select("*", F.col("_metadata.file_path").alias("_path"),
+                          F.col("_metadata.file_block_start").alias("_block"),
+                          F.monotonically_increasing_id().alias("_m"))
+    blocks = (tagged.groupBy("_path", "_block").agg(F.count("*").alias("_n"), F.min("_m").alias("_m0"))
+              .repartitionByRange("_path", "_block")
+              .select("*", F.spark_partition_id().alias("_p")).checkpoint())
+    parts = (blocks.groupBy("_p").agg(F.sum("_n").alias("_all"))
+             .select("_p", (F.sum("_all").over(Window.orderBy("_p")) - F.col("_all")).alias("_base")))
+    in_part = Window.partitionBy("_p").orderBy("_path", "_block")
+    starts = (blocks.withColumn("_own", F.sum("_n").over(in_part) - F.col("_n")).join(parts, "_p")
+              .select("_path", "_block", "_n", "_m0", (F.col("_base") + F.col("_own")).alias("_start")))
+    place = F.col("_m") - F.col("_m0")
+    ordinal = F.when((place >= 0) & (place < F.col("_n")), F.col("_start") + place).otherwise(
+        F.raise_error(F.lit("the log was cut into other blocks while it was read")).cast("long"))
+    return tagged.join(starts, ["_path", "_block"], "left").select(*lines.columns, ordinal.alias(name))
 
 
 def chunk_expr(ordinal: Column, lo: int, hi: int, n: int) -> Column:

@@ -19,6 +19,19 @@ def test_line_ordinals_follow_read_order(spark):
     assert [r.value for r in sl] == [f"line {i:04d}" for i in range(10, 15)]
 
 
+@pytest.mark.parametrize("block", [900, 1 << 20])
+def test_line_ordinals_over_files_of_unlike_sizes(spark, tmp_path, block):
+    from salesboard.session import conf_override
+    want = []
+    for name, n in (("a.log", 2), ("b.log", 1000), ("c.log", 0), ("d.log", 40)):
+        lines = [f"{name} {k}" for k in range(n)]
+        (tmp_path / name).write_text("".join(x + "\n" for x in lines))
+        want += lines
+    with conf_override(spark, {"spark.sql.files.maxPartitionBytes": str(block)}):
+        got = with_line_ordinal(spark.read.text(str(tmp_path))).orderBy("ordinal").collect()
+    assert [(r.ordinal, r.value) for r in got] == list(enumerate(want))
+
+
 def test_start_offsets(spark):
     led = spark.createDataFrame([("b", 1, 7), ("a", 10, 5), ("a", 2, 3)],
                                 "topic string, partition int, next_offset long")
