@@ -35,18 +35,6 @@ JUNK_PRICE = "n/a"
 # --- end of fixed values ----------------------------------------------------
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a thin scan so the work after it runs in parallel.
-
-    Only when a table scan yields fewer partitions than the cluster has cores
-    (one small file, one row group); a wide scan passes through untouched, so
-    at scale this adds no shuffle.  Call it on a scan, where counting
-    partitions only plans file splits (no job runs).
-    """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     use_utc(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -63,7 +51,7 @@ def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``ts`` (so ingest time equals event time); ``value`` is the 13-field line.
     """
     use_utc(spark)
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     eid, uid = F.col("event_id"), F.col("user_id").cast("string")
     pid = (eid % PRODUCT_MOD).cast("string")
     price = F.col("value").cast("decimal(18,2)").cast("string")
@@ -116,8 +104,10 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     with the data); nation and region have a fixed size and are broadcast.
     """
     use_utc(spark)
-    li = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # dealt by the key of the large join, which needs that shuffle anyway
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice").repartition(n, "l_orderkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")

@@ -30,6 +30,8 @@ def raw_log(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = _LOGS.get(key)
     if path is None:
         path = fresh_dir(spark, f"log-{name}")
-        BUILDERS[name](spark, sf_dir).write.parquet(path)
+        # as many files as the session has shuffle partitions, whatever the table's own files
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        BUILDERS[name](spark, sf_dir).repartition(n, "ordinal").write.parquet(path)
         _LOGS[key] = path
     return spark.read.parquet(path)
