@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from salesboard.functions.scalar import format_time, lagged_now
 from salesboard.operators.ranking import RANKING_SIZE, top_shops
@@ -52,13 +53,31 @@ def serve_trend_point(trend_state: DataFrame, now, lag_seconds: int = DEFAULT_LA
     """``{"x_time": ..., "time_amtSum": ...}`` for ``now - lag``, truncated to the second.
 
     ``now`` is a parameter (never the wall clock inside a query).  A missing
-    point is ``0.0``.  The key predicate is pushed to the scan.
+    point is ``0.0``.  ``bucket`` may be the stored text key: the lookup is then
+    an equality on it, which the scan can take.
     """
     point = lagged_now(now, lag_seconds)
-    hit = trend_state.where(F.col(bucket) == point).agg(F.sum(amt).alias("_a"))
+    hit = trend_state.where(_is_point(trend_state, bucket, point)).agg(F.sum(amt).alias("_a"))
     return hit.select(trend_point_json(point, F.col("_a")).alias("trend_point"))
 
 
+def _is_point(trend_state: DataFrame, bucket: str, point) -> F.Column:
+    text = isinstance(trend_state.schema[bucket].dataType, StringType)
+    return F.col(bucket) == (format_time(point) if text else point)
+
+
+def serve_trend_points(trend_state: DataFrame, clocks: DataFrame, lag_seconds: int = DEFAULT_LAG_SECONDS,
+                       clock: str = "now", key: str = "key", amt: str = "amt") -> DataFrame:
+    """All columns of ``clocks`` and ``x_time, time_amtSum``: the lagged point of every clock (``0.0`` where absent).
+
+    One join on the stored text key, which has one row per second.
+    """
+    asked = clocks.withColumn("x_time", format_time(lagged_now(clock, lag_seconds)))
+    points = trend_state.select(F.col(key).alias("x_time"), F.col(amt).cast("double").alias("_a"))
+    return asked.join(points, "x_time", "left").select(
+        *clocks.columns, "x_time", F.coalesce("_a", F.lit(0.0)).alias("time_amtSum"))
+
+
 def latest_trend_point(trend_state: DataFrame, bucket: str = "bucket",
                        amt: str = "amt") -> DataFrame:
     """The newest point, i.e. the point served when ``now`` = newest bucket + lag."""
@@ -86,20 +105,26 @@ def shop_dim_lookup(df: DataFrame, dim: DataFrame, key: str = "shop_id",
 
 
 def serving_snapshot(state: DataFrame, k: int = RANKING_SIZE,
-                     lag_seconds: int = DEFAULT_LAG_SECONDS) -> DataFrame:
+                     lag_seconds: int = DEFAULT_LAG_SECONDS, now=None) -> DataFrame:
     """One row ``(total_amt, ranking, trend_point)`` from the ``(measure, key, amt)`` state.
 
     Built from three bounded pieces -- the total (1 row), the top-k shops and
-    the newest trend point (1 row) -- unioned and folded by one aggregate.
-    The newest point is what a clock ``lag_seconds`` past it would serve.
+    one trend point (1 row) -- unioned and folded by one aggregate.  The point is
+    that of ``now - lag_seconds`` (0.0 where absent); without a clock, the newest
+    one, which is what a clock ``lag_seconds`` past it would serve.
     """
     total = state.where(F.col("measure") == M_TOTAL).agg(F.sum("amt").alias("amt")) \
         .select(F.lit("t").alias("part"), F.lit(None).cast("string").alias("key"), "amt")
     shops = state.where(F.col("measure") == M_SHOP).select(F.col("key").alias("shop_id"), "amt")
     top = top_shops(shops, k).select(F.lit("s").alias("part"), F.col("shop_id").alias("key"), "amt")
-    trend = state.where(F.col("measure") == M_TREND) \
-        .agg(F.max_by(F.struct("key", "amt"), "key").alias("p")) \
-        .select(F.lit("p").alias("part"), F.col("p.key").alias("key"), F.col("p.amt").alias("amt"))
+    trend = state.where(F.col("measure") == M_TREND)
+    if now is None:
+        trend = trend.agg(F.max_by(F.struct("key", "amt"), "key").alias("p")) \
+            .select(F.lit("p").alias("part"), F.col("p.key").alias("key"), F.col("p.amt").alias("amt"))
+    else:
+        point = lagged_now(now, lag_seconds)
+        trend = trend.where(_is_point(trend, "key", point)).agg(F.sum("amt").alias("amt")) \
+            .select(F.lit("p").alias("part"), format_time(point).alias("key"), "amt")
     parts = total.unionByName(top).unionByName(trend)
     entry = F.when(F.col("part") == "s", F.struct(
         (-F.col("amt")).alias("o1"), F.col("key").alias("o2"),

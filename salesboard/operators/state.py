@@ -162,7 +162,7 @@ def read_deltas(spark: SparkSession, state_root: str) -> DataFrame:
 
 
 def read_metrics(spark: SparkSession, state_root: str) -> DataFrame:
-    """Per batch: ``(stream_id, batch_id, n_rows, n_valid, n_bad, amt, batch_time)``."""
+    """Per batch: ``(stream_id, batch_id, n_rows, n_valid, n_bad, n_bad_time, amt, batch_time)``."""
     log = read_log(spark, state_root, "metric", M_TOTAL, history=True)
     def pick(kind, key=None):
         cond = F.col("kind") == kind
@@ -172,10 +172,11 @@ def read_metrics(spark: SparkSession, state_root: str) -> DataFrame:
     per = log.groupBy("stream_id", "batch_id").agg(
         pick("metric", "n_rows").cast("long").alias("n_rows"),
         pick("metric", "n_valid").cast("long").alias("n_valid"),
+        pick("metric", "n_bad_time").cast("long").alias("n_bad_time"),
         pick(M_TOTAL).alias("amt"),
         F.timestamp_millis(pick("metric", "batch_time_ms").cast("long")).alias("batch_time"))
     return per.select("stream_id", "batch_id", "n_rows", "n_valid",
-                      (F.col("n_rows") - F.col("n_valid")).alias("n_bad"), "amt", "batch_time")
+                      (F.col("n_rows") - F.col("n_valid")).alias("n_bad"), "n_bad_time", "amt", "batch_time")
 
 
 def read_ledger(spark: SparkSession, state_root: str) -> DataFrame:
@@ -185,7 +186,10 @@ def read_ledger(spark: SparkSession, state_root: str) -> DataFrame:
 
 
 def read_quarantine(spark: SparkSession, state_root: str) -> DataFrame:
-    """Rejected lines: ``(value, n_fields, reason, stream_id, batch_id)``."""
+    """Rejected lines: ``(value, n_fields, reason, stream_id, batch_id)``.
+
+    Lines with reason ``bad_time`` are missing from the trend alone.
+    """
     return read_log(spark, state_root, "bad", history=True).select(
         F.col("line").alias("value"), "n_fields", F.col("key").alias("reason"), "stream_id", "batch_id")
 

@@ -15,6 +15,7 @@ from salesboard.operators import state as ST
 from salesboard.plans.catalog import dbl, ntz, query, ticks, ticks_valid
 from salesboard.plans.oracle import q
 from salesboard.schema import M_SHOP, M_TOTAL, M_TREND
+from salesboard.sources import fixtures as FX
 from salesboard.sources import topic as T
 from salesboard.streaming import native as N
 from salesboard.streaming.job import read_serving
@@ -135,6 +136,26 @@ def serve_trend_point(spark, sf):
     return S.latest_trend_point(trend)
 
 
+@query("serve_trend_point_lagged", q("""
+SELECT e.event_id, strftime(e.p, '%Y-%m-%d %H:%M:%S') AS x_time, COALESCE(CAST(t.amt AS DOUBLE), 0.0) AS amt
+FROM (SELECT event_id, date_trunc('second', CAST(ts AS TIMESTAMP) - INTERVAL 5 SECOND) AS p FROM events) e
+LEFT JOIN trend t ON t.bucket = e.p"""))
+def serve_trend_point_lagged(spark, sf):
+    # every event's time as the clock: some lagged seconds have a point, most have none
+    clocks = FX.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("now"))
+    points = S.serve_trend_points(_state(spark, sf, M_TREND), clocks)
+    return points.select("event_id", "x_time", F.col("time_amtSum").alias("amt"))
+
+
+@query("quarantine", q("""
+SELECT value, n_fields, status AS reason FROM ticks_parsed WHERE status IS NOT NULL
+UNION ALL
+SELECT value, n_fields, 'bad_time' FROM ticks_parsed
+WHERE status IS NULL AND try_strptime("time", '%Y-%m-%d %H:%M:%S') IS NULL"""))
+def quarantine(spark, sf):
+    return ST.read_quarantine(spark, _live(spark, sf).cfg.state_root).select("value", "n_fields", "reason")
+
+
 # --- 2.3 / 2.4 running measures -------------------------------------------------
 
 @query("state_merge", q("""
@@ -192,10 +213,13 @@ def stateful_totals(spark, sf):
 
 
 @query("arrival_bucket", q("""
-SELECT date_trunc('second', "timestamp") AS bucket, CAST(SUM(price) AS DOUBLE) AS amt
+SELECT date_trunc('second', "timestamp" + ("offset" % 7) * INTERVAL 1 SECOND) AS bucket,
+       CAST(SUM(price) AS DOUBLE) AS amt
 FROM ticks_valid GROUP BY 1"""))
 def arrival_bucket(spark, sf):
-    v = ticks_valid(spark, sf)
+    # records arrive 0 to 6 seconds after their event time
+    late = F.make_dt_interval(secs=(F.col("offset") % 7).cast("decimal(18,6)"))
+    v = ticks_valid(spark, sf).withColumn("timestamp", F.col("timestamp") + late)
     return M.batch_trend(v, time_col="ingest").select(ntz("bucket"), dbl("amt"))
 
 
@@ -203,7 +227,7 @@ def arrival_bucket(spark, sf):
 SELECT CAST(SUM(price) AS DOUBLE) AS total_amt, COUNT(DISTINCT chunk) AS n_batches
 FROM chunks WHERE status IS NULL"""))
 def replay_commit(spark, sf):
-    lr = _live(spark, sf)   # batch 1 was applied twice; its partition was overwritten
+    lr = _live(spark, sf)   # batch 1 ran again after it had been folded into a base
     d = ST.read_deltas(spark, lr.cfg.state_root)
     return d.agg(
         F.sum(F.when(F.col("measure") == M_TOTAL, F.col("delta"))).cast("double").alias("total_amt"),

@@ -4,7 +4,7 @@
 
 1. the raw rows are parsed once and the narrow slim frame is persisted
    (fan-out: the measures, metrics, quarantine and ledger all read it);
-   an empty batch stops here (no state, no offsets, no metrics);
+   an empty batch writes nothing (no state, no offsets, no metrics);
 2. ONE job writes the three measures' deltas, the batch metrics, the
    quarantined lines and the offset ledger as partitions
    ``(stream_id, batch_id, kind)`` of the batch log, with dynamic partition
@@ -15,8 +15,8 @@
    the state as of this batch into the current generation's serving folder,
    so readers never see a half-written measure.
 
-Amounts are decimals end to end; nothing is collected to the driver except
-``isEmpty``.
+Amounts are decimals end to end; the driver sees only the batch's observed size,
+the head of the log and one mark per stream id.
 """
 
 from __future__ import annotations
@@ -33,10 +33,9 @@ from pyspark.sql.streaming import StreamingQuery
 from salesboard.operators.measures import bucket_time
 from salesboard.operators.parse import parse_records
 from salesboard.operators.serving import serving_snapshot
-from salesboard.operators.state import (compact, folded_batch, head, log_columns,
-                                        read_ledger, read_state, write_batch_log)
-from salesboard.sources.topic import (EARLIEST, latest_offsets, read_topic,
-                                      starting_offsets_option)
+from salesboard.operators.state import (compact, folded_batch, head, log_columns, read_state,
+                                        write_batch_log)
+from salesboard.sources.topic import EARLIEST, read_topic
 from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TIME_FORMAT, TOTAL_KEY
 
 ENVELOPE_CARRY = ("topic", "partition", "offset", "timestamp")
@@ -54,6 +53,7 @@ class JobConfig:
     stream_id: str = "main"
     time_col: str = "event"          # event | ingest | processing
     serve: bool = True               # refresh the serving snapshot per batch
+    clock: str = "newest"            # trend point served: newest | wall (now - lag_seconds)
     lag_seconds: int = 5
     compact_every: int | None = 100  # fold the log into a new base every n batches
 
@@ -96,7 +96,7 @@ def _slim_columns(time_col: str) -> tuple:
     return (F.col("topic"), F.col("partition"), F.col("offset"),
             bucket_time(time_col, event=event_time, ingest=F.col("timestamp")).alias("bucket_time"),
             F.col("price"), F.col("shop_id"), F.col("status"), F.col("n_fields"),
-            F.when(F.col("status").isNotNull(), F.col("value")).alias("value"))
+            F.when(F.col("status").isNotNull() | event_time.isNull(), F.col("value")).alias("value"))
 
 
 def _entry(kind, key, amt, off=None, topic=None, partition=None):
@@ -126,11 +126,14 @@ def batch_log(slim: DataFrame) -> DataFrame:
 @lru_cache(maxsize=1)
 def _batch_log_columns() -> dict:
     ok = F.col("status").isNull()
+    timeless = ok & F.col("bucket_time").isNull()
     zero, one = F.lit(0), F.lit(1)
     second = F.date_format(F.date_trunc("second", F.col("bucket_time")), TIME_FORMAT)
     entries = F.array(
         _entry("metric", F.lit("n_rows"), one),
         _entry("metric", F.lit("n_valid"), F.when(ok, one).otherwise(zero)),
+        # valid records without a time: in the total and their shop, not in the trend
+        _entry("metric", F.lit("n_bad_time"), F.when(timeless, one).otherwise(zero)),
         # the batch clock (one value per query), kept as a max
         _entry("metric", F.lit("batch_time_ms"), zero, F.unix_millis(F.current_timestamp())),
         _entry(M_TOTAL, F.lit(TOTAL_KEY), F.when(ok, F.col("price")).otherwise(zero)),
@@ -148,8 +151,8 @@ def _batch_log_columns() -> dict:
                               .when(F.col("key") == "batch_time_ms", F.col("off"))
                               .otherwise(F.col("amt")),
                               topic="topic", partition="partition"),
-        "bad": ~ok,
-        "bad_rows": log_columns("bad", key="status", line="value", n_fields="n_fields"),
+        "bad": ~ok | timeless,
+        "bad_rows": log_columns("bad", key=F.coalesce("status", F.lit("bad_time")), line="value", n_fields="n_fields"),
     }
 
 
@@ -192,7 +195,8 @@ def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> int:
 def _serve(spark, cfg: JobConfig, batch_id: int, state: DataFrame) -> None:
     """Write the batch's snapshot into the current generation (replay-safe: the batch's own folder)."""
     g = head(spark, cfg.state_root, fresh=False)[0]
-    snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds)
+    now = F.current_timestamp() if cfg.clock == "wall" else None
+    snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds, now=now)
     snap.write.mode("overwrite").parquet(
         f"{cfg.serving}/g={g}/stream_id={cfg.stream_id}/batch_id={int(batch_id)}")
 
@@ -218,18 +222,14 @@ def run(raw_stream: DataFrame, cfg: JobConfig, checkpoint: str,
 
 
 def run_topic(spark, bootstrap_servers: str, topics: str, cfg: JobConfig, checkpoint: str,
-              batch_seconds: int | None = None, **kafka_options: str) -> StreamingQuery:
+              batch_seconds: int | None = None, starting_offsets: str = EARLIEST,
+              **kafka_options: str) -> StreamingQuery:
     """The live job on a topic, with the batch interval as its trigger.
 
-    A first start resumes from the offsets this state root has recorded
-    (``startingOffsets`` JSON), or ``earliest`` when there are none; after
+    ``starting_offsets`` counts for the first start of a checkpoint only; after
     that the stream checkpoint is the source of truth.
     """
-    try:
-        offsets = starting_offsets_option(latest_offsets(read_ledger(spark, cfg.state_root)))
-    except AnalysisException:        # nothing recorded yet
-        offsets = EARLIEST
-    raw = read_topic(spark, bootstrap_servers, topics, offsets, **kafka_options)
+    raw = read_topic(spark, bootstrap_servers, topics, starting_offsets, **kafka_options)
     trigger = micro_batch_trigger(batch_seconds) if batch_seconds else None
     return run(raw, cfg, checkpoint, trigger)
 

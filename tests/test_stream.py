@@ -151,6 +151,37 @@ def test_latest_snapshot_after_compaction(spark):
     assert read_serving(spark, cfg).count() == 4
 
 
+def test_a_bad_time_is_quarantined_and_counted(spark):
+    from salesboard.session import fresh_dir
+    from salesboard.streaming.job import JobConfig, process_batch
+
+    root = fresh_dir(spark, "t-bad-time")
+    cfg = JobConfig(state_root=root, stream_id="x", serve=False)
+    def line(time):
+        return "^".join([time, "u", "7", "n", "k", "p1", "19.90", "19.90", "1", "R1 C4", "5", "0", "Shop 5"])
+    rows = [("sales", 0, 0, None, line("2020-13-01 00:00:00")), ("sales", 0, 1, None, line("2020-12-01 00:00:00"))]
+    process_batch(spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp timestamp, value string"), 0, cfg)
+    state = {(r.measure, r.key): r.amt for r in ST.read_state(spark, root).collect()}
+    assert state == {("total", "*"): Decimal("39.80"), ("shop", "5"): Decimal("39.80"), ("trend", "2020-12-01 00:00:00"): Decimal("19.90")}
+    assert [(r.value, r.reason) for r in ST.read_quarantine(spark, root).collect()] == [(rows[0][4], "bad_time")]
+    m = ST.read_metrics(spark, root).first()
+    assert (m.n_rows, m.n_valid, m.n_bad, m.n_bad_time) == (2, 2, 0, 1)
+
+
+def test_snapshot_serves_the_lagged_point(spark):
+    import json
+    from datetime import datetime
+
+    from salesboard.operators.serving import serving_snapshot
+    state = spark.createDataFrame([("total", "*", 3.0), ("trend", "2020-12-01 00:00:01", 2.0), ("trend", "2020-12-01 00:00:09", 1.0)],
+                                  "measure string, key string, amt double")
+    def served(second):
+        now = F.lit(datetime(2020, 12, 1, 0, 0, second)).cast("timestamp")
+        return json.loads(serving_snapshot(state, now=now).first().trend_point)
+    assert served(6) == {"x_time": "2020-12-01 00:00:01", "time_amtSum": 2.0}
+    assert served(7) == {"x_time": "2020-12-01 00:00:02", "time_amtSum": 0.0}
+
+
 def test_batch_metric_has_time_and_amount(spark, live):
     rows = ST.read_metrics(spark, live.cfg.state_root).orderBy("batch_id").collect()
     assert all(r.batch_time is not None for r in rows)
