@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -100,15 +101,17 @@ def _inside(at: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.int64), *(np.arange(a, b - WINDOW + 1) for a, b in zip(at, at[1:]))])
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _anchor_rows(batches: Iterator[pa.RecordBatch], names_only: bool = False) -> Iterator[pa.RecordBatch]:
     """``key, ref, at``: an anchor's name and the windows it stands for (first window, and their number in the low byte).
 
+    With ``names_only`` just ``key``, which is all that counting needs.
+
     The texts of a slice are worked on as one sequence: an anchor depends on its
     window alone, and windows across two texts are left out.
     """
     gc.disable()
     for batch in batches:
-        refs, k = batch["ref"].to_numpy(), 0
+        refs, k = None if names_only else batch["ref"].to_numpy(), 0
         for texts in text_slices(batch["text"]):
             tokens, symbols = _symbols(texts)
             windows = _inside(tokens.at)
@@ -116,8 +119,11 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 places = anchors(symbols)[windows]
                 text = np.searchsorted(tokens.at, windows, side="right") - 1
                 new = np.flatnonzero(np.append(True, (places[1:] != places[:-1]) | (text[1:] != text[:-1])))
-                count = np.diff(np.append(new, len(places)))
                 key = rolling(symbols, KEY_WORDS, 0x9E3779B97F4A7C15)[places[new]]
+                if names_only:
+                    yield pa.record_batch([pa.array(key.view(np.int64))], names=["key"])
+                    continue
+                count = np.diff(np.append(new, len(places)))
                 at = windows[new] - tokens.at[text[new]]
                 yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(refs[k + text[new]]), pa.array(at << 8 | count)], names=["key", "ref", "at"])
             k += len(texts)
@@ -146,9 +152,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeats(docs: DataFrame) -> DataFrame:
     """``ref, places array<long>``: the windows of a row that also start in a document with a smaller key."""
     keyed = _keyed(docs).where("doc_id is not null")
-    rows = keyed.select("ref", "text").mapInArrow(_anchor_rows, "key long, ref long, at long")
-    shared = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-names")
-    del rows
+    names = keyed.select("text").mapInArrow(partial(_anchor_rows, names_only=True), "key long")
+    shared = written(names.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-names")
+    del names
     release(docs.sparkSession)
     rows = keyed.select("ref", "text").mapInArrow(_anchor_rows, "key long, ref long, at long")
     # windows by row, at most a document's own
@@ -159,7 +165,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     held = written(held, "windows")
     release(docs.sparkSession)
     least = held.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first")
-    return held.join(least, "h").where("doc_id > first").groupBy("ref").agg(F.collect_set("pos").alias("places"))
+    least = written(least, "first-documents")
+    release(docs.sparkSession)
+    found = written(held.join(least, "h").where("doc_id > first").groupBy("ref").agg(F.collect_set("pos").alias("places")), "repeats")
+    release(docs.sparkSession)
+    return found
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
