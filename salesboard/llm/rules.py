@@ -2,8 +2,8 @@ r"""Quality rules: base counts and divergence from the language's own statistics
 
 Base counts come from the words ``[^\x20\x09-\x0D]+`` and lines of a whole text.
 For the verdict, a document's histogram over character classes and its histogram
-over the most common words of its language (as written) are compared with those of the whole
-language by Jensen-Shannon distance (base 2, 0 to 1).  The references are counted
+over the most common words of its language (lower case) are compared with those of
+the whole language by Jensen-Shannon distance (base 2, 0 to 1).  The references are counted
 over all documents of the table.  Two guards keep thin evidence out: documents
 below ``MIN_WORDS`` words and languages below ``MIN_REFERENCE_WORDS`` words are
 judged by the base rules alone.
@@ -29,7 +29,7 @@ from salesboard.llm.common import SPACE, small_side, whole_text, written
 #: Base rules.
 LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED_PERCENT = 20, 8, 30
 #: Common words of a language's reference, guards and largest accepted distances.
-COMMON_WORDS = 16
+COMMON_WORDS = 24
 MIN_WORDS, MIN_REFERENCE_WORDS = 50, 2000
 CLASS_DISTANCE, WORD_DISTANCE = 0.30, 0.42
 #: Character classes, counted in this order; what is left over is the last class.
@@ -104,7 +104,7 @@ def references(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
     chars = d.select("language", class_counts(F.col("text")).alias("c")).groupBy("language").agg(*[F.sum(F.col("c")[k]).alias(f"c{k}") for k in range(n_classes)])
     total = sum((F.col(f"c{k}") for k in range(1, n_classes)), F.col("c0"))
     chars = chars.select("language", F.array(*[F.col(f"c{k}") / total for k in range(n_classes)]).alias("class_share"))
-    counts = d.select("language", F.explode(split_words(F.col("text"))).alias("word")).groupBy("language", "word").agg(F.count("*").alias("n"))
+    counts = d.select("language", F.explode(split_words(F.lower("text"))).alias("word")).groupBy("language", "word").agg(F.count("*").alias("n"))
     counts = written(counts, "language-words")
     sizes = counts.groupBy("language").agg(F.sum("n").alias("total")).where(F.col("total") >= MIN_REFERENCE_WORDS)
     order = Window.partitionBy("language").orderBy(F.desc("n"), "word")
@@ -128,12 +128,13 @@ def judge(docs: DataFrame) -> DataFrame:
     refs = small_side(written(references(docs), "references"))
     d = base_counts(docs, "lang").withColumn("language", F.coalesce(F.col("lang").cast("string"), F.lit(""))).join(refs, "language", "left")
     judged = (F.col("n_words") >= MIN_WORDS) & F.col("common").isNotNull()
-    d = d.withColumn("codes", F.when(judged, F.transform("words", lambda w: F.array_position("common", w))))
+    codes = F.transform("words", lambda w: F.array_position("common", F.lower(w)))
+    d = d.withColumn("codes", F.when(judged, F.filter(codes, lambda c: c > 0)))
     d = d.withColumn("classes", F.when(judged, class_counts(F.col("text"))))
     in_class = F.transform("classes", lambda c: c / F.aggregate("classes", F.lit(0.0), lambda a, x: a + x))
-    at = [(F.size("codes") - F.size(F.array_remove("codes", F.lit(k).cast("long")))) / F.size("codes") for k in [*range(1, COMMON_WORDS + 1), 0]]
+    at = [(F.size("codes") - F.size(F.array_remove("codes", F.lit(k).cast("long")))) / F.col("n_words") for k in range(1, COMMON_WORDS + 1)]
     # a language with fewer different words than bins has no codes for the others
-    in_common = let(F.array(*at), lambda a: F.concat(F.slice(a, F.lit(1), F.size("common")), F.array(a[COMMON_WORDS])))
+    in_common = F.concat(F.slice(F.array(*at), F.lit(1), F.size("common")), F.array((F.col("n_words") - F.size("codes")) / F.col("n_words")))
     d = d.withColumn("class_distance", F.when(judged, js_distance(in_class, F.col("class_share"))))
     d = d.withColumn("word_distance", F.when(judged, js_distance(in_common, F.col("common_share"))))
     far = F.coalesce((F.col("class_distance") > CLASS_DISTANCE) | (F.col("word_distance") > WORD_DISTANCE), F.lit(False))

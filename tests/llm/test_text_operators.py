@@ -218,6 +218,49 @@ def test_divergent_text_is_dropped(spark):
     assert out.pop(99) is False and all(out.values())
 
 
+def _distances(rows):
+    """``{doc_id: (class distance, word distance)}`` by brute force, for documents and languages above the guards."""
+    def classes(text):
+        counts = []
+        for _, pattern in (*rules.CLASSES[:3], ("letter", r"[^\W\d_]+"), *rules.CLASSES[4:]):
+            rest = re.sub(pattern, "", text)
+            counts.append(len(text) - len(rest))
+            text = rest
+        return np.array([*counts, len(text)], float)
+
+    def js(p, q):
+        m = (p + q) / 2
+        return np.sqrt(sum(0.5 * (x[x > 0] * np.log2(x[x > 0] / m[x > 0])).sum() for x in (p, q)))
+
+    out = {}
+    for lang in {r[2] for r in rows}:
+        own = [(i, t, WORD.findall(t.lower())) for i, t, x in rows if x == lang]
+        counts = collections.Counter(w for _, _, words in own for w in words)
+        top = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:24]]
+        share = lambda c, n: np.array([*(c[w] for w in top), n - sum(c[w] for w in top)], float) / n
+        whole = sum(classes(t) for _, t, _ in own)
+        for i, t, words in own:
+            if len(words) >= 50 and counts.total() >= 2000:
+                out[i] = js(classes(t) / len(t), whole / whole.sum()), js(share(collections.Counter(words), len(words)), share(counts, counts.total()))
+    return out
+
+
+def test_distances_and_verdict(spark):
+    rng = random.Random(11)
+    common = "the of and to in is it that for with as on by at from this be are or an was not but have which".split()
+    rows = []
+    for k in range(60):
+        words = [rng.choice(common[:k % 25 + 1]) if rng.random() < 0.6 else "".join(rng.choices("abcdefghé1,", k=5)) for _ in range(40 + k)]
+        text = rng.choice([" ", "\t", "\n"]).join([w.title() if rng.random() < 0.3 else w for w in words])
+        rows.append((k, text.upper() if k % 10 == 9 else text, "fr" if k == 7 else "en"))
+    got = {r.doc_id: r for r in rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    want = _distances(rows)
+    assert {i for i, r in got.items() if r.word_distance is not None} == set(want) and want
+    for i, (by_class, by_word) in want.items():
+        assert got[i].class_distance == pytest.approx(by_class, abs=1e-6) and got[i].word_distance == pytest.approx(by_word, abs=1e-6)
+        assert got[i].kept == (not got[i].base_failed and by_class <= 0.30 and by_word <= 0.42)
+
+
 # --- licenses -------------------------------------------------------------------
 def test_patience_alignment():
     assert licenses.align(list("axbycz"), list("abc")) == [(0, 0), (2, 1), (4, 2)]
