@@ -155,14 +155,12 @@ def disclosures(docs: DataFrame, spanned: DataFrame) -> DataFrame:
     pairs = (near.select("text_key", "value", "word").distinct().join(copies, "text_key")
              .groupBy("value", "word").agg(F.sum("copies").alias("df_pair"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT))
     pairs = written(pairs, "pairs")
-    # documents of each candidate word, over the whole table: distinct words of a document, pre-aggregated by task
-    terms = docs.select(F.explode(F.array_distinct(split_words(whole_text()))).alias("w"))
-    words = terms.groupBy("w").agg(F.count("*").alias("n")).select(term("w").alias("word"), "n")
-    df_word = words.groupBy("word").agg(F.sum("n").alias("df_word")).join(pairs.select("word").distinct(), "word")
+    # documents of each candidate word, over the whole table: each document counts once for a term, pre-aggregated by task
+    terms = docs.select(F.explode(F.array_distinct(F.transform(F.array_distinct(split_words(whole_text())), term))).alias("word"))
+    df_word = terms.groupBy("word").agg(F.count("*").alias("df_word")).join(pairs.select("word").distinct(), "word")
     scored = pairs.join(df_word, "word").join(values, "value").withColumn("n_docs", F.lit(docs.count()))
     information = F.log2(F.col("n_docs") / F.col("df_value"))
-    # a word with several spellings in one document counts once for each; no more than all documents
-    given = F.log2(F.col("n_docs") * F.col("df_pair") / (F.col("df_value") * F.greatest(F.least("df_word", "n_docs"), "df_pair")))
+    given = F.log2(F.col("n_docs") * F.col("df_pair") / (F.col("df_value") * F.col("df_word")))
     scored = scored.select("value", "word", F.when(information > 0, given / information).otherwise(0.0).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
     found = near.join(scored, ["value", "word"]).groupBy("text_key", "start", "end").agg(F.max("disclosure").alias("d"))
     return found.select("text_key", "start", "end", F.when(F.col("d") >= REMOVE, REMOVED).otherwise(GENERALISED).alias("action"))

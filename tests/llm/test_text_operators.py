@@ -62,6 +62,11 @@ def test_revealing_words_are_found_and_rewritten(spark):
     assert "[email]" in out[0] and "zorbat" not in out[0] and "common words" in out[0] and out[100] == filler[0][1]
 
 
+def test_document_frequency_counts_a_document_once(spark):
+    rows = [(k, f"Acme acme, beside a@hot.org number {k}") for k in range(10)] + [(50 + k, f"other beside number {k}") for k in range(20)]
+    assert {r.n_removed for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id < 50} == {2}
+
+
 def test_sanitise_keeps_columns(odd):
     out = pii.sanitise(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
