@@ -18,7 +18,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: one document of each group of near copies stays, the one with the smallest id."""
+    """Operator 6: one row of each group of near copies stays, the one with the smallest id (rows without one last)."""
     return simhash.keep_one(docs, shingle=3, most=3)
 
 

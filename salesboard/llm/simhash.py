@@ -51,15 +51,19 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp long`` (the 64 bits as a signed number)."""
+def fingerprints(docs: DataFrame, shingle: int = 3, row_key: Column | None = None) -> DataFrame:
+    """``doc_id, fp long`` (the 64 bits as a signed number), and ``row_key`` if one is given."""
+    carried = ["doc_id"] if row_key is None else ["doc_id", "row_key"]
+
     def start():
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
             fp = np.array([fingerprint(t.as_py(), shingle) for t in batch["text"]], np.uint64)
-            return pa.record_batch([batch["doc_id"], pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            return pa.record_batch([*(batch[c] for c in carried), pa.array(fp.view(np.int64))], names=[*carried, "fp"])
         return fn
 
-    return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")), start, "doc_id long, fp long")
+    more = [] if row_key is None else [row_key.alias("row_key")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), *more)
+    return map_rows(rows, start, "doc_id long, row_key string, fp long" if more else "doc_id long, fp long")
 
 
 # --- candidates -----------------------------------------------------------------
@@ -165,27 +169,34 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def _roots(prints: DataFrame, most: int) -> DataFrame:
+    """``fp, first, root``: the fingerprints of ``doc_id, fp``, the smallest key of each and its component's root."""
+    own = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    roots = components(links(own.select("fp"), most))
+    return cut(own.join(roots, own["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:
     """``doc_id, fp, component_id`` (smallest key reachable) for every row."""
     prints = written(fingerprints(docs, shingle), "fingerprints")
-    own = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(own.select("fp"), most))
-    rooted = own.join(roots, own["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = cut(rooted)
+    rooted = _roots(prints, most)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose key is their component's smallest: one document of each group.
+    """One row of ``docs`` for each component: the one with the smallest key, then the smallest hash of key and text.
 
-    Rows that share the kept key are one document: the one with the smallest text
-    hash stays.  Rows without a key stand for no document that could be kept by key and go.
+    Rows without a key come after those with one, and stay if nothing else is near.
+    Rows that share a key are judged by their own texts.
     """
-    found = near_duplicates(docs, shingle, most)
-    kept = found.where("component_id = doc_id").groupBy("doc_id").agg(F.count("*").alias("n_rows"))
-    rows = docs.join(kept, "doc_id")
+    row_key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit(":"), whole_text()).cast("binary"))
+    prints = written(fingerprints(docs, shingle, row_key), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("no_key"), "doc_id", "row_key")
+    kept = prints.join(_roots(prints, most), "fp").groupBy("root").agg(F.min(order).alias("least")).select(F.col("least.row_key").alias("__row_key"))
+    sizes = prints.groupBy(F.col("row_key").alias("__row_key")).agg(F.count("*").alias("__n_rows"))
+    rows = docs.withColumn("__row_key", row_key).join(written(kept.join(sizes, "__row_key"), "kept"), "__row_key")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    repeated = (rows.where("n_rows > 1").groupBy("doc_id").agg(F.min_by(whole, F.xxhash64("text")).alias("row")).select("row.*"))
-    return rows.where("n_rows = 1").select(docs.columns).unionByName(repeated.select(docs.columns))
+    repeated = rows.where("__n_rows > 1").groupBy("__row_key").agg(F.min_by(whole, F.to_json(whole)).alias("row")).select("row.*")
+    return rows.where("__n_rows = 1").select(docs.columns).unionByName(repeated.select(docs.columns))

@@ -155,6 +155,14 @@ def test_keep_one(odd):
     assert collections.Counter(r.doc_id for r in kept.collect()) == {1: 1, 2: 1, 4: 1, 7: 1}  # 3 and 6 are empty like 2, 5 is 4
 
 
+def test_keep_one_of_each_component(spark):
+    texts = ["alpha " * 30, "beta gamma " * 20, "delta epsilon zeta " * 10, "eta theta " * 25, "iota kappa " * 9]
+    rows = [(5, texts[0], 1), (3, texts[0], 2), (5, texts[1], 3),  # 3 stands for the first text, 5 for the second only
+            (None, texts[2], 4), (None, texts[2], 5), (None, texts[1], 6), (8, texts[3], 7), (8, texts[4], 8), (8, texts[4], 8)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n int")).collect()
+    assert sorted((r.text, r.doc_id) for r in kept) == sorted([(texts[0], 3), (texts[1], 5), (texts[2], None), (texts[3], 8), (texts[4], 8)])
+
+
 # --- decontamination ------------------------------------------------------------
 def test_reordered_passage_is_a_leak(spark):
     item = [f"w{k}" for k in range(24)]
