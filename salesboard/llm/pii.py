@@ -3,17 +3,17 @@ r"""Personal data and what gives it away.
 Base spans are email addresses, IP addresses, card and phone numbers by fixed
 patterns and checks.  Beyond those, the corpus itself says which words reveal a
 protected value: with ``N`` documents, a value ``e`` in ``df(e)`` of them, a word
-``t`` in ``df(t)`` and the two within ``REACH`` words of each other in
-``df(e, t)``,
+``t`` in ``df(t)`` and the two together in ``df(e, t)``, at any distance,
 
     disclosure(e, t) = PMI(e, t) / IC(e)
                      = log2(N df(e, t) / (df(e) df(t))) / log2(N / df(e))
 
 is the share of the value's information that the word gives (1: it gives it away).
-A word next to the value is removed where that reaches ``REMOVE`` and generalised
-where it reaches ``GENERALISE``; pairs seen in fewer than ``SUPPORT`` different
-texts are chance.  Only mentions' surroundings give pairs, so their number grows
-with the mentions, not with products of groups.
+In the documents that hold the value, the word is removed at every occurrence where
+that reaches ``REMOVE`` and generalised where it reaches ``GENERALISE``; pairs seen
+in fewer than ``SUPPORT`` different texts are chance.  A document gives the pairs of
+its own values and terms, so their number grows with the documents, not with
+products of groups.  Words that touch a base span are part of it.
 
 DataFrame functions only.  Positions come from the pieces between matches: a text
 is split by the pattern and the matches are read in the same order.  Patterns run
@@ -30,11 +30,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesboard.llm.common import whole_text, written
+from salesboard.llm.common import SPACE, small_side, whole_text, written
 from salesboard.llm.rules import let, split_words
 
-#: Words on either side of a value that can reveal it, and the thresholds of the method.
-REACH, SUPPORT = 5, 2
+#: Different texts that a pair needs, and the thresholds of the method.
+SUPPORT = 2
 GENERALISE, REMOVE = 0.6, 0.8
 
 # Patterns of the contract (fixed values), possessive and anchored at the start of a run.
@@ -109,61 +109,86 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
 
 # --- disclosure -----------------------------------------------------------------
 
-def _neighbours(d: DataFrame) -> DataFrame:
-    """Words within reach of each base span of ``text_key, text, base``: ``text_key, value, word, start, end``.
+#: Stands for each character of a base span; a word that holds it belongs to a value.
+_HIDDEN, _OTHER = "\uffff", "\ufffe"
+_SIGN = r"[^\p{L}\p{N}]"
 
-    Each side is looked at through the characters that can hold ``REACH`` words,
-    and only whole words count.
-    """
-    reach = REACH * 40
-    at = d.select("text_key", "text", F.explode("base").alias("s")).select(
-        "text_key", "s.value", F.col("s.start").alias("b"), F.col("s.end").alias("e"),
-        F.expr(f"substring(text, greatest(s.start - {reach}, 0) + 1, least(s.start, {reach}))").alias("left"),
-        F.expr(f"substring(text, s.end + 1, {reach})").alias("right"))
-    # the outermost piece of either side may be cut or belong to the span itself: only pieces between separators count
-    pieces = r"[^\x20\x09-\x0D]+"
-    def walk(side: Column, origin: Column) -> Column:
-        words, gaps = F.regexp_extract_all(side, F.lit(pieces), F.lit(0)), F.split(side, pieces)
-        start = F.struct(origin.alias("at"), F.array().cast("array<struct<word:string,start:int,end:int>>").alias("out"))
-        both = F.zip_with(F.transform(F.slice(gaps, F.lit(1), F.size(words)), lambda g: F.length(g)), words, lambda g, w: F.struct(g.alias("g"), w.alias("w")))
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + x["g"]
-            return F.struct((begin + F.length(x["w"])).alias("at"),
-                            F.concat(acc["out"], F.array(F.struct(x["w"].alias("word"), begin.alias("start"), (begin + F.length(x["w"])).alias("end")))).alias("out"))
-        return F.aggregate(both, start, step, lambda acc: acc["out"])
-    before = F.filter(walk(F.col("left"), F.col("b") - F.length("left")), lambda x: (x["end"] < F.col("b")) & ((x["start"] > F.col("b") - F.length("left")) | (x["start"] == 0)))
-    after = F.filter(walk(F.col("right"), F.col("e")), lambda x: (x["start"] > F.col("e")) & ((x["end"] < F.col("e") + F.length("right")) | (F.length("right") < reach)))
-    near = F.concat(F.slice(before, F.greatest(F.size(before) - REACH + 1, F.lit(1)), F.lit(REACH)), F.slice(after, F.lit(1), F.lit(REACH)))
-    words = at.select("text_key", "value", F.explode(near).alias("x")).select("text_key", "value", term("x.word").alias("word"), "x.start", "x.end")
-    return words.where("word <> ''")
+
+def term(word: Column) -> Column:
+    """The form in which a word is counted: lower case, without signs at either end; empty if nothing is left."""
+    return F.lower(F.regexp_replace(word, rf"^{_SIGN}++|(?<!{_SIGN}){_SIGN}++$", ""))
+
+
+def terms(text: Column) -> Column:
+    """The distinct terms of a text, outside its hidden stretches."""
+    words = F.filter(F.array_distinct(split_words(text)), lambda w: ~F.contains(w, F.lit(_HIDDEN)))
+    return F.array_remove(F.array_distinct(F.transform(words, term)), "")
+
+
+def _plain(text: Column) -> Column:
+    return F.replace(text, F.lit(_HIDDEN), F.lit(_OTHER))
+
+
+def _masked(text: Column) -> Column:
+    """A text of the same length with its ``base`` spans hidden."""
+    def step(acc: Column, s: Column) -> Column:
+        kept = text.substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        hidden = F.repeat(F.lit(_HIDDEN), F.greatest(s["end"] - F.greatest(acc["at"], s["start"]), F.lit(0)))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], kept, hidden).alias("out"))
+    return F.aggregate("base", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text))))
 
 
-def term(column: str) -> Column:
-    """The form in which a word is counted: lower case, without signs at either end; empty if nothing is left or it has a digit."""
-    bare = F.lower(F.regexp_replace(column, r"^[^\p{L}]+|[^\p{L}]+$", ""))
-    return F.when(bare.rlike("[0-9@]"), "").otherwise(bare)
+def _information(n_docs: int, df: str) -> Column:
+    return F.log2(F.lit(n_docs) / F.col(df))
 
 
 def disclosures(docs: DataFrame, spanned: DataFrame) -> DataFrame:
-    """``text_key, start, end, action``: the revealing words around the values of each text of ``spanned``.
+    """``text_key, marks``: the terms (``word, action``) that reveal a value of each text of ``spanned``.
 
     ``spanned`` has ``text_key, text, base`` for the documents with base spans, one row a document; counts cover all ``docs``.
+    A pair is in no more documents than its word is, so words that tell less than ``GENERALISE`` of a value's information
+    are left out before pairing; the result is the same.
     """
-    near = written(_neighbours(spanned.dropDuplicates(["text_key"])), "neighbours")
-    copies = spanned.groupBy("text_key").agg(F.count("*").alias("copies"))
-    values = spanned.select("text_key", F.explode(F.array_distinct(F.transform("base", lambda s: s["value"]))).alias("value")).groupBy("value").agg(F.count("*").alias("df_value"))
-    pairs = (near.select("text_key", "value", "word").distinct().join(copies, "text_key")
-             .groupBy("value", "word").agg(F.sum("copies").alias("df_pair"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT))
-    pairs = written(pairs, "pairs")
-    # documents of each candidate word, over the whole table: each document counts once for a term, pre-aggregated by task
-    terms = docs.select(F.explode(F.array_distinct(F.transform(F.array_distinct(split_words(whole_text())), term))).alias("word"))
-    df_word = terms.groupBy("word").agg(F.count("*").alias("df_word")).join(pairs.select("word").distinct(), "word")
-    scored = pairs.join(df_word, "word").join(values, "value").withColumn("n_docs", F.lit(docs.count()))
-    information = F.log2(F.col("n_docs") / F.col("df_value"))
-    given = F.log2(F.col("n_docs") * F.col("df_pair") / (F.col("df_value") * F.col("df_word")))
-    scored = scored.select("value", "word", F.when(information > 0, given / information).otherwise(0.0).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
-    found = near.join(scored, ["value", "word"]).groupBy("text_key", "start", "end").agg(F.max("disclosure").alias("d"))
-    return found.select("text_key", "start", "end", F.when(F.col("d") >= REMOVE, REMOVED).otherwise(GENERALISED).alias("action"))
+    n_docs = docs.count()
+    texts = spanned.groupBy("text_key").agg(F.count("*").alias("copies"), F.first("text").alias("text"), F.first("base").alias("base"))
+    texts = texts.withColumn("masked", _masked(_plain(F.col("text"))))
+    texts = written(texts.select("text_key", "copies", F.array_distinct(F.transform("base", lambda s: s["value"])).alias("values"), terms(F.col("masked")).alias("terms")), "texts")
+    mentions = texts.select("text_key", "copies", F.explode("values").alias("value"))
+    values = mentions.groupBy("value").agg(F.sum("copies").alias("df_value"), F.count("*").alias("texts")).where((F.col("texts") >= SUPPORT) & (F.col("df_value") < n_docs))
+    values = written(values.select("value", "df_value", _information(n_docs, "df_value").alias("information")), "values")
+    least = values.agg(F.min("information")).first()[0]
+    if least is None:
+        return spanned.select("text_key", F.array().cast("array<struct<word:string,action:string>>").alias("marks")).limit(0)
+    # documents of each term, over the whole table: each document counts once for a term, pre-aggregated by task
+    words = docs.select(F.explode(terms(_plain(whole_text()))).alias("word")).groupBy("word").agg(F.count("*").alias("df_word"))
+    words = words.withColumn("most", _information(n_docs, "df_word") + 1e-9).where((F.col("df_word") >= SUPPORT) & (F.col("most") >= GENERALISE * least))
+    words = written(words, "words")
+    mentions = mentions.join(values, "value")
+    beside = texts.select("text_key", F.explode("terms").alias("word"))
+    pairs = (beside.join(words, "word").join(mentions, "text_key").where(F.col("most") >= GENERALISE * F.col("information"))
+             .groupBy("value", "word").agg(F.sum("copies").alias("df_pair"), F.count("*").alias("texts"), *[F.first(c).alias(c) for c in ("df_value", "df_word", "information")])
+             .where(F.col("texts") >= SUPPORT))
+    given = F.log2(n_docs * F.col("df_pair") / (F.col("df_value") * F.col("df_word")))
+    scored = written(pairs.select("value", "word", (given / F.col("information")).alias("disclosure")).where(F.col("disclosure") >= GENERALISE), "scored")
+    revealing = beside.join(small_side(scored.select("word").distinct()), "word").join(mentions.select("text_key", "value"), "text_key").join(scored, ["value", "word"])
+    found = revealing.groupBy("text_key", "word").agg(F.max("disclosure").alias("d"))
+    action = F.when(F.col("d") >= REMOVE, REMOVED).otherwise(GENERALISED)
+    return found.groupBy("text_key").agg(F.collect_list(F.struct("word", action.alias("action"))).alias("marks"))  # terms of one text
+
+
+def _marked_places(text: Column, marks: Column) -> Column:
+    """``start, end, action`` of every word of ``text`` outside its base spans whose term is marked, by start."""
+    def places(pieces: Column) -> Column:
+        hits = F.filter(F.transform(pieces, lambda p, i: F.struct(i.alias("i"), F.length(p).alias("n"), F.array_position(marks["word"], term(p)).cast("int").alias("mark"), F.contains(p, F.lit(_HIDDEN)).alias("hidden"))),
+                        lambda h: (h["mark"] > 0) & ~h["hidden"])
+        start = F.struct(F.lit(0).alias("next"), F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,action:string>>").alias("out"))
+        def step(acc: Column, h: Column) -> Column:
+            between = F.length(F.array_join(F.slice(pieces, acc["next"] + 1, h["i"] - acc["next"]), " "))
+            begin = acc["at"] + between + F.when(h["i"] > acc["next"], 1).otherwise(0)
+            span = F.struct(begin.alias("start"), (begin + h["n"]).alias("end"), F.get(marks["action"], h["mark"] - 1).alias("action"))
+            return F.struct((h["i"] + 1).alias("next"), (begin + h["n"] + 1).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        return F.aggregate(hits, start, step, lambda acc: acc["out"])
+    return let(F.split(_masked(_plain(text)), SPACE), places)
 
 
 def sanitised_spans(docs: DataFrame) -> DataFrame:
@@ -171,10 +196,11 @@ def sanitised_spans(docs: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<start:int,end:int,action:string>>")
     base = written(with_base_spans(docs), "base-spans")
     held = F.size("base") > 0
-    spanned = base.where(held).withColumn("text_key", F.md5(F.col("text").cast("binary")))
-    marked = disclosures(base, spanned.select("text_key", "text", "base"))
-    marked = marked.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "action"))).alias("revealing"))  # within reach of its own spans
-    with_spans = spanned.join(marked, "text_key", "left").select(*base.columns, F.coalesce("revealing", none).alias("revealing"))
+    key = F.unhex(F.md5(whole_text().cast("binary")))
+    spanned = base.where(held).withColumn("text_key", key)
+    marked = disclosures(base, spanned.select("text_key", whole_text().alias("text"), "base"))
+    revealing = F.when(F.col("marks").isNotNull(), _marked_places(whole_text(), F.col("marks"))).otherwise(none)
+    with_spans = spanned.join(marked, "text_key", "left").select(*base.columns, revealing.alias("revealing"))
     return base.where(~held).withColumn("revealing", none).unionByName(with_spans)
 
 

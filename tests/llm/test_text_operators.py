@@ -62,6 +62,44 @@ def test_revealing_words_are_found_and_rewritten(spark):
     assert "[email]" in out[0] and "zorbat" not in out[0] and "common words" in out[0] and out[100] == filler[0][1]
 
 
+def _terms(text):
+    return {re.sub(r"^[\W_]+|[\W_]+$", "", w).lower() for w in WORD.findall(text)} - {""}
+
+
+def _revealing(rows):
+    """``{(doc_id, start, end): action}`` by brute force; every document is in ``rows`` as ``(doc_id, text)``."""
+    bases = {i: [(m.start(), m.end(), m.group().lower()) for m in KINDS[0][1].finditer(t)] for i, t in rows}
+    words = {i: [(m.start(), m.end(), *(_terms(m.group()) or {""})) for m in WORD.finditer(t) if not any(m.start() < e and s < m.end() for s, e, _ in bases[i])] for i, t in rows}
+    held = {i: {v for *_, v in bases[i]} for i, _ in rows}
+    df_word = collections.Counter(w for _, t in rows for w in _terms(t))
+    df_value = collections.Counter(v for vs in held.values() for v in vs)
+    df_pair = collections.Counter((v, w) for i, _ in rows for v in held[i] for w in {w for *_, w in words[i]} - {""})
+    text = dict(rows)
+    n_texts = {p: len({text[i] for i, _ in rows if p[0] in held[i] and p[1] in {w for *_, w in words[i]}}) for p in df_pair}
+    score = {(v, w): np.log2(len(rows) * n / (df_value[v] * df_word[w])) / np.log2(len(rows) / df_value[v]) for (v, w), n in df_pair.items() if n_texts[v, w] >= 2 and df_value[v] < len(rows)}
+    found = {}
+    for i, _ in rows:
+        for a, b, w in words[i]:
+            if (d := max((score.get((v, w), 0) for v in held[i]), default=0)) >= 0.6:
+                found[i, a, b] = "removed" if d >= 0.8 else "generalised"
+    return found
+
+
+def _disclosing():
+    far = "w x y z q r " * 3
+    rows = [(k, f"Acme, acme ACME {far} {k} mail hot@third.org") for k in range(20)]  # spellings, far away, hot value
+    rows += [(100 + k, f"EMP-0042 4521 ab12cd {far} {'u' * 230} bob@x.org {'v' * 230} {far} near{k} Zorbat, also (zorbat)") for k in range(3)]
+    rows += [(200, rows[-1][1]), (201, "zorbat EMP-0042 without the address"), (202, "emp 4521 x@y.zz,bob@x.org"), (203, "two a@b.cd b@c.de")]
+    return rows + [(300 + k, f"{far} filler number {k} é\uffff漢") for k in range(36)]
+
+
+def test_disclosure_against_brute_force(spark):
+    rows = _disclosing()
+    got = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {(r.doc_id, int(a), int(b)): k for r in got for k, a, b in (s.split(":") for s in r.spans.split(",") if s) if k in ("removed", "generalised")}
+    assert spans == _revealing(rows) and {dict(rows)[i][a:b] for i, a, b in spans} >= {"Acme,", "acme", "ACME", "EMP-0042", "4521", "ab12cd", "Zorbat,", "(zorbat)", "u" * 230}
+
+
 def test_document_frequency_counts_a_document_once(spark):
     rows = [(k, f"Acme acme, beside a@hot.org number {k}") for k in range(10)] + [(50 + k, f"other beside number {k}") for k in range(20)]
     assert {r.n_removed for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id < 50} == {2}
