@@ -100,6 +100,12 @@ def test_disclosure_against_brute_force(spark):
     assert spans == _revealing(rows) and {dict(rows)[i][a:b] for i, a, b in spans} >= {"Acme,", "acme", "ACME", "EMP-0042", "4521", "ab12cd", "Zorbat,", "(zorbat)", "u" * 230}
 
 
+def test_word_beside_a_very_long_word(spark):
+    rows = [(k, f"zorbat {'u' * 220}{k} {' ' * 300} a@b.cd {'v' * 220}{k} zumbit") for k in range(3)] + [(50 + k, f"filler {k}") for k in range(30)]
+    out = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any("zorbat" in out[k] or "zumbit" in out[k] for k in range(3)) and all("[email]" in out[k] for k in range(3))
+
+
 def test_document_frequency_counts_a_document_once(spark):
     rows = [(k, f"Acme acme, beside a@hot.org number {k}") for k in range(10)] + [(50 + k, f"other beside number {k}") for k in range(20)]
     assert {r.n_removed for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id < 50} == {2}
