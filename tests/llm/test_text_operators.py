@@ -338,6 +338,30 @@ def test_license_lines_of_the_table(docs):
     assert want == {(r.doc_id, r.license) for r in licenses.scan(docs).collect()}
 
 
+def test_versions_and_whole_texts_are_told_apart(spark):
+    t = licenses.TEMPLATES
+    names = [n for n in t if n.endswith((" text", " spdx", " header"))]
+    rows = [(k, f"some words before {t[n]} and some after") for k, n in enumerate(names)]
+    rows += [(1000, "This work is licensed under the GNU General Public License, version 2."), (1001, "SPDX-License-Identifier: XYZ-2.0")]
+    found = collections.defaultdict(set)
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found[r.doc_id].add(r.license)
+    for k, n in enumerate(names):
+        assert {x for x in found[k] if x.split()[-1] == n.split()[-1]} >= {n} and (t[n] not in t["gpl header"] or found[k] == {"gpl header"})
+    assert found[1000] == {"gpl-2.0 notice"} and not found[1001]
+    by_kind = collections.Counter((k, x.split()[-1]) for k, n in enumerate(names) for x in found[k] if x.split()[-1] == n.split()[-1])
+    assert set(by_kind.values()) == {1}
+
+
+def test_stray_words_do_not_stretch_a_find():
+    template = [f"t{k}" for k in range(50)]
+    text = template[:1] + ["x"] * 32 + template[1:5] + template[8:49] + ["y"] * 30 + template[49:]
+    places = collections.defaultdict(list)
+    for k, w in enumerate(text):
+        places[w].append(k)
+    assert [m >= 45 for *_, m in licenses.find(text, template, dict(places))] == [True]
+
+
 @pytest.mark.parametrize("table", ["odd", "empty"])
 def test_license_odd_rows(request, table):
     assert licenses.scan(request.getfixturevalue(table)).count() == 0
