@@ -13,7 +13,7 @@ import pyarrow.parquet as pq
 from salesboard.operators import measures as M
 from salesboard.plans.catalog import ticks_valid
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from test_parse_properties import java_split, model_price_low
 
 

@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _plan(df):

@@ -13,7 +13,7 @@ from salesboard.session import fresh_dir
 from salesboard.sources.logs import raw_log
 from salesboard.streaming.job import JobConfig, batch_log, process_batch, slim_batch
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 ENVELOPE = ["topic", "partition", "offset", "timestamp", "value"]
 

@@ -10,7 +10,7 @@ from salesboard.operators import state as ST
 from salesboard.plans.catalog import ticks, ticks_valid
 from salesboard.streaming.live import live_run
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 @pytest.fixture(scope="module")
