@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesboard.llm import bpe, decontam, licenses, pii, quality, rules, simhash, substring, token_counts, token_store
+from salesboard.llm import bpe, decontam, licenses, packing, pii, quality, rules, simhash, substring, token_counts, token_store
 from salesboard.llm.common import documents
 from salesboard.session import fresh_dir
 
@@ -78,3 +78,12 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.deduplicate(documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "pieces")
+    packing.write_pieces(documents(spark, sf_dir), path)
+    pieces = packing.read_pieces(spark, path).select(
+        "place", "doc_id", F.col("piece").cast("int").alias("piece"), "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"))
+    return pieces.join(packing.slots(spark, path), "place").drop("place")
