@@ -72,21 +72,23 @@ def rebuild(turns: DataFrame, every: int = 100, forks: int = 6) -> DataFrame:
 
 # --- equal conversations ----------------------------------------------------------
 
-def _id_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of ids of one path as text, from rows sorted by path and id."""
-    path, held = None, []
-    for batch in batches:
-        out = []
-        for p, c in zip(batch["path_key"].to_pylist(), batch["conv_id"].to_pylist()):
-            if held and (p != path or len(held) == PIECE_IDS):
-                out.append((path, held[0], ",".join(map(str, held))))
-                held = []
-            path = p
-            held.append(c)
-        if out:
-            yield _pieces(out)
-    if held:
-        yield _pieces([(path, held[0], ",".join(map(str, held)))])
+def _id_pieces(most: int):
+    """Runs of at most ``most`` ids of one path as text, from rows sorted by path and id."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, held = None, []
+        for batch in batches:
+            out = []
+            for p, c in zip(batch["path_key"].to_pylist(), batch["conv_id"].to_pylist()):
+                if held and (p != path or len(held) == most):
+                    out.append((path, held[0], ",".join(map(str, held))))
+                    held = []
+                path = p
+                held.append(c)
+            if out:
+                yield _pieces(out)
+        if held:
+            yield _pieces([(path, held[0], ",".join(map(str, held)))])
+    return run
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:
@@ -117,7 +119,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done([(path, sha.hexdigest())])
 
 
-def paths(turns: DataFrame) -> DataFrame:
+def paths(turns: DataFrame, most: int = PIECE_IDS) -> DataFrame:
     """``path, lengths, n, least, ends``: each distinct sequence of turns once, with the digest of its conversations' ids.
 
     The ids of one sequence, which may be a third of all, are range-partitioned by
@@ -127,7 +129,7 @@ def paths(turns: DataFrame) -> DataFrame:
     convs = written(convs, "paths")
     merged = convs.groupBy("path_key").agg(F.count("*").alias("n"), F.min("conv_id").alias("least"), F.first("path").alias("path"), F.first("lengths").alias("lengths"))
     ids = convs.select("path_key", "conv_id").repartitionByRange("path_key", "conv_id").sortWithinPartitions("path_key", "conv_id")
-    pieces = ids.mapInArrow(_id_pieces, "path_key string, first long, ids string")
+    pieces = ids.mapInArrow(_id_pieces(most), "path_key string, first long, ids string")
     ends = pieces.repartition("path_key").sortWithinPartitions("path_key", "first").mapInArrow(_digests, "path_key string, ends string")
     return merged.join(ends, "path_key").select("path", "lengths", "n", "least", "ends")
 

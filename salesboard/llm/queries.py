@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesboard.llm import bpe, decontam, licenses, packing, pii, quality, rules, simhash, substring, token_counts, token_store
+from salesboard.llm import bpe, decontam, licenses, packing, pii, prefix_trie, quality, repair, rules, simhash, substring, token_counts, token_store
 from salesboard.llm.common import documents
 from salesboard.session import fresh_dir
 
@@ -87,3 +87,14 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.read_pieces(spark, path).select(
         "place", "doc_id", F.col("piece").cast("int").alias("piece"), "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"))
     return pieces.join(packing.slots(spark, path), "place").drop("place")
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(prefix_trie.rebuild(prefix_trie.sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+
+
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.turn_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return repair.summary(repair.repair(repair.damage(rows)))

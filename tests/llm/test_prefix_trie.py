@@ -83,11 +83,10 @@ def test_long_common_stretch_is_one_head(spark):
     assert result(prefix_trie.nodes(turns, 50)) == brute_force({c: [("user", f"turn {t}") for t in range(120)] + ([("assistant", f"end {c % 3}")] if c % 2 == 0 else []) for c in range(40)})
 
 
-def test_digest_of_many_ids_in_pieces(spark, monkeypatch):
-    monkeypatch.setattr(prefix_trie, "PIECE_IDS", 7)
-    rows = [(c, 0, "user", "hello") for c in range(300)]
-    node = {r.depth: r for r in prefix_trie.nodes(prefix_trie.sequences(spark.createDataFrame(rows, SCHEMA).repartition(5))).collect()}
-    assert node[1].ends_sha256 == hashlib.sha256(",".join(map(str, range(300))).encode()).hexdigest() and node[0].ends_sha256 == prefix_trie.NO_END
+def test_digest_of_many_ids_in_pieces(spark):
+    rows = [(c, 0, "user", "hello") for c in range(300)] + [(c, 0, "user", "bye") for c in range(300, 310)]
+    merged = prefix_trie.paths(prefix_trie.sequences(spark.createDataFrame(rows, SCHEMA).repartition(5)), 7).collect()
+    assert {(r.n, r.least, r.ends) for r in merged} == {(len(ids), ids[0], hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()) for ids in (range(300), range(300, 310))}
 
 
 ODD = [(None, 0, "user", "no conversation"), (5, None, None, None), (5, 3, "user", ""), (5, 3, "user", ""), (5, 1, "user", "x" * 100_000), (7, 0, "", " \n"), (200, 0, "user", "hi"),
