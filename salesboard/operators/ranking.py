@@ -2,9 +2,9 @@
 
 ``orderBy(...).limit(k)`` plans as ``TakeOrderedAndProject``: every task keeps
 its own k best rows and only ``k x tasks`` rows reach the final merge, so a
-ranking never moves the whole table.  The tie-collapse rule first reduces to
-one row per distinct amount with a partial aggregate (skew-safe; a sort
-aggregate, as the smallest id is a text).
+ranking never moves the whole table.  The tie-collapse rule takes the k best
+distinct amounts first (a hash aggregate of numbers), then the ids of the
+shops with those k amounts alone, by a semi join against k rows.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ def top_shops(shop_amt: DataFrame, k: int = RANKING_SIZE, ties: str = "collapse"
     ``ties="all"``: plain order by amount desc, then id asc.
     """
     if ties == "collapse":
-        one_per_amount = shop_amt.groupBy(amt).agg(F.min(key).alias(key))
-        return one_per_amount.select(key, amt).orderBy(F.desc(amt), F.asc(key)).limit(k)
+        amounts = shop_amt.select(amt).distinct().orderBy(F.desc(amt)).limit(k)
+        winners = shop_amt.join(F.broadcast(amounts), amt, "left_semi").groupBy(amt).agg(F.min(key).alias(key))
+        return winners.select(key, amt).orderBy(F.desc(amt), F.asc(key)).limit(k)
     if ties == "all":
         return shop_amt.select(key, amt).orderBy(F.desc(amt), F.asc(key)).limit(k)
     raise ValueError(f"ties must be one of {TIE_RULES}, got {ties!r}")

@@ -188,6 +188,17 @@ def dense_axis(spark, sf):
     return a.select(ntz("day"), "idx", ntz("bucket"), dbl("amt"))
 
 
+@query("dense_axis_1s", q("""
+SELECT d.day, CAST(g.i AS INTEGER) AS idx, d.day + g.i * INTERVAL 1 SECOND AS bucket,
+       CAST(t.amt AS DOUBLE) AS amt
+FROM days d CROSS JOIN (SELECT unnest(range(0, 86501)) AS i) g
+LEFT JOIN trend t ON t.bucket = d.day + g.i * INTERVAL 1 SECOND""", _DAYS))
+def dense_axis_1s(spark, sf):
+    # the wallboard's own axis: every second of the day and 100 seconds past it
+    a = SE.dense_axis(_trend(spark, sf), step_seconds=1)
+    return a.select(ntz("day"), "idx", ntz("bucket"), dbl("amt"))
+
+
 @query("series_peak", q("""
 SELECT day, bucket AS peak_bucket, CAST(amt AS DOUBLE) AS peak_amt FROM (
   SELECT date_trunc('day', bucket) AS day, bucket, amt,

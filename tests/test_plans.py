@@ -43,3 +43,39 @@ def test_slice_and_point_get_reach_the_scan(spark):
     assert "GreaterThanOrEqual(ordinal,1000)" in plan and "LessThan(ordinal,3500)" in plan
     plan = _plan(_queries()["state_point_get"](spark, SF_SMALL))
     assert "EqualTo(key,7)" in plan
+
+
+def _scan_rows(df):
+    """Rows that the file scans of an executed query gave out."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.executedPlan()
+    rows, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan"):
+            rows += node.metrics().get("numOutputRows").get().value()
+        if node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    return rows
+
+
+def test_a_slice_of_the_log_reads_its_own_row_groups(spark, monkeypatch):
+    from paths import SF_MID
+    from salesboard.streaming.feeder import log_slice
+    from salesboard.sources.logs import raw_log
+    log = raw_log(spark, SF_MID, "ticks")
+    whole = log.select("ordinal", "value")
+    assert len(whole.collect()) == _scan_rows(whole) == 10_000
+    part = log_slice(log, 1000, 500).select("ordinal", "value")
+    assert len(part.collect()) == 500
+    assert _scan_rows(part) <= 2 * 10_000 // 8 + 500        # at most two of the eight ranges
+
+
+def test_top_shops_sorts_no_table_of_all_shops(spark):
+    """The smallest id is taken among the shops with the k best amounts only: the sort aggregate is above the semi join."""
+    plan = _plan(_queries()["top_shops"](spark, SF_SMALL))
+    semi = plan.index("LeftSemi")
+    assert plan.count("SortAggregate") == 2 and plan.rindex("SortAggregate") < semi
+    assert "SortAggregate" not in _plan(_queries()["series_peak"](spark, SF_SMALL))
