@@ -1,26 +1,22 @@
-"""Running state as an idempotent delta log, plus merge, compaction and reads.
-
-Layout under a state root (a folder on shared storage)::
-
-    log/g=<gen>/stream_id=<s>/batch_id=<b>/kind=<k>/          a batch's outputs
-    log/g=<gen>/stream_id=_base/batch_id=<hw>/kind=base_<m>/  the generation's base
-    head/                                                     (g, hw), one row per compaction
-
-A compaction starts a new generation: its base folds every batch up to
-``hw``, later batches are written into it, and a row ``(g, hw)`` is appended
-to ``head``.  State reads list only the current generation (bounded by the
-compaction interval however long the job runs); audit reads (metrics,
-ledger, quarantine) read every generation.  Old generations are never read
-for state and can be expired by storage lifecycle rules.
-
-``kind`` is a measure (``total``, ``shop``, ``trend``: rows ``key, amt``) or
-a batch by-product written in the same job: ``metric`` (row counts),
-``offset`` (next offset per topic partition) and ``bad`` (quarantined lines).
-A micro-batch writes all of them at once with *dynamic partition
-overwrite*, so a replayed batch id (after a crash between the write and the
-checkpoint commit) replaces its own partitions instead of adding twice.  The running value of a
-key is ``base + sum(delta where batch_id > hw)``: a partial + final hash
-aggregate, so a hot key is pre-aggregated per task before the shuffle.
+"""Running state and the batch log beside it.
+
+The running totals live in the engine's state store: ``streaming.totals`` is one
+stateful aggregation whose checkpoint holds, per ``(measure, key)``, the amount
+after every committed batch.  ``read_store`` reads that state as a table (any
+retained version of it), ``publish_state`` writes a version as a table clustered
+by key, for point reads.
+
+The batch log is the audit trail of the stateless job, a folder of plain tables::
+
+    log/stream_id=<s>/batch_id=<b>/kind=<k>/
+
+``kind`` is a measure (``total``, ``shop``, ``trend``: rows ``key, amt`` that the
+batch adds) or a by-product written in the same job: ``metric`` (row counts),
+``offset`` (next offset per topic partition) and ``bad`` (quarantined lines).  A
+micro-batch writes all of them at once with *dynamic partition overwrite*, so a
+replayed batch id (after a crash between the write and the checkpoint commit)
+replaces its own partitions instead of adding twice.  ``read_state`` adds the log
+up, which must give what the state store holds.
 """
 
 from __future__ import annotations
@@ -29,34 +25,89 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pyspark.errors import AnalysisException
-
-from salesboard.session import ensure_checkpoint_dir
-from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND
-
-
-def write_partitioned(df: DataFrame, path: str, *partition_cols: str) -> None:
-    """Overwrite only the partitions present in ``df`` (replay-safe)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
-
+from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TIME_FORMAT, TOTAL_KEY
 
 MEASURES = (M_TOTAL, M_SHOP, M_TREND)
-BASE_PREFIX = "base_"
-BASE_KINDS = tuple(BASE_PREFIX + m for m in MEASURES)
-BASE_STREAM = "_base"
-LOG_PARTITIONS = ("g", "stream_id", "batch_id", "kind")
+LOG_PARTITIONS = ("stream_id", "batch_id", "kind")
 #: Batch-log schema, partition columns included (read with it: no type inference).
 LOG_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()), T.StructField("amt", T.DecimalType(28, 2)),
     T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()),
     T.StructField("line", T.StringType()), T.StructField("n_fields", T.IntegerType()),
-    T.StructField("g", T.LongType()),
     T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType()),
     T.StructField("kind", T.StringType()),
 ])
 
 
+# --- the state store ------------------------------------------------------------
+
+#: Bits of the grouping id for the measures' grouping sets over (shop, second).
+GROUPED_TOTAL, GROUPED_SHOP, GROUPED_SECOND = 0b11, 0b01, 0b10
+
+
+def measure_rows(df: DataFrame, shop, second, grouping_id, amt) -> DataFrame:
+    """``(measure, key, amt)`` of the measures' grouping sets; blank shops and missing times are no keys."""
+    measure = (F.when(grouping_id == GROUPED_TOTAL, M_TOTAL).when(grouping_id == GROUPED_SHOP, M_SHOP)
+               .when(grouping_id == GROUPED_SECOND, M_TREND))
+    key = (F.when(grouping_id == GROUPED_TOTAL, F.lit(TOTAL_KEY)).when(grouping_id == GROUPED_SHOP, shop)
+           .when(grouping_id == GROUPED_SECOND, F.date_format(second, TIME_FORMAT)))
+    return (df.select(measure.alias("measure"), key.alias("key"), amt.cast(DELTA_TYPE).alias("amt"))
+            .where((F.col("key") != "") & F.col("amt").isNotNull()))
+
+
+def read_store(spark: SparkSession, checkpoint: str, measure: str | None = None,
+               batch_id: int | None = None) -> DataFrame:
+    """``(measure, key, amt)`` as of the newest committed batch of a totals query, or as of ``batch_id``.
+
+    One read of the store's snapshot and the changes since it, however many
+    batches there have been.
+    """
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", int(batch_id))
+    rows = measure_rows(reader.load(checkpoint), F.col("key.shop_id"), F.col("key.second"),
+                        F.col("key.spark_grouping_id"), F.col("value.sum"))
+    return rows.where(F.col("measure") == measure) if measure else rows
+
+
+def publish_state(spark: SparkSession, checkpoint: str, path: str, batch_id: int | None = None) -> None:
+    """Write a version of the state as a table clustered by measure and key: a point get skips
+    row groups by their min/max statistics."""
+    rows = read_store(spark, checkpoint, batch_id=batch_id)
+    (rows.repartitionByRange("measure", "key").sortWithinPartitions("measure", "key")
+     .write.mode("overwrite").parquet(path))
+
+
+def state_point_get(state: DataFrame, key_col: str, key_value) -> DataFrame:
+    """One row by key; on a Parquet table the predicate reaches the scan."""
+    return state.where(F.col(key_col) == F.lit(key_value))
+
+
+def state_scan(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def state_merge(hist: DataFrame, delta: DataFrame, keys=("key",),
+                hist_amt: str = "amt", delta_amt: str = "delta") -> DataFrame:
+    """Stored state ⋈ batch result on the key, absent = 0 (full outer equi-join).
+
+    Both sides hold one row per key (they are aggregates), so a hot key is a
+    single row here and the join cannot skew.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    j = hist.select(*keys, F.col(hist_amt).alias("_h")).join(
+        delta.select(*keys, F.col(delta_amt).alias("_d")), keys, "full_outer")
+    return j.select(*keys, (F.coalesce("_h", F.lit(0)) + F.coalesce("_d", F.lit(0)))
+                    .cast(DELTA_TYPE).alias("amt"))
+
+
+# --- the batch log ----------------------------------------------------------------
+
+def write_partitioned(df: DataFrame, path: str, *partition_cols: str) -> None:
+    """Overwrite only the partitions present in ``df`` (replay-safe)."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_cols).parquet(path))
+
 
 def log_columns(kind, key=None, amt=None, topic=None, partition=None,
                 line=None, n_fields=None) -> list:
@@ -77,64 +128,19 @@ def log_rows(df: DataFrame, kind, key=None, amt=None, topic=None, partition=None
     return df.select(*log_columns(kind, key, amt, topic, partition, line, n_fields))
 
 
-HEAD_SCHEMA = T.StructType([T.StructField("g", T.LongType()), T.StructField("hw", T.LongType())])
-_HEADS: dict[tuple[str, str], tuple[int, int]] = {}
-#: Kind of the rows of a base that hold each stream's newest folded batch.
-FOLDED = "folded"
-_FOLDED: dict[tuple[str, str, int], dict[str, int]] = {}
-
-
-def head(spark: SparkSession, state_root: str, fresh: bool = True) -> tuple[int, int]:
-    """``(generation, high-water batch)``; ``(0, -1)`` before any compaction.
-
-    The job that owns a state root keeps its own view (``fresh=False``) and
-    updates it when it compacts; other readers re-read the small head table.
-    """
-    key = (spark.sparkContext.applicationId, state_root)
-    if not fresh and key in _HEADS:
-        return _HEADS[key]
-    if not fresh:
-        # the owning job makes sure the head exists, so no read has to fail:
-        # a (0, -1) row is neutral (the newest generation wins)
-        spark.createDataFrame([(0, -1)], HEAD_SCHEMA).write.mode("append").parquet(
-            f"{state_root}/head")
-    try:
-        h = (spark.read.schema(HEAD_SCHEMA).parquet(f"{state_root}/head")
-             .agg(F.max_by(F.struct("g", "hw"), "g").alias("h")).first()["h"])
-    except AnalysisException:          # no compaction yet
-        h = None
-    out = (int(h["g"]), int(h["hw"])) if h is not None else (0, -1)
-    _HEADS[key] = out
-    return out
-
-
-def _set_head(spark: SparkSession, state_root: str, g: int, hw: int) -> None:
-    spark.createDataFrame([(g, hw)], HEAD_SCHEMA).write.mode("append").parquet(f"{state_root}/head")
-    _HEADS[(spark.sparkContext.applicationId, state_root)] = (g, hw)
-
-
-def write_batch_log(state_root: str, rows: DataFrame, stream_id: str, batch_id: int,
-                    generation: int | None = None, cluster_by_key: bool = False) -> None:
+def write_batch_log(state_root: str, rows: DataFrame, stream_id: str, batch_id: int) -> None:
     """One job writes every output of a batch; replay overwrites the same partitions.
 
-    ``cluster_by_key`` sorts each file by key (the writer's partition-column
-    order first), so min/max statistics let point gets skip row groups.
+    Rows are rebalanced by kind, so that a small batch writes a file a kind and a
+    large one files of the advised size.
     """
-    g = head(rows.sparkSession, state_root, fresh=False)[0] if generation is None else generation
-    if cluster_by_key:
-        # write into the batch's own folder, partitioned by kind only: the
-        # constant partition values live in the path, so the writer's
-        # required order (kind) is a prefix of ours (kind, key) and it keeps it
-        folder = f"{state_root}/log/g={int(g)}/stream_id={stream_id}/batch_id={int(batch_id)}"
-        write_partitioned(rows.sortWithinPartitions("kind", "key"), folder, "kind")
-        return
-    out = rows.select("*", F.lit(int(g)).cast("long").alias("g"), F.lit(stream_id).alias("stream_id"),
-                      F.lit(int(batch_id)).cast("long").alias("batch_id"))
+    out = rows.hint("rebalance", "kind").select(
+        "*", F.lit(stream_id).alias("stream_id"), F.lit(int(batch_id)).cast("long").alias("batch_id"))
     write_partitioned(out, f"{state_root}/log", *LOG_PARTITIONS)
 
 
 def upsert_add(state_root: str, deltas: DataFrame, stream_id: str, batch_id: int) -> None:
-    """Keyed add-to-stored, idempotent by ``(stream_id, batch_id)``.
+    """Keyed add to the log, idempotent by ``(stream_id, batch_id)``.
 
     ``deltas`` has ``(measure, key, delta)``.
     """
@@ -142,28 +148,32 @@ def upsert_add(state_root: str, deltas: DataFrame, stream_id: str, batch_id: int
                     stream_id, batch_id)
 
 
-def read_log(spark: SparkSession, state_root: str, *kinds: str, history: bool = False,
-             fresh: bool = True) -> DataFrame:
-    """Batch-log rows of the given kinds (partition pruning on ``kind``).
-
-    The current generation only (its folder alone is listed), or with
-    ``history=True`` every generation.
-    """
-    base = f"{state_root}/log"
-    r = spark.read.schema(LOG_SCHEMA).option("basePath", base)
-    log = r.parquet(base if history else f"{base}/g={head(spark, state_root, fresh)[0]}")
+def read_log(spark: SparkSession, state_root: str, *kinds: str) -> DataFrame:
+    """Batch-log rows of the given kinds (partition pruning on ``kind``)."""
+    log = spark.read.schema(LOG_SCHEMA).parquet(f"{state_root}/log")
     return log.where(F.col("kind").isin(*kinds)) if kinds else log
 
 
 def read_deltas(spark: SparkSession, state_root: str) -> DataFrame:
     """``(measure, key, delta, stream_id, batch_id)`` of every batch."""
-    return read_log(spark, state_root, *MEASURES, history=True).select(
+    return read_log(spark, state_root, *MEASURES).select(
         F.col("kind").alias("measure"), "key", F.col("amt").alias("delta"), "stream_id", "batch_id")
 
 
+def read_state(spark: SparkSession, state_root: str, measure: str | None = None,
+               up_to_batch: int | None = None) -> DataFrame:
+    """``(measure, key, amt)``: the batch log added up, over all streams that write to it."""
+    deltas = read_deltas(spark, state_root)
+    if measure:
+        deltas = deltas.where(F.col("measure") == measure)
+    if up_to_batch is not None:
+        deltas = deltas.where(F.col("batch_id") <= int(up_to_batch))
+    return deltas.groupBy("measure", "key").agg(F.sum("delta").cast(DELTA_TYPE).alias("amt"))
+
+
 def read_metrics(spark: SparkSession, state_root: str) -> DataFrame:
     """Per batch: ``(stream_id, batch_id, n_rows, n_valid, n_bad, n_bad_time, amt, batch_time)``."""
-    log = read_log(spark, state_root, "metric", M_TOTAL, history=True)
+    log = read_log(spark, state_root, "metric", M_TOTAL)
     def pick(kind, key=None):
         cond = F.col("kind") == kind
         if key:
@@ -181,7 +191,7 @@ def read_metrics(spark: SparkSession, state_root: str) -> DataFrame:
 
 def read_ledger(spark: SparkSession, state_root: str) -> DataFrame:
     """Per batch: ``(topic, partition, next_offset, stream_id, batch_id)``."""
-    return read_log(spark, state_root, "offset", history=True).select(
+    return read_log(spark, state_root, "offset").select(
         "topic", "partition", F.col("amt").cast("long").alias("next_offset"), "stream_id", "batch_id")
 
 
@@ -190,114 +200,5 @@ def read_quarantine(spark: SparkSession, state_root: str) -> DataFrame:
 
     Lines with reason ``bad_time`` are missing from the trend alone.
     """
-    return read_log(spark, state_root, "bad", history=True).select(
+    return read_log(spark, state_root, "bad").select(
         F.col("line").alias("value"), "n_fields", F.col("key").alias("reason"), "stream_id", "batch_id")
-
-
-def base_high_water(spark: SparkSession, state_root: str, fresh: bool = True) -> int:
-    """Newest compaction's high-water batch id over all streams (``-1`` if none)."""
-    return head(spark, state_root, fresh)[1]
-
-
-def folded_batch(spark: SparkSession, state_root: str, stream_id: str, fresh: bool = True) -> int:
-    """Newest batch of ``stream_id`` that a base holds (``-1`` if none).
-
-    Batch ids start at 0 for every stream id, so each stream has its own mark,
-    written with the base that folds it.
-    """
-    g, hw = head(spark, state_root, fresh)
-    if hw < 0:
-        return -1
-    key = (spark.sparkContext.applicationId, state_root, g)
-    if fresh or key not in _FOLDED:
-        rows = _folded(spark, state_root, hw).collect()      # one row per stream id
-        _FOLDED[key] = {r["stream"]: int(r["mark"]) for r in rows}
-    return _FOLDED[key].get(stream_id, -1)
-
-
-def _folded(spark: SparkSession, state_root: str, hw: int) -> DataFrame:
-    marks = read_log(spark, state_root, FOLDED, fresh=False).where(F.col("batch_id") == hw)
-    return marks.groupBy(F.col("key").alias("stream")).agg(F.max("amt").cast("long").alias("mark"))
-
-
-def read_state(spark: SparkSession, state_root: str, measure: str | None = None,
-               up_to_batch: int | None = None, fresh: bool = True,
-               stream_id: str | None = None) -> DataFrame:
-    """Current ``(measure, key, amt)``: the generation's base plus its deltas.
-
-    A generation holds only batches that came after its base, whatever their
-    ids.  ``up_to_batch`` reads the state as of that batch (later deltas, of
-    ``stream_id`` if given, are ignored), so a replayed batch sees exactly what
-    it saw the first time; it must not be older than the newest compaction.
-    """
-    hw = head(spark, state_root, fresh)[1]
-    if up_to_batch is not None:
-        mark = hw if stream_id is None else folded_batch(spark, state_root, stream_id, fresh=False)
-        if up_to_batch < mark:
-            raise ValueError(f"batch {up_to_batch} is already folded into the base (hw={mark})")
-    kinds = (measure,) if measure else MEASURES
-    log = read_log(spark, state_root, *kinds, *[BASE_PREFIX + k for k in kinds], fresh=False)
-    is_base = F.col("kind").startswith(BASE_PREFIX)
-    keep = ~is_base | (F.col("batch_id") == hw)
-    if up_to_batch is not None:
-        in_time = F.col("batch_id") <= F.lit(int(up_to_batch))
-        if stream_id is not None:
-            in_time = in_time | (F.col("stream_id") != stream_id)
-        keep = keep & (is_base | in_time)
-    measure_col = F.regexp_replace("kind", "^" + BASE_PREFIX, "")
-    return (log.where(keep).groupBy(measure_col.alias("measure"), "key")
-            .agg(F.sum("amt").cast(DELTA_TYPE).alias("amt")))
-
-
-def state_merge(hist: DataFrame, delta: DataFrame, keys=("key",),
-                hist_amt: str = "amt", delta_amt: str = "delta") -> DataFrame:
-    """Stored state ⋈ batch result on the key, absent = 0 (full outer equi-join).
-
-    Both sides hold one row per key (they are aggregates), so a hot key is a
-    single row here and the join cannot skew.
-    """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    j = hist.select(*keys, F.col(hist_amt).alias("_h")).join(
-        delta.select(*keys, F.col(delta_amt).alias("_d")), keys, "full_outer")
-    return j.select(*keys, (F.coalesce("_h", F.lit(0)) + F.coalesce("_d", F.lit(0)))
-                    .cast(DELTA_TYPE).alias("amt"))
-
-
-def compact(spark: SparkSession, state_root: str, up_to_batch: int | None = None) -> int:
-    """Start a new generation whose base folds every batch written so far.
-
-    The new high-water mark is the newest batch in the current generation
-    (and at least ``up_to_batch``): a generation never leaves a batch behind.
-    Writes the base into ``g+1``, then appends ``(g+1, hw)`` to the head; a
-    crash before the head row leaves the old generation current (the
-    half-made one is rewritten next time).  Run it from the job that owns the
-    state root (``compact_every``), or while that job is stopped.
-    """
-    g, hw = head(spark, state_root)
-    log = read_log(spark, state_root, *MEASURES, fresh=False)
-    marks = log.groupBy(F.col("stream_id").alias("stream")).agg(F.max("batch_id").alias("mark"))
-    newest = marks.agg(F.max("mark")).first()[0]
-    if newest is None and (up_to_batch is None or up_to_batch <= hw):
-        return hw
-    new_hw = max(hw, -1 if newest is None else int(newest),
-                 -1 if up_to_batch is None else int(up_to_batch))
-    if hw >= 0:
-        marks = marks.unionByName(_folded(spark, state_root, hw))
-    marks = marks.groupBy("stream").agg(F.max("mark").alias("mark"))
-    merged = read_state(spark, state_root, fresh=False)
-    # clustered by key inside each file, so a point get on the base skips row
-    # groups by their min/max statistics
-    rows = log_rows(merged, F.concat(F.lit(BASE_PREFIX), F.col("measure")), "key", "amt")
-    rows = rows.unionByName(log_rows(marks, FOLDED, "stream", "mark"))
-    write_batch_log(state_root, rows, BASE_STREAM, new_hw, generation=g + 1, cluster_by_key=True)
-    _set_head(spark, state_root, g + 1, new_hw)
-    return new_hw
-
-
-def state_point_get(state: DataFrame, key_col: str, key_value) -> DataFrame:
-    """One row by key; on a Parquet table the predicate reaches the scan."""
-    return state.where(F.col(key_col) == F.lit(key_value))
-
-
-def state_scan(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -17,9 +17,8 @@ from salesboard.plans.oracle import q
 from salesboard.schema import M_SHOP, M_TOTAL, M_TREND
 from salesboard.sources import fixtures as FX
 from salesboard.sources import topic as T
-from salesboard.streaming import native as N
-from salesboard.streaming.job import read_serving
 from salesboard.streaming.live import live_run
+from salesboard.streaming.totals import latest_snapshot, read_snapshots, served_rows
 
 
 def _live(spark, sf):
@@ -27,7 +26,7 @@ def _live(spark, sf):
 
 
 def _state(spark, sf, measure=None):
-    return ST.read_state(spark, _live(spark, sf).cfg.state_root, measure)
+    return ST.read_store(spark, _live(spark, sf).serving.checkpoint, measure)
 
 
 # --- 2.1 sources, sinks, state access ------------------------------------------
@@ -75,8 +74,8 @@ def upsert_add(spark, sf):
 @query("state_point_get", q("""
 SELECT shop_id, CAST(amt AS DOUBLE) AS amt FROM shop_amt WHERE shop_id = '7'"""))
 def state_point_get(spark, sf):
-    shops = _state(spark, sf, M_SHOP).select(F.col("key").alias("shop_id"), "amt")
-    return ST.state_point_get(shops, "shop_id", "7").select("shop_id", dbl("amt"))
+    published = ST.state_scan(spark, _live(spark, sf).paths["published"]).where(F.col("measure") == M_SHOP)
+    return ST.state_point_get(published, "key", "7").select(F.col("key").alias("shop_id"), dbl("amt"))
 
 
 @query("state_scan", q("""
@@ -110,8 +109,7 @@ def skip_empty_batch(spark, sf):
 @query("serve_total", q("""
 SELECT CAST(COALESCE(SUM(price), 0) AS DOUBLE) AS total_amt FROM ticks_valid"""))
 def serve_total(spark, sf):
-    total = _state(spark, sf, M_TOTAL).select(F.col("amt").alias("total_amt"))
-    return S.serve_total(total)
+    return S.serve_total(latest_snapshot(spark, _live(spark, sf).serving))
 
 
 _RANKING_SQL = """
@@ -123,8 +121,9 @@ FROM (SELECT MIN(shop_id) AS shop_id, CAST(amt AS DECIMAL(28,2)) AS amt FROM sho
 
 @query("serve_ranking", q(_RANKING_SQL))
 def serve_ranking(spark, sf):
-    shops = _state(spark, sf, M_SHOP).select(F.col("key").alias("shop_id"), "amt")
-    return S.serve_ranking(shops)
+    # from the ordered index, which holds the best shops as of the newest batch
+    best = served_rows(spark, _live(spark, sf).serving, M_SHOP).select(F.col("key").alias("shop_id"), "amt")
+    return S.serve_ranking(best)
 
 
 @query("serve_trend_point", q("""
@@ -132,8 +131,7 @@ SELECT '{"x_time":"' || strftime(bucket, '%Y-%m-%d %H:%M:%S') || '","time_amtSum
        || CAST(CAST(amt AS DOUBLE) AS VARCHAR) || '}' AS trend_point
 FROM trend ORDER BY bucket DESC LIMIT 1"""))
 def serve_trend_point(spark, sf):
-    trend = _state(spark, sf, M_TREND).select(F.to_timestamp("key").alias("bucket"), "amt")
-    return S.latest_trend_point(trend)
+    return latest_snapshot(spark, _live(spark, sf).serving).select("trend_point")
 
 
 @query("serve_trend_point_lagged", q("""
@@ -177,15 +175,13 @@ def running_total(spark, sf):
 @query("running_shop_amt", q("""
 SELECT shop_id, CAST(amt AS DOUBLE) AS amt FROM shop_amt"""))
 def running_shop_amt(spark, sf):
-    t = spark.read.parquet(_live(spark, sf).paths["native_shop"])
-    return N.latest_by_key(t, "shop_id", "amt").select("shop_id", dbl("amt"))
+    return _state(spark, sf, M_SHOP).select(F.col("key").alias("shop_id"), dbl("amt"))
 
 
 @query("running_trend", q("""
 SELECT bucket, CAST(amt AS DOUBLE) AS amt FROM trend"""))
 def running_trend(spark, sf):
-    t = spark.read.parquet(_live(spark, sf).paths["native_trend"])
-    return N.latest_by_key(t, "bucket", "amt").select(ntz("bucket"), dbl("amt"))
+    return _state(spark, sf, M_TREND).select(F.to_timestamp("key").cast("timestamp_ntz").alias("bucket"), dbl("amt"))
 
 
 # --- 2.8 streaming -----------------------------------------------------------------
@@ -201,15 +197,14 @@ def micro_batch(spark, sf):
 SELECT measure, COUNT(*) AS n_keys, CAST(SUM(amt) AS DOUBLE) AS amt FROM (""" + _STATE_SQL + """
 ) GROUP BY measure"""))
 def fan_out(spark, sf):
-    s = _state(spark, sf)
+    s = ST.read_state(spark, _live(spark, sf).cfg.state_root)     # the batch log added up
     return s.groupBy("measure").agg(F.count("*").alias("n_keys"), F.sum("amt").cast("double").alias("amt"))
 
 
 @query("stateful_totals", q("""
 SELECT CAST(SUM(price) AS DOUBLE) AS total_amt FROM ticks_valid"""))
 def stateful_totals(spark, sf):
-    t = spark.read.parquet(_live(spark, sf).paths["native_total"])
-    return t.agg(F.max_by("total_amt", "batch_id").cast("double").alias("total_amt"))
+    return S.serve_total(_state(spark, sf, M_TOTAL), "amt")
 
 
 @query("arrival_bucket", q("""
@@ -227,7 +222,7 @@ def arrival_bucket(spark, sf):
 SELECT CAST(SUM(price) AS DOUBLE) AS total_amt, COUNT(DISTINCT chunk) AS n_batches
 FROM chunks WHERE status IS NULL"""))
 def replay_commit(spark, sf):
-    lr = _live(spark, sf)   # batch 1 ran again after it had been folded into a base
+    lr = _live(spark, sf)   # the last batch with rows ran twice
     d = ST.read_deltas(spark, lr.cfg.state_root)
     return d.agg(
         F.sum(F.when(F.col("measure") == M_TOTAL, F.col("delta"))).cast("double").alias("total_amt"),
@@ -239,7 +234,7 @@ SELECT chunk AS batch_id,
        CAST(SUM(SUM(price)) OVER (ORDER BY chunk) AS DOUBLE) AS total_amt
 FROM chunks WHERE status IS NULL GROUP BY chunk"""))
 def live_poll(spark, sf):
-    s = read_serving(spark, _live(spark, sf).cfg)
+    s = read_snapshots(spark, _live(spark, sf).serving)
     return s.select("batch_id", "total_amt")
 
 

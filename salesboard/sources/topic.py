@@ -36,13 +36,18 @@ def read_topic(spark: SparkSession, bootstrap_servers: str, topics: str,
         "topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value"))
 
 
+#: Files that one micro-batch takes at most, unless the caller says otherwise.
+MAX_FILES_PER_TRIGGER = 1000
+
+
 def read_envelope_files(spark: SparkSession, path: str,
-                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """File stream of Parquet envelopes ``(topic, partition, offset, timestamp, value)``."""
-    r = spark.readStream.schema(ENVELOPE)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(path)
+                        max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """File stream of Parquet envelopes ``(topic, partition, offset, timestamp, value)``.
+
+    Admission is always bounded: a backlog of any size is taken, oldest files
+    first, in batches of ``max_files_per_trigger`` files.
+    """
+    return spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(path)
 
 
 def offset_ledger(batch: DataFrame) -> DataFrame:

@@ -57,9 +57,9 @@ class Feeder:
     """Stage ``log`` in ``n_chunks`` ordinal ranges; publish them one by one."""
 
     def __init__(self, spark: SparkSession, log: DataFrame, staging_dir: str, source_dir: str,
-                 n_chunks: int, ordinal: str = "ordinal", keep=None):
+                 n_chunks: int, ordinal: str = "ordinal", keep=None, files: int = 2):
         self.spark, self.staging, self.source = spark, staging_dir, source_dir
-        self.n_chunks = n_chunks
+        self.n_chunks, self.files = n_chunks, files
         self.columns = list(keep or [c for c in log.columns if c != ordinal])
         b = log.agg(F.min(ordinal).alias("lo"), F.max(ordinal).alias("hi")).first()
         self.lo, self.hi = int(b["lo"]), int(b["hi"])
@@ -71,7 +71,8 @@ class Feeder:
         return self.spark.read.parquet(self.staging).where(F.col("chunk") == k).select(*self.columns)
 
     def publish(self, k: int) -> None:
-        self.chunk(k).write.mode("append").parquet(self.source)
+        """One arrival: ``files`` files (a reader that takes as many a trigger takes one arrival a batch)."""
+        self.chunk(k).repartition(self.files).write.mode("append").parquet(self.source)
 
     def publish_empty(self) -> None:
         """An empty file: the stream sees a new offset but no rows."""

@@ -1,22 +1,18 @@
-"""The live job: one stream, one parse, three measures, replay-safe outputs.
+"""The stateless job: one stream, one parse, a replay-safe log of every batch.
 
 ``run`` starts ``readStream -> foreachBatch(process_batch)``.  Per micro-batch:
 
 1. the raw rows are parsed once and the narrow slim frame is persisted
-   (fan-out: the measures, metrics, quarantine and ledger all read it);
-   an empty batch writes nothing (no state, no offsets, no metrics);
-2. ONE job writes the three measures' deltas, the batch metrics, the
+   (the aggregation and the quarantine both read it); an empty batch writes
+   nothing (no offsets, no metrics);
+2. ONE job writes what the batch adds to the three measures, its metrics, the
    quarantined lines and the offset ledger as partitions
    ``(stream_id, batch_id, kind)`` of the batch log, with dynamic partition
    overwrite -- a batch replayed after a crash overwrites itself instead of
-   adding twice (the stream checkpoint is the real recovery point);
-3. every ``compact_every`` batches the log is folded into a new generation;
-4. the serving snapshot (total, ranking JSON, trend point) is written from
-   the state as of this batch into the current generation's serving folder,
-   so readers never see a half-written measure.
-
-Amounts are decimals end to end; the driver sees only the batch's observed size,
-the head of the log and one mark per stream id.
+   adding twice (the stream checkpoint is the real recovery point).
+
+The running totals and what the wallboard polls come from ``streaming.totals``.
+Amounts are decimals end to end; the driver sees only the batch's observed size.
 """
 
 from __future__ import annotations
@@ -27,14 +23,11 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from salesboard.operators.measures import bucket_time
 from salesboard.operators.parse import parse_records
-from salesboard.operators.serving import serving_snapshot
-from salesboard.operators.state import (compact, folded_batch, head, log_columns, read_state,
-                                        write_batch_log)
+from salesboard.operators.state import log_columns, write_batch_log
 from salesboard.sources.topic import EARLIEST, read_topic
 from salesboard.schema import DELTA_TYPE, M_SHOP, M_TOTAL, M_TREND, TIME_FORMAT, TOTAL_KEY
 
@@ -46,43 +39,12 @@ class JobConfig:
     """Where a job writes and how it buckets time.
 
     ``stream_id`` must be unique per checkpoint: batch ids restart at 0 with a
-    new checkpoint, and the delta log is keyed by both.
+    new checkpoint, and the batch log is keyed by both.
     """
 
     state_root: str
     stream_id: str = "main"
     time_col: str = "event"          # event | ingest | processing
-    serve: bool = True               # refresh the serving snapshot per batch
-    clock: str = "newest"            # trend point served: newest | wall (now - lag_seconds)
-    lag_seconds: int = 5
-    compact_every: int | None = 100  # fold the log into a new base every n batches
-
-    @property
-    def serving(self) -> str:
-        return f"{self.state_root}/serving"
-
-
-SERVING_SCHEMA = ("total_amt double, ranking string, trend_point string, "
-                  "g long, stream_id string, batch_id long")
-
-
-def read_serving(spark, cfg: JobConfig) -> DataFrame:
-    """Every serving snapshot, one per batch, all generations (``live_poll`` history)."""
-    return spark.read.schema(SERVING_SCHEMA).parquet(cfg.serving)
-
-
-def latest_snapshot(spark, cfg: JobConfig) -> DataFrame:
-    """The newest snapshot: what a wallboard polls.
-
-    Only the current generation's folder is listed (the job compacts before
-    it serves, so the newest snapshot is always there).
-    """
-    g = head(spark, cfg.state_root)[0]
-    snaps = (spark.read.schema(SERVING_SCHEMA).option("basePath", cfg.serving)
-             .parquet(f"{cfg.serving}/g={g}"))
-    newest = snaps.agg(F.max_by(F.struct("total_amt", "ranking", "trend_point", "batch_id"),
-                                "batch_id").alias("s"))
-    return newest.select("s.*")
 
 
 def slim_batch(raw: DataFrame, time_col: str = "event") -> DataFrame:
@@ -99,58 +61,54 @@ def _slim_columns(time_col: str) -> tuple:
             F.when(F.col("status").isNotNull() | event_time.isNull(), F.col("value")).alias("value"))
 
 
-def _entry(kind, key, amt, off=None, topic=None, partition=None):
-    return F.struct(
-        F.lit(kind).alias("kind"), key.cast("string").alias("key"),
-        amt.cast(DELTA_TYPE).alias("amt"),
-        (off if off is not None else F.lit(None)).cast("long").alias("off"),
-        (topic if topic is not None else F.lit(None)).cast("string").alias("topic"),
-        (partition if partition is not None else F.lit(None)).cast("int").alias("partition"))
+#: Grouping sets of a batch and their grouping ids over (shop_id, second, topic, partition).
+BATCH_KEYS = ("shop_id", "second", "topic", "partition")
+BATCH_SETS = {0b1111: (), 0b0111: ("shop_id",), 0b1011: ("second",), 0b1100: ("topic", "partition")}
+ALL_ROWS, BY_SHOP, BY_SECOND, BY_PARTITION = BATCH_SETS
 
 
 def batch_log(slim: DataFrame) -> DataFrame:
     """Everything a batch writes, as batch-log rows: ONE aggregation + the bad lines.
 
-    Each record emits tagged entries -- row counts, its offset, the total (0
-    for a bad row, so an all-bad batch still has a total), its shop and its
-    second when valid -- and a single ``groupBy(kind, key)`` with partial
-    aggregation produces all measures, metrics and the offset ledger with one
-    shuffle.  The busiest key (the total) is pre-combined in every map task.
+    One pass over four grouping sets -- all rows, shop, second, topic partition --
+    with map-side partial aggregation and one shuffle.  The keyless figures (row
+    counts, the total, the batch clock) are one group, unfolded into rows after
+    the aggregation; the busiest key is pre-combined in every map task.
     """
     c = _batch_log_columns()
-    tagged = slim.select(c["explode"]).where(c["not_null"]).select("e.*")
-    agg = tagged.groupBy(*c["group"]).agg(*c["aggs"])
-    return agg.select(*c["folded"]).unionByName(slim.where(c["bad"]).select(*c["bad_rows"]))
+    grouped = slim.select(*c["inputs"]).groupingSets([list(s) for s in BATCH_SETS.values()], *BATCH_KEYS).agg(*c["aggs"])
+    rows = grouped.select(F.explode(c["rows"]).alias("e")).select("e.*")
+    return rows.unionByName(slim.where(c["bad"]).select(*c["bad_rows"]))
 
 
 @lru_cache(maxsize=1)
 def _batch_log_columns() -> dict:
     ok = F.col("status").isNull()
     timeless = ok & F.col("bucket_time").isNull()
-    zero, one = F.lit(0), F.lit(1)
     second = F.date_format(F.date_trunc("second", F.col("bucket_time")), TIME_FORMAT)
-    entries = F.array(
-        _entry("metric", F.lit("n_rows"), one),
-        _entry("metric", F.lit("n_valid"), F.when(ok, one).otherwise(zero)),
+
+    def row(kind, **values):
+        return F.struct(*log_columns(kind, **values))
+
+    total = F.coalesce("amt", F.lit(0))                  # an all-bad batch still has a total
+    whole = F.array(
+        row("metric", key=F.lit("n_rows"), amt="n_rows"),
+        row("metric", key=F.lit("n_valid"), amt="n_valid"),
         # valid records without a time: in the total and their shop, not in the trend
-        _entry("metric", F.lit("n_bad_time"), F.when(timeless, one).otherwise(zero)),
-        # the batch clock (one value per query), kept as a max
-        _entry("metric", F.lit("batch_time_ms"), zero, F.unix_millis(F.current_timestamp())),
-        _entry(M_TOTAL, F.lit(TOTAL_KEY), F.when(ok, F.col("price")).otherwise(zero)),
-        _entry("offset", F.lit(None), F.lit(None), F.col("offset"), F.col("topic"), F.col("partition")),
-        F.when(ok & (F.col("shop_id") != ""), _entry(M_SHOP, F.col("shop_id"), F.col("price"))),
-        F.when(ok & F.col("bucket_time").isNotNull(), _entry(M_TREND, second, F.col("price"))),
-    )
+        row("metric", key=F.lit("n_bad_time"), amt="n_bad_time"),
+        # the batch clock (one value per query)
+        row("metric", key=F.lit("batch_time_ms"), amt=F.unix_millis(F.current_timestamp())),
+        row(M_TOTAL, key=F.lit(TOTAL_KEY), amt=total))
+    which = F.col("grouping")
     return {
-        "explode": F.explode(entries).alias("e"),
-        "not_null": F.col("e").isNotNull(),
-        "group": ("kind", "key", "topic", "partition"),
-        "aggs": (F.sum("amt").alias("amt"), F.max("off").alias("off")),
-        "folded": log_columns(F.col("kind"), "key",
-                              F.when(F.col("kind") == "offset", F.col("off") + 1)
-                              .when(F.col("key") == "batch_time_ms", F.col("off"))
-                              .otherwise(F.col("amt")),
-                              topic="topic", partition="partition"),
+        "inputs": (F.when(ok & (F.col("shop_id") != ""), F.col("shop_id")).alias("shop_id"), F.when(ok, second).alias("second"), F.col("topic"), F.col("partition"),
+                   F.when(ok, F.col("price")).alias("price"), F.col("offset"), ok.alias("ok"), timeless.alias("timeless")),
+        "aggs": (F.grouping_id().alias("grouping"), F.sum("price").cast(DELTA_TYPE).alias("amt"), F.max("offset").alias("off"), F.count("*").alias("n_rows"),
+                 F.count_if("ok").alias("n_valid"), F.count_if("timeless").alias("n_bad_time")),
+        "rows": (F.when(which == ALL_ROWS, whole)
+                 .when((which == BY_SHOP) & F.col("shop_id").isNotNull(), F.array(row(M_SHOP, key="shop_id", amt="amt")))
+                 .when((which == BY_SECOND) & F.col("second").isNotNull(), F.array(row(M_TREND, key="second", amt="amt")))
+                 .when(which == BY_PARTITION, F.array(row("offset", amt=F.col("off") + 1, topic="topic", partition="partition")))),
         "bad": ~ok | timeless,
         "bad_rows": log_columns("bad", key=F.coalesce("status", F.lit("bad_time")), line="value", n_fields="n_fields"),
     }
@@ -159,53 +117,21 @@ def _batch_log_columns() -> dict:
 def process_batch(raw: DataFrame, batch_id: int, cfg: JobConfig) -> int:
     """Body of ``foreachBatch``; also callable on a plain batch DataFrame.
 
-    Returns the number of records.  An empty batch writes nothing (the
-    aggregation of no rows has no rows) and refreshes no snapshot; its size
-    is observed during the write job itself, so no extra job asks.
+    Returns the number of records, observed during the write job.  An empty batch
+    writes nothing.
     """
-    spark = raw.sparkSession
-    if batch_id <= folded_batch(spark, cfg.state_root, cfg.stream_id, fresh=False):
-        # replay of a batch of this stream that a base already holds: nothing to add, but a
-        # crash after the compaction may have left the new generation without a snapshot
-        if cfg.serve and not _has_snapshot(spark, cfg):
-            _serve(spark, cfg, batch_id, read_state(spark, cfg.state_root, fresh=False))
-        return 0
     slim = slim_batch(raw, cfg.time_col).persist()
-    seen = Observation(f"batch_{cfg.stream_id}_{batch_id}_{uuid.uuid4().hex[:8]}")
     try:
+        if slim.isEmpty():
+            return 0
+        seen = Observation(f"batch_{cfg.stream_id}_{batch_id}_{uuid.uuid4().hex[:8]}")
         out = batch_log(slim).observe(
             seen, F.coalesce(F.sum(F.when((F.col("kind") == "metric") & (F.col("key") == "n_rows"),
                                           F.col("amt"))), F.lit(0)).cast("long").alias("n_rows"))
         write_batch_log(cfg.state_root, out, cfg.stream_id, batch_id)
+        return int(seen.get["n_rows"])
     finally:
         slim.unpersist()
-    n_rows = int(seen.get.get("n_rows", 0) or 0)
-    if n_rows == 0:
-        return 0
-    if cfg.compact_every and (batch_id + 1) % cfg.compact_every == 0:
-        # batches run one after another, so this is between batches; state
-        # reads then cover one base plus at most ``compact_every`` batches
-        compact(spark, cfg.state_root, batch_id)
-    if cfg.serve:
-        _serve(spark, cfg, batch_id, read_state(spark, cfg.state_root, up_to_batch=batch_id,
-                                                fresh=False, stream_id=cfg.stream_id))
-    return n_rows
-
-
-def _serve(spark, cfg: JobConfig, batch_id: int, state: DataFrame) -> None:
-    """Write the batch's snapshot into the current generation (replay-safe: the batch's own folder)."""
-    g = head(spark, cfg.state_root, fresh=False)[0]
-    now = F.current_timestamp() if cfg.clock == "wall" else None
-    snap = serving_snapshot(state, lag_seconds=cfg.lag_seconds, now=now)
-    snap.write.mode("overwrite").parquet(
-        f"{cfg.serving}/g={g}/stream_id={cfg.stream_id}/batch_id={int(batch_id)}")
-
-
-def _has_snapshot(spark, cfg: JobConfig) -> bool:
-    try:
-        return not latest_snapshot(spark, cfg).isEmpty()
-    except AnalysisException:        # the generation has no folder yet
-        return False
 
 
 def run(raw_stream: DataFrame, cfg: JobConfig, checkpoint: str,

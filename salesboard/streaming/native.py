@@ -1,11 +1,8 @@
-"""The measures as native streaming aggregations (state store + checkpoint).
+"""Streams whose state the engine closes or hands over by itself.
 
-These agree with the delta-log job on in-order data.  Differences to know:
-
-* ``native_trend`` needs a watermark (seconds are unbounded state); rows later
-  than the watermark are dropped here but still counted by the delta log;
-* update-mode outputs are upserts: ``latest_by_key`` reads the newest value
-  per key from the per-batch output partitions (idempotent on replay).
+``native_trend`` needs a watermark (a second is closed and appended once, then
+forgotten); rows later than the watermark are dropped here but still counted by
+the totals query and the batch log.
 """
 
 from __future__ import annotations
@@ -27,15 +24,6 @@ def valid_stream(raw: DataFrame) -> DataFrame:
     return valid
 
 
-def native_total(valid: DataFrame) -> DataFrame:
-    return valid.agg(F.sum("price").cast(DELTA_TYPE).alias("total_amt"))
-
-
-def native_shop_amt(valid: DataFrame) -> DataFrame:
-    return (valid.where(F.col("shop_id") != "").groupBy("shop_id")
-            .agg(F.sum("price").cast(DELTA_TYPE).alias("amt")))
-
-
 def native_trend(valid: DataFrame, step: str = "1 second",
                  watermark: str = DEFAULT_WATERMARK) -> DataFrame:
     w = valid.where(F.col("time").isNotNull()).withWatermark("time", watermark)
@@ -61,10 +49,3 @@ def append_sink(df: DataFrame, path: str, checkpoint: str,
     return (df.writeStream.outputMode("append").format("parquet")
             .option("path", path).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
-
-
-def latest_by_key(table: DataFrame, keys, value_cols) -> DataFrame:
-    """Newest value per key across update-mode batches."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    vals = [value_cols] if isinstance(value_cols, str) else list(value_cols)
-    return table.groupBy(*keys).agg(*[F.max_by(v, "batch_id").alias(v) for v in vals])

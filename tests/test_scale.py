@@ -49,11 +49,12 @@ def test_batch_log_is_one_partial_aggregation(spark):
     plan = _plan(batch_log(slim))
     assert plan.count("Exchange hashpartitioning") == 1   # one shuffle for every per-batch output
     assert "partial_sum" in plan and "partial_max" in plan
+    assert plan.count("Expand") == 1                      # four grouping sets a record, and no array of eight
 
 
 def _state_after_cuts(spark, n_cuts):
     root = fresh_dir(spark, f"t-cuts{n_cuts}")
-    cfg = JobConfig(state_root=root, stream_id="c", serve=False)
+    cfg = JobConfig(state_root=root, stream_id="c")
     log = raw_log(spark, SF_SMALL, "ticks")
     cut = F.col("ordinal") % n_cuts                       # rows interleaved across batches
     for b in range(n_cuts):

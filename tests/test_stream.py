@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from salesboard.operators import measures as M
 from salesboard.operators import state as ST
 from salesboard.plans.catalog import ticks, ticks_valid
+from salesboard.operators.serving import serve_ranking
 from salesboard.streaming.live import live_run
+from salesboard.streaming.totals import latest_snapshot, read_snapshots
 
 from paths import SF_SMALL
 
@@ -31,10 +33,11 @@ def test_stream_equals_batch(spark, live):
     assert {r.key: r.amt for r in state if r.measure == "total"} == {"*": total}
     assert {r.key: r.amt for r in state if r.measure == "shop"} == shops
     assert {r.key: r.amt for r in state if r.measure == "trend"} == trend
-    native = spark.read.parquet(live.paths["native_shop"])
-    got = _as_dict(native.groupBy("shop_id").agg(F.max_by("amt", "batch_id").alias("amt")).collect(),
-                   "shop_id", "amt")
-    assert got == shops
+    store = ST.read_store(spark, live.serving.checkpoint).collect()
+    assert {(r.measure, r.key): r.amt for r in store} == {(r.measure, r.key): r.amt for r in state}
+    assert len(store) == len(state)
+    published = ST.state_scan(spark, live.paths["published"]).collect()
+    assert {tuple(r) for r in published} == {tuple(r) for r in store}
 
 
 def test_replay_did_not_double_count(spark, live):
@@ -60,9 +63,11 @@ def test_properties(spark, live):
 
 
 def test_live_poll_is_cumulative(spark, live):
-    snaps = spark.read.parquet(live.cfg.serving).orderBy("batch_id").collect()
+    snaps = read_snapshots(spark, live.serving).orderBy("batch_id").collect()
     metrics = ST.read_metrics(spark, live.cfg.state_root).orderBy("batch_id").collect()
     run = Decimal(0)
+    assert [s.batch_id for s in snaps] == [m.batch_id for m in metrics] == [0, 1, 2, 3]
+    assert not any(s.refilled for s in snaps)
     for s, m in zip(snaps, metrics):
         run += m.amt
         assert abs(s.total_amt - float(run)) < 1e-6
@@ -84,7 +89,7 @@ def test_late_rows_leave_native_trend_not_delta_log(spark):
     root = fresh_dir(spark, "t-late")
     feeder = Feeder(spark, ticks(spark, SF_SMALL), f"{root}/staging", f"{root}/source", 2,
                     keep=ENVELOPE_COLUMNS)
-    cfg = JobConfig(state_root=f"{root}/state", stream_id="late", serve=False)
+    cfg = JobConfig(state_root=f"{root}/state", stream_id="late")
     for k in (1, 0):
         feeder.publish(k)
         raw = read_envelope_files(spark, feeder.source)
@@ -98,23 +103,22 @@ def test_late_rows_leave_native_trend_not_delta_log(spark):
     assert 0 < native < len(batch)
 
 
-def test_auto_compaction_keeps_state(spark):
+def test_replay_of_any_batch_keeps_state(spark):
     from salesboard.session import fresh_dir
     from salesboard.sources.logs import raw_log
     from salesboard.streaming.job import JobConfig, process_batch
 
-    root = fresh_dir(spark, "t-compact")
-    cfg = JobConfig(state_root=root, stream_id="c", compact_every=2)
+    root = fresh_dir(spark, "t-replay")
+    cfg = JobConfig(state_root=root, stream_id="c")
     log = raw_log(spark, SF_SMALL, "ticks")
     env = ["topic", "partition", "offset", "timestamp", "value"]
-    for b in range(5):
-        process_batch(log.where(F.col("ordinal") % 5 == b).select(*env), b, cfg)
-    assert ST.base_high_water(spark, root) == 3
+    for b in range(3):
+        process_batch(log.where(F.col("ordinal") % 3 == b).select(*env), b, cfg)
     valid = ticks_valid(spark, SF_SMALL)
     got = {r.key: r.amt for r in ST.read_state(spark, root, "shop").collect()}
     assert got == _as_dict(M.batch_shop_amt(valid).collect(), "shop_id", "amt")
-    # a replay of a compacted batch changes nothing
-    process_batch(log.where(F.col("ordinal") % 5 == 1).select(*env), 1, cfg)
+    # a replay of an old batch changes nothing
+    process_batch(log.where(F.col("ordinal") % 3 == 1).select(*env), 1, cfg)
     assert {r.key: r.amt for r in ST.read_state(spark, root, "shop").collect()} == got
 
 
@@ -124,7 +128,7 @@ def test_processing_time_buckets_one_second_per_batch(spark):
     from salesboard.streaming.job import JobConfig, process_batch
 
     root = fresh_dir(spark, "t-proc")
-    cfg = JobConfig(state_root=root, stream_id="p", time_col="processing", serve=False)
+    cfg = JobConfig(state_root=root, stream_id="p", time_col="processing")
     env = ["topic", "partition", "offset", "timestamp", "value"]
     process_batch(raw_log(spark, SF_SMALL, "ticks").select(*env), 0, cfg)
     trend = ST.read_state(spark, root, "trend").collect()
@@ -132,23 +136,13 @@ def test_processing_time_buckets_one_second_per_batch(spark):
     assert len(trend) == 1 and trend[0].amt == total
 
 
-def test_latest_snapshot_after_compaction(spark):
+def test_latest_snapshot(spark, live):
     import json
-    from salesboard.session import fresh_dir
-    from salesboard.sources.logs import raw_log
-    from salesboard.streaming.job import JobConfig, latest_snapshot, process_batch, read_serving
-
-    root = fresh_dir(spark, "t-snap")
-    cfg = JobConfig(state_root=f"{root}/state", stream_id="q", compact_every=2)
-    log = raw_log(spark, SF_SMALL, "ticks")
-    env = ["topic", "partition", "offset", "timestamp", "value"]
-    for b in range(4):
-        process_batch(log.where(F.col("ordinal") % 4 == b).select(*env), b, cfg)
-    snap = latest_snapshot(spark, cfg).first()
+    snap = latest_snapshot(spark, live.serving).first()
     total = float(M.batch_total(ticks_valid(spark, SF_SMALL)).first()[0])
-    assert snap.batch_id == 3 and abs(snap.total_amt - total) < 1e-6
-    assert len(json.loads(snap.ranking)) == 5
-    assert read_serving(spark, cfg).count() == 4
+    assert snap.batch_id == 3 and abs(snap.total_amt - total) < 1e-6      # batch 4 was empty
+    shops = M.batch_shop_amt(ticks_valid(spark, SF_SMALL))
+    assert json.loads(snap.ranking) == json.loads(serve_ranking(shops).first()[0]) and len(json.loads(snap.ranking)) == 5
 
 
 def test_a_bad_time_is_quarantined_and_counted(spark):
@@ -156,7 +150,7 @@ def test_a_bad_time_is_quarantined_and_counted(spark):
     from salesboard.streaming.job import JobConfig, process_batch
 
     root = fresh_dir(spark, "t-bad-time")
-    cfg = JobConfig(state_root=root, stream_id="x", serve=False)
+    cfg = JobConfig(state_root=root, stream_id="x")
     def line(time):
         return "^".join([time, "u", "7", "n", "k", "p1", "19.90", "19.90", "1", "R1 C4", "5", "0", "Shop 5"])
     rows = [("sales", 0, 0, None, line("2020-13-01 00:00:00")), ("sales", 0, 1, None, line("2020-12-01 00:00:00"))]
