@@ -31,7 +31,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    from salesboard.session import fresh_dir, get_session
+    from salesboard.session import conf_override, fresh_dir, get_session
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
                         app_name="salesboard-bench")
 
@@ -88,7 +88,7 @@ def main() -> None:
     results["parse_measures_ticks"] = timed(lambda: three_measures(parse_log("ticks")))
     results["parse_measures_sales"] = timed(lambda: three_measures(parse_log("sales")))
 
-    # stream: 4 arrivals into a watched folder, one taken per micro-batch
+    # stream: 4 arrivals into a watched folder
     root = fresh_dir(spark, "bench")
     feeder = Feeder(spark, ticks(spark, sf_dir), f"{root}/staging", f"{root}/source", 4,
                     keep=ENVELOPE_COLUMNS)
@@ -100,8 +100,10 @@ def main() -> None:
     n_rows, batch_ms = 0, []
     t0 = time.perf_counter()
     feeder.publish(0)                      # the source folder exists once data lands
-    raw, trigger = read_envelope_files(spark, feeder.source, feeder.files), {"processingTime": "1 second"}
-    running = [run(raw, cfg, f"{root}/ck", trigger=trigger), run_totals(raw, serving, trigger=trigger)]
+    raw, trigger = read_envelope_files(spark, feeder.source), {"processingTime": "1 second"}
+    # the state's partitions are fixed at the first start: one a core
+    with conf_override(spark, {"spark.sql.shuffle.partitions": str(cpus)}):
+        running = [run(raw, cfg, f"{root}/ck", trigger=trigger), run_totals(raw, serving, trigger=trigger)]
     for k in range(1, feeder.n_chunks):
         feeder.publish(k)
     for qy in running:

@@ -70,16 +70,21 @@ def running_measures(raw: DataFrame, time_col: str = "event") -> DataFrame:
 
 def run_totals(raw_stream: DataFrame, cfg: ServingConfig, trigger: dict | None = None) -> StreamingQuery:
     """Start the totals query; it serves after every batch."""
+    spark = raw_stream.sparkSession
     return (running_measures(raw_stream, cfg.time_col).writeStream.outputMode("update")
             .foreachBatch(lambda df, b: serve_batch(
-                measure_rows(df, F.col("shop_id"), F.col("second"), F.col("grouping"), F.col("amt")), b, cfg))
+                measure_rows(df, F.col("shop_id"), F.col("second"), F.col("grouping"), F.col("amt")), b, cfg, spark))
             .option("checkpointLocation", cfg.checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def serve_batch(changed: DataFrame, batch_id: int, cfg: ServingConfig) -> None:
-    """Move the served table on by the new amounts ``(measure, key, amt)`` of the touched keys."""
-    spark = changed.sparkSession
+def serve_batch(changed: DataFrame, batch_id: int, cfg: ServingConfig, spark: SparkSession | None = None) -> None:
+    """Move the served table on by the new amounts ``(measure, key, amt)`` of the touched keys.
+
+    ``spark`` is the session to plan in; a stateful query's own has no adaptive execution,
+    which would leave a file for each of the state's partitions in a slot.
+    """
+    spark = spark or changed.sparkSession
     changed = changed.persist()                       # the state is read and written once
     try:
         before, was = _slot_before(spark, cfg, batch_id)
