@@ -87,6 +87,7 @@ def state_scan(spark, sf):
 
 _METRICS_SQL = """
 SELECT chunk AS batch_id, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE status IS NULL) AS n_valid,
+       COUNT(*) FILTER (WHERE status IS NULL AND try_strptime("time", '%Y-%m-%d %H:%M:%S') IS NULL) AS n_bad_time,
        CAST(COALESCE(SUM(price) FILTER (WHERE status IS NULL), 0) AS DOUBLE) AS amt
 FROM chunks GROUP BY chunk"""
 
@@ -94,7 +95,7 @@ FROM chunks GROUP BY chunk"""
 @query("batch_metric", q(_METRICS_SQL))
 def batch_metric(spark, sf):
     m = ST.read_metrics(spark, _live(spark, sf).cfg.state_root)
-    return m.select("batch_id", "n_rows", "n_valid", dbl("amt"))
+    return m.select("batch_id", "n_rows", "n_valid", "n_bad_time", dbl("amt"))
 
 
 @query("skip_empty_batch", q("""

@@ -25,7 +25,7 @@ raw_ticks AS (
          event_id AS ordinal
   FROM (
     SELECT event_id, ts, concat_ws('^',
-        strftime(ts, '%Y-%m-%d %H:%M:%S'),
+        CASE event_id % 50 WHEN 7 THEN strftime(ts, '%Y-13-%d %H:%M:%S') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END,
         'https://item.example/' || CAST(event_id % 97 AS VARCHAR),
         CAST(event_id % 97 AS VARCHAR),
         'item ' || CAST(event_id % 97 AS VARCHAR),

@@ -29,9 +29,11 @@ R_BLANK_SHOP_ID = 3     # shop id empty                    -> ok, not ranked
 R_JUNK_PRICE = 4        # price "n/a"                      -> bad_price
 R_TRAILING_EMPTY = 5    # "^^^" appended                   -> ok
 R_EXTRA_FIELD = 6       # "^x" appended (14 fields)        -> bad_arity
+R_BAD_TIME = 7          # month 13 in the time field       -> ok, in the total and its shop, not in the trend
 SHORT_LINE = "x^y^id"
 RANGE_SUFFIX = " - 99999"
 JUNK_PRICE = "n/a"
+BAD_TIME_FORMAT = "yyyy-'13'-dd HH:mm:ss"
 # --- end of fixed values ----------------------------------------------------
 
 
@@ -57,7 +59,7 @@ def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("value").cast("decimal(18,2)").cast("string")
     rest = eid % ADVERSARIAL_MOD
     fields = [
-        F.date_format(F.col("ts"), TIME_FORMAT),
+        F.when(rest == R_BAD_TIME, F.date_format(F.col("ts"), BAD_TIME_FORMAT)).otherwise(F.date_format(F.col("ts"), TIME_FORMAT)),
         F.concat(F.lit("https://item.example/"), pid),
         pid,
         F.concat(F.lit("item "), pid),

@@ -25,7 +25,7 @@ def _line(e) -> str:
     eid, uid = e["event_id"], e["user_id"]
     rest, pid, price = eid % 50, str(eid % 97), _money(e["value"])
     fields = [
-        e["ts"].strftime("%Y-%m-%d %H:%M:%S"), "https://item.example/" + pid, pid, "item " + pid,
+        e["ts"].strftime("%Y-13-%d %H:%M:%S" if rest == 7 else "%Y-%m-%d %H:%M:%S"), "https://item.example/" + pid, pid, "item " + pid,
         e["event_type"], "p" + str(eid % 7 + 1),
         price + " - 99999" if rest == 2 else "n/a" if rest == 4 else price,
         price, str(eid % 5 + 1), f"R{uid % 5} C{uid % 23}",
@@ -46,7 +46,8 @@ def _model():
         except InvalidOperation:
             continue
         total += p
-        trend[f[0]] += p
+        if f[0][5:7] != "13":
+            trend[f[0]] += p
         if f[10] != "":
             shops[f[10]] += p
     return total, dict(shops), dict(trend)

@@ -66,5 +66,5 @@ def test_state_independent_of_batch_cuts(spark):
     a, b = _state_after_cuts(spark, 2), _state_after_cuts(spark, 5)
     assert a == b
     total = a[("total", "*")]
-    assert total == sum(v for (m, _), v in a.items() if m == "trend")
+    assert total > sum(v for (m, _), v in a.items() if m == "trend") > Decimal(0)      # rows with a bad time are in the total alone
     assert total >= sum(v for (m, _), v in a.items() if m == "shop") > Decimal(0)

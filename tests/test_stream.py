@@ -56,8 +56,11 @@ def test_empty_batch_skipped(spark, live):
 def test_properties(spark, live):
     s = ST.read_state(spark, live.cfg.state_root)
     agg = {r.measure: r.amt for r in s.groupBy("measure").agg(F.sum("amt").alias("amt")).collect()}
-    assert agg["trend"] == agg["total"]                  # every valid row has a time here
     valid = ticks_valid(spark, SF_SMALL)
+    timeless = valid.where("time is null").agg(F.sum("price")).first()[0]
+    assert timeless > 0 and agg["total"] - agg["trend"] == timeless
+    bad = ST.read_quarantine(spark, live.cfg.state_root).where("reason = 'bad_time'").count()
+    assert bad == valid.where("time is null").count() == ST.read_metrics(spark, live.cfg.state_root).agg(F.sum("n_bad_time")).first()[0] > 0
     blank = valid.where("shop_id = ''").agg(F.sum("price")).first()[0] or Decimal(0)
     assert agg["total"] - agg["shop"] == blank
 
