@@ -24,7 +24,7 @@ any name are ignored.
 from __future__ import annotations
 
 import bisect
-import gc
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salesboard.llm.bpe import ForcedBoundaryBPE, tokenizer, worker_cache
-from salesboard.llm.common import Tokens, text_slices, whole_text
+from salesboard.llm.common import whole_text
+from salesboard.llm.encoding import RawIds, no_collection
 
 END_ID = 1
 SEQUENCE_IDS = 4096
@@ -96,32 +96,16 @@ def plan(counts: dict[int, int], size: int = SEQUENCE_IDS) -> list[tuple[int, in
 
 def _cut(name: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = tokenizer(name)
-
-        def entry(e: ForcedBoundaryBPE):
-            return lambda word: np.array(e.encode_word(word), "<u4").tobytes()
-        cache = worker_cache(name, "<u4", entry)
-
-        def chunk_entry(chunk: str) -> bytes:
-            if (known := cache.get(chunk)) is not None:
-                return known
-            if chunk[-1] in ".," and chunk[-2:-1].isalnum() and (known := cache.get(chunk[:-1])) is not None:
-                return known + cache[chunk[-1]]
-            return b"".join([cache[w] for w in enc.chunk_words(chunk)])
-
-        part, place = TaskContext.get().partitionId(), 0
+        raw_ids, part, place = RawIds(name, 4), TaskContext.get().partitionId(), 0
         seen = np.zeros(size + 1, np.int64)  # pieces of each length so far
-        end = np.array([END_ID], "<u4").tobytes()
-        collecting = gc.isenabled()
-        gc.disable()  # the caches hold a great many strings and no cycles
-        try:
+        end = struct.pack("<I", END_ID)
+        with no_collection():
             for batch in batches:
                 keys, at = batch["doc_id"].to_pylist(), 0
-                for texts in text_slices(batch["text"]):
-                    tokens = Tokens([enc.chunks(t) for t in texts], pa.string())
+                for slice_ in raw_ids.of(batch["text"]):
                     doc_id, piece, start, length, nth, ids = [], [], [], [], [], []
-                    for raw in tokens.joined([chunk_entry(c) for c in tokens.distinct], pa.binary(), b""):
-                        data = (raw.as_py() or b"") + end
+                    for raw in slice_:
+                        data = raw + end
                         for k, a in enumerate(range(0, len(data) // 4, size)):
                             ids.append(data[4 * a:4 * (a + size)])
                             n = len(ids[-1]) // 4
@@ -138,9 +122,6 @@ def _cut(name: str, size: int):
                          pa.array(nth, pa.int64()), pa.array(piece, pa.int64()), pa.array(start, pa.int64()), pa.array(length, pa.int32()),
                          pa.array(ids, pa.binary())], names=["doc_id", "place", "part", "nth", "piece", "start", "length", "ids"])
                     place += n
-        finally:
-            if collecting:
-                gc.enable()
     return run
 
 

@@ -16,7 +16,7 @@ slices one shard: constant work per key.  Tables are Parquet files, so that ever
 store Spark can write to will do and a rerun task commits whole files only.
 
 Edge cases: a null text is empty (its ids are the end id alone); a document key
-that occurs on several rows keeps them all, adjacent and ordered by text, and the
+that occurs on several rows keeps them all, adjacent and ordered by content, and the
 index gives the first; rows without a key come first and are not in the index; an
 empty table gives empty tables.
 """
@@ -34,8 +34,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salesboard.llm.bpe import ForcedBoundaryBPE, tokenizer, worker_cache
-from salesboard.llm.common import Tokens, text_slices, whole_text
+from salesboard.llm.bpe import tokenizer
+from salesboard.llm.common import whole_text, written
+from salesboard.llm.encoding import RawIds, no_collection
 
 END_ID = 1
 #: A shard is closed once it holds this many ids or documents (one longer document is a shard of its own).
@@ -95,30 +96,28 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
 
 # --- writing --------------------------------------------------------------------
 
-def _shards(name: str):
+def _encode(name: str, width: int):
+    """``doc_id, h, ids`` of ``doc_id, h, text``, each document closed by the end id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import gc
-        gc.disable()  # the caches hold a great many strings and no cycles
-        enc = tokenizer(name)
-        width = 2 if enc.n_ids <= 1 << 16 else 4
-        kind = f"<u{width}"
-
-        def entry(e: ForcedBoundaryBPE):
-            return lambda word: np.array(e.encode_word(word), kind).tobytes()
-        cache = worker_cache(name, kind, entry)
-
-        def chunk_entry(chunk: str) -> bytes:
-            if (known := cache.get(chunk)) is not None:
-                return known
-            if chunk[-1] in ".," and chunk[-2:-1].isalnum() and (known := cache.get(chunk[:-1])) is not None:
-                return known + cache[chunk[-1]]
-            return b"".join([cache[w] for w in enc.chunk_words(chunk)])
-
-        part, end, seq = TaskContext.get().partitionId(), np.array([END_ID], kind).tobytes(), 0
+        raw_ids, end = RawIds(name, width), END_ID.to_bytes(width, "little")
+        with no_collection():
+            for batch in batches:
+                at = 0
+                for slice_ in raw_ids.of(batch["text"]):
+                    n = len(slice_)
+                    yield pa.record_batch([batch["doc_id"].slice(at, n), batch["h"].slice(at, n), pa.array([raw + end for raw in slice_], pa.binary())],
+                                          names=["doc_id", "h", "ids"])
+                    at += n
+    return run
+
+
+def _shards(width: int, most: int):
+    """Shards of the encoded documents of a partition, in its order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq, size = TaskContext.get().partitionId(), 0, 0
         keys: list[int | None] = []
         ends: list[int] = []
         held: list[bytes] = []
-        size = 0
 
         def close() -> pa.RecordBatch:
             nonlocal keys, ends, held, size, seq
@@ -129,29 +128,29 @@ def _shards(name: str):
             return out
 
         for batch in batches:
-            ids, at = batch["doc_id"].to_pylist(), 0
-            for texts in text_slices(batch["text"]):
-                tokens = Tokens([enc.chunks(t) for t in texts], pa.string())
-                for raw in tokens.joined([chunk_entry(c) for c in tokens.distinct], pa.binary(), b""):
-                    held.append((raw.as_py() or b"") + end)
-                    size += len(held[-1]) // width
-                    keys.append(ids[at])
-                    ends.append(size)
-                    at += 1
-                    if size >= SHARD_IDS or len(keys) >= SHARD_DOCS:
-                        yield close()
+            for key, raw in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist()):
+                held.append(raw)
+                size += len(raw) // width
+                keys.append(key)
+                ends.append(size)
+                if size >= SHARD_IDS or len(keys) >= most:
+                    yield close()
         if keys:
             yield close()
     return run
 
 
-def write_store(docs: DataFrame, path: str, name: str = "word_bpe_49k.json") -> None:
-    """Encode ``docs`` (``doc_id, text``), each document closed by the end id, into a store at ``path``."""
+def write_store(docs: DataFrame, path: str, name: str = "word_bpe_49k.json", shard_docs: int = SHARD_DOCS) -> None:
+    """Encode ``docs`` (``doc_id, text``), each document closed by the end id, into a store at ``path``.
+
+    Texts are encoded where they are read; only their ids are sorted and shuffled.
+    """
     spark = docs.sparkSession
-    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-               .withColumn("h", F.xxhash64("text"))
-               .repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text"))
-    ordered.select("doc_id", "text").mapInArrow(_shards(name), PAYLOAD).write.parquet(f"{path}/payload")
+    width = 2 if tokenizer(name).n_ids <= 1 << 16 else 4
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("h"), whole_text().alias("text"))
+    encoded = written(texts.mapInArrow(_encode(name, width), "doc_id long, h long, ids binary"), "encoded")
+    ordered = encoded.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "ids")
+    ordered.mapInArrow(_shards(width, shard_docs), PAYLOAD).write.parquet(f"{path}/payload")
     entries = (_payload(spark, path).select("shard", F.posexplode("keys").alias("row", "key")).where("key is not null")
                .groupBy("key").agg(F.min(F.struct("shard", "row")).alias("first")))
     buckets = max(1, -(-entries.count() // BUCKET_KEYS))
@@ -212,33 +211,45 @@ def fetch(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     return _payload(spark, path).join(asked, "shard").select("width", "keys", "ends", "payload", "asked").mapInArrow(cut, "key long, ids array<long>")
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
-    """Every document from the payload files: ``shard, row, key, start, n_tokens, ids_crc32``."""
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                raw, ends = np.frombuffer(r["payload"], f"<u{r['width']}"), np.array(r["ends"], np.int64)
-                begins = np.concatenate([[0], ends[:-1]])
-                crc = [zlib.crc32(raw[a:b].astype("<u4").tobytes()) for a, b in zip(begins, ends)]
-                n = len(ends)
-                yield pa.record_batch([pa.array([r["shard"]] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(r["keys"], pa.int64()),
-                                       pa.array(begins, pa.int64()), pa.array(ends - begins, pa.int64()), pa.array(crc, pa.int64())],
-                                      names=["shard", "row", "key", "begin", "n_tokens", "ids_crc32"])
-
+def _bases(spark: SparkSession, path: str) -> DataFrame:
+    """``shard, base``: ids before each shard -- of earlier range partitions (one row each) and of earlier shards of its own."""
     shards = _payload(spark, path).select("shard", "part", "n_ids")
-    # ids before a shard: those of earlier range partitions (one row each) and of earlier shards of its own
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     before = parts.select("part", F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("part_base"))
     own = F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    base = shards.withColumn("own", own).join(before, "part").select("shard", (F.col("own") + F.col("part_base")).alias("base"))
-    rows = _payload(spark, path).mapInArrow(read, "shard long, row long, key long, begin long, n_tokens long, ids_crc32 long")
-    return rows.join(base, "shard").select("shard", "row", "key", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")
+    return shards.withColumn("own", own).join(before, "part").select("shard", (F.col("own") + F.col("part_base")).alias("base"))
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The asked documents of shards: from each asked row on, all rows in succession with its key; and the rows without a key."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            keys, ends = r["keys"], r["ends"]
+            raw, rows = np.frombuffer(r["payload"], f"<u{r['width']}").astype("<u4"), []
+            n = len(keys)
+            for a in r["asked"] or ():
+                k = a["row"]
+                while k < n and keys[k] == a["key"]:  # a fingerprint can agree by chance: then no row
+                    rows.append(k)
+                    k += 1
+            rows += [k for k in range(n) if keys[k] is None]  # they come first and are in no index
+            begins = [ends[k - 1] if k else 0 for k in rows]
+            crc = [zlib.crc32(raw[b:ends[k]]) for b, k in zip(begins, rows)]
+            yield pa.record_batch([pa.array([keys[k] for k in rows], pa.int64()), pa.array([r["base"] + b for b in begins], pa.int64()),
+                                   pa.array([ends[k] - b for b, k in zip(begins, rows)], pa.int64()), pa.array(crc, pa.int64())],
+                                  names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_all(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of all asked documents, found through the index."""
-    rows = records(spark, path)
-    found = lookup(spark, path, keys).select("key", F.struct("shard", "row").alias("first"))
-    keyed = rows.join(found, "key").where(F.struct("shard", "row") >= F.col("first"))
-    return keyed.unionByName(rows.where("key is null").withColumn("first", F.struct("shard", "row"))).select(
-        F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+    """``doc_id, start, n_tokens, ids_crc32`` of all asked documents, and of those without a key.
+
+    The index gives the shard and row where the ids of a key start, and only from
+    there are rows read; a key's rows that go on in later shards are found by the
+    first keys of the shards.
+    """
+    found = lookup(spark, path, keys)
+    leads = _payload(spark, path).select(F.col("shard").alias("next_shard"), F.element_at("keys", 1).alias("key"))
+    going_on = found.join(leads, "key").where("next_shard > shard").select("key", F.col("next_shard").alias("shard"), F.lit(0).cast("long").alias("row"))
+    asked = found.unionByName(going_on).groupBy("shard").agg(F.collect_list(F.struct("key", "row")).alias("asked"))  # at most a shard's rows
+    shards = _payload(spark, path).select("shard", "width", "keys", "ends", "payload").join(_bases(spark, path), "shard").join(asked, "shard", "left")
+    return shards.drop("shard").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -98,3 +98,30 @@ def test_store_reads_back(request, spark, library, table, monkeypatch):
     assert order == sorted(order) and len(got) == len(rows)
     asked = spark.createDataFrame([(1,), (10**15,)], "key long")
     assert {r.key: r.ids for r in token_store.fetch(spark, path, asked).collect()} == {k: v for (k, _), v in ids.items() if k == 1}
+
+
+def test_a_key_over_many_shards(spark, library):
+    """A third of all rows share one key; its rows lie in several shards and are found from the first on."""
+    rows = [(7, f"text number {n}") for n in range(100)] + [(k, "another text") for k in range(200) if k != 7]
+    df, path = spark.createDataFrame(rows, "doc_id long, text string").repartition(5), fresh_dir(spark, "test-store")
+    token_store.write_store(df, path, shard_docs=9)
+    got = token_store.read_all(spark, path, spark.createDataFrame([(7,), (8,), (999,)], "key long")).collect()
+    want = [len(library.encode(t, add_special_tokens=False).ids) + 1 for k, t in rows if k in (7, 8)]
+    assert sorted(r.n_tokens for r in got) == sorted(want) and len({r.start for r in got}) == 101
+
+
+def test_a_broken_index_gives_a_broken_answer(spark):
+    df, path = spark.createDataFrame([(k, f"text {k}") for k in range(50)], "doc_id long, text string"), fresh_dir(spark, "test-store")
+    token_store.write_store(df, path)
+    keys, broken = df.select(df.doc_id.alias("key")), f"{path}-broken"
+    assert token_store.read_all(spark, path, keys).count() == 50
+    spark.read.parquet(f"{path}/payload").write.parquet(f"{broken}/payload")
+    entry = spark.read.parquet(f"{path}/index").first().asDict()
+    places = np.frombuffer(bytes(entry["rows"]), "<i4").copy()
+    places[0], places[1] = places[1], places[0]
+    spark.createDataFrame([tuple(entry.values())], ", ".join(f"{k} {t}" for k, t in spark.read.parquet(f"{path}/index").dtypes)).write.parquet(f"{broken}/index")
+    assert token_store.read_all(spark, broken, keys).count() == 50
+    entry["rows"] = places.tobytes()
+    (spark.createDataFrame([tuple(entry.values())], ", ".join(f"{k} {t}" for k, t in spark.read.parquet(f"{path}/index").dtypes))
+     .write.mode("overwrite").parquet(f"{broken}/index"))
+    assert token_store.read_all(spark, broken, keys).count() == 48
