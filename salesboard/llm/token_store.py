@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from salesboard.llm.bpe import tokenizer
-from salesboard.llm.common import whole_text, written
+from salesboard.llm.common import release, whole_text, written
 from salesboard.llm.encoding import RawIds, no_collection
 
 END_ID = 1
@@ -151,6 +151,8 @@ def write_store(docs: DataFrame, path: str, name: str = "word_bpe_49k.json", sha
     encoded = written(texts.mapInArrow(_encode(name, width), "doc_id long, h long, ids binary"), "encoded")
     ordered = encoded.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "ids")
     ordered.mapInArrow(_shards(width, shard_docs), PAYLOAD).write.parquet(f"{path}/payload")
+    del ordered
+    release(spark)
     entries = (_payload(spark, path).select("shard", F.posexplode("keys").alias("row", "key")).where("key is not null")
                .groupBy("key").agg(F.min(F.struct("shard", "row")).alias("first")))
     buckets = max(1, -(-entries.count() // BUCKET_KEYS))
