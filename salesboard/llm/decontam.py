@@ -35,12 +35,12 @@ from salesboard.llm.common import Tokens, map_rows, small_side, text_slices, who
 SEED_WORDS, COVERAGE = 5, 0.6
 #: Benchmark seeds up to which their table is broadcast (two numbers a row).
 BROADCAST_SEEDS = 1_000_000
-_WORD = re.compile(r"[^\W_]+")
+WORD = re.compile(r"[^\W_]+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    return WORD.findall((text or "").lower())
 
 
 def seed_hashes(word_hashes: np.ndarray, k: int = SEED_WORDS) -> np.ndarray:

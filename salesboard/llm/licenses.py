@@ -6,11 +6,14 @@ template's few rarest words in that text; around each such word the stretch is
 aligned with the template: words that are unique to both sides are anchors, the
 longest increasing run of anchors is kept, and the gaps between anchors are
 aligned the same way, down to gaps with no unique word, where equal ends match.
-The share of template words aligned is the coverage.  Of templates of one kind that
-fit the same stretch (versions, clauses), the best fit is reported.
+The share of template words aligned is the coverage.  In notices and headers the
+name and version are the license: their words must stand in the stretch one after
+the other, and a version must not go on (2 is not 2.1); coverage speaks for the rest.
+Of templates of one kind that fit the same stretch (versions, clauses), the best fit
+is reported; where several fit it alike, one row names them all, joined by `` | ``.
 
 Edge cases: null and empty texts have no words and no license; a license found
-several times in a text gives a row each; equal templates are reported each;
+several times in a text gives a row each, also where copies stand side by side;
 repeated document rows are each scanned; texts are scanned whole.
 """
 
@@ -19,6 +22,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from importlib.resources import files
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesboard.llm.common import Tokens, map_rows, text_slices, whole_text
-from salesboard.llm.decontam import words
+from salesboard.llm.decontam import WORD, words
 
 #: Share of a template's words that must align, and of the stretch's words that must belong to the template.
 COVERAGE, DENSITY = 0.8, 0.6
@@ -76,14 +80,9 @@ TEMPLATES = {
     "cc-by-nc-4.0 notice": "Licensed under CC BY-NC 4.0.",
     "cc-by-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "gpl-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-                  "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl header": _GNU.format("", "version 3"),
     "mit notice": "Released under the MIT License.",
-    "mit text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
-                "\"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
-                "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
-                "following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
-                "Software.",
+    "mit text": _MIT,
     "bsd text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
                 "met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "mpl-2.0 header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
@@ -110,6 +109,34 @@ TEMPLATES = {
 }
 
 
+def _versions(name: str, number: str) -> list[str]:
+    return [f"{name} {v}{number}" for v in ("version ", "v", "v ", "")]
+
+
+# What notices and headers must name (fixed values): of each list, one phrase must stand in the stretch as it is.
+NAMED = {
+    "apache-2.0 notice": [_versions("Apache License", "2.0")],
+    "apache-2.0 header": [_versions("Apache License", "2.0")],
+    "cc-by-nc-4.0 notice": [["CC BY-NC 4.0"]],
+    "cc-by-sa-4.0 notice": [["CC BY-SA 4.0"]],
+    "cc-by-4.0 notice": [["Creative Commons Attribution 4.0"]],
+    "gpl-2.0 notice": [_versions("GNU General Public License", "2")],
+    "gpl-3.0 notice": [_versions("GNU General Public License", "3")],
+    "lgpl-2.1 notice": [_versions("GNU Lesser General Public License", "2.1")],
+    "lgpl-3.0 notice": [_versions("GNU Lesser General Public License", "3")],
+    "agpl-3.0 notice": [_versions("GNU Affero General Public License", "3")],
+    "mit notice": [["MIT License"]],
+    "bsd notice": [["BSD License"]],
+    "isc notice": [["ISC License"]],
+    "gpl-2.0 header": [["GNU General Public License"], ["version 2"]],
+    "gpl header": [["GNU General Public License"], ["version 3"]],
+    "lgpl-2.1 header": [["GNU Lesser General Public License"], ["version 2.1"]],
+    "lgpl-3.0 header": [["GNU Lesser General Public License"], ["version 3"]],
+    "agpl-3.0 header": [["GNU Affero General Public License"], ["version 3"]],
+    "mpl-2.0 header": [_versions("Mozilla Public License", "2.0")],
+}
+
+
 def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest run of pairs, sorted by the first number, whose second numbers increase (patience sorting)."""
     tops: list[int] = []
@@ -162,13 +189,35 @@ def dense(matched: list[tuple[int, int]], need: int) -> list[tuple[int, int]]:
     return matched[i:need + j] if n[i, j] else []
 
 
+def named(phrases: list[list[list[str]]], text: str, first: int, last: int) -> bool:
+    """Whether of each list of ``phrases`` one begins in the words ``first:last`` of ``text`` and goes on as it is."""
+    lower = text.lower()
+    spans = list(islice((m.span() for m in WORD.finditer(lower)), first, last + max(len(w) for p in phrases for w in p)))
+    held = [lower[a:b] for a, b in spans]
+
+    def stands(phrase: list[str], k: int) -> bool:
+        end = k + len(phrase)
+        if held[k:end] != phrase:
+            return False
+        further = end < len(held) and phrase[-1][-1].isdigit() and held[end].isdigit() and lower[spans[end - 1][1]:spans[end][0]] == "."
+        return not further
+
+    return all(any(stands(w, k) for w in p for k in range(min(last - first, len(held)))) for p in phrases)
+
+
 def best(found: list[tuple]) -> list[tuple]:
-    """Of finds ``(name, first, last, matched, words)`` of one kind that share most of a stretch, those that fit best."""
+    """Of finds ``(name, first, last, matched, words)`` of one kind that share most of a stretch, those that fit best.
+
+    Finds that fit a stretch alike become one, whose name lists theirs.
+    """
     kept: list[tuple] = []
     rank = lambda f: (-f[3] / f[4], -f[3])
     for f in sorted(found, key=lambda f: (*rank(f), f[0], f[1])):
-        if not any(k[0].split()[-1] == f[0].split()[-1] and rank(k) < rank(f) and 2 * (min(k[2], f[2]) - max(k[1], f[1])) > min(k[2] - k[1], f[2] - f[1]) for k in kept):
+        rivals = [i for i, k in enumerate(kept) if k[0].split()[-1] == f[0].split()[-1] and 2 * (min(k[2], f[2]) - max(k[1], f[1])) > min(k[2] - k[1], f[2] - f[1])]
+        if not rivals:
             kept.append(f)
+        elif rank(kept[rivals[0]]) == rank(f):
+            kept[rivals[0]] = (f"{kept[rivals[0]][0]} | {f[0]}", *kept[rivals[0]][1:])
     return kept
 
 
@@ -184,17 +233,30 @@ def find(text: list, template: list, places: dict, coverage: float = COVERAGE) -
     rarest = sorted(range(n), key=lambda q: (len(places.get(template[q], ())), q))[:n - need + 1]
     reach = int(n / DENSITY) - n + 1
     spans = sorted({(max(0, p - q - reach), min(len(text), p + n - q + reach)) for q in rarest for p in places.get(template[q], ())})
+    there = Counter(template)
     found: list[tuple[int, int, int]] = []
-    done = 0
+    done = clear = 0  # every window that ends before ``clear`` holds too few words
     for begin, end in spans:
+        if end < clear:
+            continue
         begin = max(begin, done)
         while end - begin >= need:
-            matched = align(text[begin:end], template)
-            if len(matched) < need:
+            # common words in any order bound what can align; a window further on has at most its new words more
+            most = sum(min(k, there[w]) for w, k in Counter(text[begin:end]).items())
+            if most >= need:
+                matched = align(text[begin:end], template)
+                most = len(matched)
+            if most < need:
+                clear = end + need - most
                 break
             if not (matched := dense(matched, need)):
                 break
-            first, last = begin + matched[0][0], begin + matched[-1][0] + 1
+            first = begin + matched[0][0]
+            # the window may end inside this copy: from its first word on, there is room for the whole template
+            whole = align(text[first:first + n + reach], template)
+            if len(whole) > len(matched) and (whole := dense(whole, need)) and len(whole) > len(matched):
+                matched, first, begin = whole, first + whole[0][0], first
+            last = begin + matched[-1][0] + 1
             found.append((first, last, len(matched)))
             begin = done = last
     return found
@@ -203,6 +265,7 @@ def find(text: list, template: list, places: dict, coverage: float = COVERAGE) -
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:
     """``doc_id, license, first_word, last_word, n_matched, n_words, coverage``: every license found in every text."""
     cut = {name: words(t) for name, t in templates.items()}
+    phrases = {name: [[words(x) for x in p] for p in NAMED[name]] for name in cut if name in NAMED}
     names, exact = list(cut), {name for name in cut if name.endswith(" spdx")}  # an identifier has no near match
     need = np.array([len(t) * (1 if name in exact else coverage) for name, t in cut.items()])
     known = {w: k for k, w in enumerate(sorted({w for t in cut.values() for w in t}))}
@@ -230,7 +293,8 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float
                         for name in (names[h] for h in held):
                             t = cut[name]
                             spans = find(text, t, places, 1.0 if name in exact else coverage)
-                            found += [(name, a, b, m, len(t)) for a, b, m in spans if name not in exact or b - a == m]
+                            found += [(name, a, b, m, len(t)) for a, b, m in spans
+                                      if (name not in exact or b - a == m) and (name not in phrases or named(phrases[name], texts[j], a, b))]
                         out += [(ids[k], *f) for f in best(found)]
                     k += 1
             columns = list(zip(*out)) if out else [[]] * 6

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -367,6 +368,78 @@ def test_license_odd_rows(request, table):
     assert licenses.scan(request.getfixturevalue(table)).count() == 0
 
 
+def _found(spark, texts):
+    found = collections.defaultdict(list)
+    for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        found[r.doc_id].append((r.first_word, r.last_word, r.license))
+    return [sorted(found[k]) for k in range(len(texts))]
+
+
+def test_the_name_and_version_are_the_license(spark):
+    near = ["Released under the Commercial License.", "Released under the Zlib License.", "Licensed under CC BY 4.0.", "Licensed under CC BY-ND 4.0.",
+            "This work is licensed under the GNU Lesser General Public License, version 2.", "Licensed under the Apache License, Version 1.1.",
+            "This work is licensed under the GNU Affero General Public License, version 2.1.", "Released under the BSD Zero License."]
+    assert _found(spark, near) == [[]] * len(near)
+    same = {"This work is licensed under the GNU General Public License v3.": "gpl-3.0 notice", "Licensed under the Apache License 2.0": "apache-2.0 notice",
+            "This work is licensed under the GNU Lesser General Public License, version 2.1.": "lgpl-2.1 notice",
+            "This work is licensed under the GNU General Public License, version 2. 1 copy.": "gpl-2.0 notice"}
+    assert [[n for *_, n in f] for f in _found(spark, list(same))] == [[n] for n in same.values()]
+    headers = [n for n in licenses.TEMPLATES if n.endswith("header")]
+    assert [{n for *_, n in f if n.endswith("header")} for f in _found(spark, [licenses.TEMPLATES[n] for n in headers])] == [{n} for n in headers]
+
+
+@pytest.mark.parametrize("name", ["mit notice", "gpl-3.0 notice", "isc text"])
+def test_adjacent_copies_are_found_whole(spark, name):
+    n = len(decontam.words(licenses.TEMPLATES[name]))
+    texts = [before + f"{licenses.TEMPLATES[name]} " * copies + after for copies in (1, 2, 3, 5) for before, after in (("", ""), ("some words before ", "and after"))]
+    want = [[(at + k * n, at + (k + 1) * n, name) for k in range(copies)] for copies in (1, 2, 3, 5) for at in (0, 3)]
+    assert _found(spark, texts) == want
+
+
+def test_equal_fits_are_one_row(spark):
+    d = spark.createDataFrame([(1, "alpha beta gamma delta epsilon")], "doc_id long, text string")
+    found = licenses.scan(d, {"x text": "alpha beta gamma delta one", "y text": "alpha beta gamma delta two"}).collect()
+    assert [(r.license, r.n_matched) for r in found] == [("x text | y text", 4)]
+
+
+def _common(a, b):
+    """Length of the longest common subsequence, by the plain table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(before[j] + 1 if x == y else max(before[j + 1], row[j]))
+    return row[-1]
+
+
+def test_alignment_against_brute_force():
+    rng = random.Random(9)
+    for k in range(300):
+        n = rng.randrange(2, 30)
+        b = list(range(n)) if k % 2 else [rng.randrange(n) for _ in range(n)]
+        a = [x for x in b if rng.random() < 0.8]
+        for _ in range(rng.randrange(6)):
+            a.insert(rng.randrange(len(a) + 1), 100 + rng.randrange(50) if k % 2 else rng.randrange(n))
+        if k % 3 == 0:
+            rng.shuffle(a)
+        pairs = licenses.align(a, b)
+        assert all(a[p] == b[q] for p, q in pairs) and all(p < x and q < y for (p, q), (x, y) in zip(pairs, pairs[1:]))
+        assert len(pairs) <= _common(a, b)
+        if k % 2 and len(set(a)) == len(a) and k % 3:  # words that are unique to both and keep their order: nothing better exists
+            assert len(pairs) == _common(a, b)
+
+
+def test_a_whole_license_is_scanned_in_little_time():
+    text = decontam.words(licenses.TEMPLATES["gpl-3.0 text"])
+    places = collections.defaultdict(list)
+    for p, w in enumerate(text):
+        places[w].append(p)
+    begun = time.process_time()
+    found = {n: licenses.find(text, decontam.words(t), places) for n, t in licenses.TEMPLATES.items() if n.endswith(" text")}
+    assert [n for n, f in found.items() if f] == ["gpl-3.0 text"] and time.process_time() - begun < 3
+
+
 # --- substring dedup ------------------------------------------------------------
 def _deduplicated(rows):
     first = {}
