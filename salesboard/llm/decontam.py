@@ -4,15 +4,20 @@
    digits); every ``SEED_WORDS`` consecutive words give a seed hash.
 2. Seeds of documents are joined with those of the items.  The item side is
    counted: up to a bound it is broadcast, beyond it the join shuffles.
-3. For each document and item with shared seeds, greedy string tiling marks the
+3. A document must share as many seeds as tiles of the asked coverage hold at least
+   (a tile of ``s`` words holds ``s - SEED_WORDS + 1`` and no tile is shorter than a
+   seed, so one seed for every ``SEED_WORDS`` covered words).  For each document and item that do, greedy string tiling marks the
    longest non-overlapping matches first; matches of at least the current search
    length are found by running Karp-Rabin hashes, and the search length halves
    down to the seed length.
 4. An item is leaked into a document if its tiles cover at least ``COVERAGE`` of
    its words, in whatever order the tiles stand in the document.
 
-Edge cases: null and empty texts have no words; items of fewer words than a seed
-cannot be told from chance and are not searched; items with the same id and other
+An item of fewer words than a seed is one tile or none: its words are looked up as
+one seed of their own length.  Such a find may be chance, so ``keep_clean`` asks for
+items of at least ``SEED_WORDS`` words unless told otherwise.
+
+Edge cases: null and empty texts have no words and no item; items with the same id and other
 text are searched each; repeated document rows are each searched.
 """
 
@@ -54,8 +59,11 @@ def seed_hashes(word_hashes: np.ndarray, k: int = SEED_WORDS) -> np.ndarray:
     return out
 
 
-def _seeds(rows: DataFrame, columns: str, names: list[str]) -> DataFrame:
-    """``names`` of ``rows`` (with ``text``) and ``seeds``, ``n_words``, ``row`` (a number of its own for each row)."""
+def _seeds(rows: DataFrame, columns: str, names: list[str], k: int = SEED_WORDS, short: bool = False) -> DataFrame:
+    """``names`` of ``rows`` (with ``text``) and ``seeds`` of ``k`` words, ``n_words``, ``row`` (a number of its own for each row).
+
+    With ``short`` a text of fewer words has all of them as its one seed.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -63,7 +71,7 @@ def _seeds(rows: DataFrame, columns: str, names: list[str]) -> DataFrame:
             for texts in text_slices(batch["text"]):
                 tokens = Tokens([words(t) for t in texts], pa.string())
                 hashed = np.array([xxhash.xxh64_intdigest(w) for w in tokens.distinct], np.uint64)[tokens.codes] if tokens.distinct else np.zeros(0, np.uint64)
-                seeds = [seed_hashes(hashed[a:b]) for a, b in zip(tokens.at, tokens.at[1:])]
+                seeds = [seed_hashes(hashed[a:b], min(k, b - a) if short and b > a else k) for a, b in zip(tokens.at, tokens.at[1:])]
                 flat = np.concatenate([np.zeros(0, np.uint64), *seeds]).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, seeds)]), pa.int32()), pa.array(flat))
                 n = len(texts)
@@ -152,20 +160,23 @@ def _extend(at: dict[int, int], item: list[int], doc_marked: set[int], item_free
 
 # --- operator -------------------------------------------------------------------
 
-def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """``doc_id, item_id, n_words, n_tiles, n_covered, coverage, text_key`` of every leaked item.
+def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least_words: int = 1) -> DataFrame:
+    """``doc_id, item_id, n_words, n_tiles, n_covered, coverage, text_key`` of every leaked item of at least ``least_words`` words.
 
     ``text_key`` is the hash (MD5) of the document's text, by which a row can be found whatever its key.
     """
     items = written(_seeds(benchmark.select(F.col("item_id").cast("long").alias("item_id"), whole_text().alias("text")).distinct(),
-                           "item_id long", ["item_id"]).where("size(seeds) > 0"), "items")
-    item_seeds = items.select(F.col("row").alias("item"), F.explode(F.array_distinct("seeds")).alias("h"))
-    rows = _seeds(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(whole_text().cast("binary")).alias("text_key"), whole_text().alias("text")),
-                  "doc_id long, text_key string", ["doc_id", "text_key"])
+                           "item_id long", ["item_id"], short=True).where(F.col("n_words") >= max(1, least_words)), "items")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(whole_text().cast("binary")).alias("text_key"), whole_text().alias("text"))
+    long_items = items.where(F.col("n_words") >= SEED_WORDS)
+    item_seeds = long_items.select(F.col("row").alias("item"), F.explode(F.array_distinct("seeds")).alias("h"))
+    rows = _seeds(texts, "doc_id long, text_key string", ["doc_id", "text_key"])
     shared = (rows.select("row", "doc_id", "text_key", F.posexplode("seeds").alias("pos", "h")).join(small_side(item_seeds, BROADCAST_SEEDS), "h")
               .groupBy("row", "doc_id", "text_key", "item").agg(F.collect_list(F.struct("pos", "h")).alias("places")))  # at most a document's words
-    asked = items.select(F.col("row").alias("item"), "item_id", "seeds", "n_words")
-    pairs = shared.join(small_side(asked), "item").select("doc_id", "text_key", "places", "item_id", "seeds", "n_words")
+    asked = small_side(long_items.select(F.col("row").alias("item"), "item_id", "n_words"))
+    enough = F.size("places") >= F.ceil((coverage * F.col("n_words") - 1e-6) / SEED_WORDS)
+    pairs = shared.join(asked, "item").where(enough).join(_bounded(long_items.select(F.col("row").alias("item"), "seeds"), "seeds"), "item")
+    pairs = pairs.select("doc_id", "text_key", "places", "item_id", "seeds", "n_words")
 
     def start():
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -178,10 +189,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
         return fn
 
     tiled = map_rows(pairs, start, "doc_id long, text_key string, item_id long, n_words long, n_tiles long, n_covered long")
+    for k in sorted(r[0] for r in items.where(F.col("n_words") < SEED_WORDS).select("n_words").distinct().collect()):  # at most four lengths
+        tiled = tiled.unionByName(_short_leaks(texts, items.where(F.col("n_words") == k), k))
     return tiled.withColumn("coverage", F.col("n_covered") / F.col("n_words")).where(F.col("coverage") >= coverage)
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text leaks no item."""
-    leaked = written(leaks(docs, benchmark, coverage).select("text_key").distinct(), "leaked")
+def _short_leaks(texts: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """The finds of ``items`` of ``k`` words, fewer than a seed: one tile, the whole item in place."""
+    rows = _seeds(texts, "doc_id long, text_key string", ["doc_id", "text_key"], k)
+    asked = items.select("item_id", "n_words", F.get("seeds", F.lit(0)).alias("h"))
+    found = rows.select("doc_id", "text_key", F.explode(F.array_distinct("seeds")).alias("h")).join(small_side(asked), "h")
+    return found.select("doc_id", "text_key", "item_id", "n_words", F.lit(1).cast("long").alias("n_tiles"), F.col("n_words").alias("n_covered"))
+
+
+def _bounded(df: DataFrame, lists: str) -> DataFrame:
+    """``df`` with a broadcast hint if its ``lists`` of numbers hold at most ``BROADCAST_SEEDS`` in all (counted)."""
+    return F.broadcast(df) if (df.agg(F.sum(F.size(lists) + 1)).first()[0] or 0) <= BROADCAST_SEEDS else df
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least_words: int = SEED_WORDS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text leaks no item of at least ``least_words`` words."""
+    leaked = written(leaks(docs, benchmark, coverage, least_words).select("text_key").distinct(), "leaked")
     return docs.join(small_side(leaked), F.md5(whole_text().cast("binary")) == leaked["text_key"], "left_anti")

@@ -241,6 +241,60 @@ def test_tiles_do_not_overlap():
         assert all(len(p) == len(set(p)) for p in places) and all(doc[p:p + n] == item[q:q + n] for p, q, n in tiles)
 
 
+def _greedy(doc, item, k):
+    """Words of the item covered by a plain greedy tiling: the longest match of unmarked words first, first places first."""
+    doc_free, item_free, covered = [True] * len(doc), [True] * len(item), 0
+    while True:
+        top = (0, 0, 0)
+        for p in range(len(doc)):
+            for q in range(len(item)):
+                n = 0
+                while p + n < len(doc) and q + n < len(item) and doc[p + n] == item[q + n] and doc_free[p + n] and item_free[q + n]:
+                    n += 1
+                if n > top[0]:
+                    top = (n, p, q)
+        n, p, q = top
+        if n < k:
+            return covered
+        covered += n
+        doc_free[p:p + n], item_free[q:q + n] = [False] * n, [False] * n
+
+
+def test_leaks_against_brute_force(spark):
+    rng = random.Random(12)
+    vocabulary = [f"v{k}" for k in range(400)]
+    items = [rng.choices(vocabulary, k=rng.randrange(1, 40)) for _ in range(30)]
+    docs = []
+    for n in range(150):
+        text = []
+        for item in rng.sample(items, 3):
+            cuts = sorted(rng.sample(range(len(item) + 1), min(len(item) + 1, rng.randrange(2, 5))))
+            parts = [item[a:b] for a, b in zip([0, *cuts], [*cuts, len(item)])]
+            rng.shuffle(parts)
+            for part in parts:
+                text += part + rng.choices(vocabulary, k=rng.randrange(3))
+        docs.append((n, text))
+    want = set()
+    for n, text in docs:
+        for j, item in enumerate(items):
+            k = min(5, len(item))
+            if (covered := _greedy(text, item, k)) / len(item) >= 0.6:
+                want.add((n, j, len(item), covered))
+    d = spark.createDataFrame([(n, " ".join(t)) for n, t in docs], "doc_id long, text string")
+    b = spark.createDataFrame([(j, " ".join(t)) for j, t in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_words, r.n_covered) for r in decontam.leaks(d, b).collect()}
+    assert got == want and any(w[2] < 5 for w in want) and any(w[3] < w[2] for w in want)
+    assert sorted(r.doc_id for r in decontam.keep_clean(d, b).collect()) == sorted({n for n, _ in docs} - {w[0] for w in want if w[2] >= 5})
+    assert sorted(r.doc_id for r in decontam.keep_clean(d, b, least_words=1).collect()) == sorted({n for n, _ in docs} - {w[0] for w in want})
+
+
+def test_short_items_are_whole_matches(spark):
+    d = spark.createDataFrame([(1, "the Answer is: forty two!"), (2, "forty and two"), (3, None), (4, "two")], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "forty two"), (2, "two"), (3, ""), (4, None), (5, "is forty two now")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(d, b).collect()} == {(1, 1), (1, 2), (2, 2), (4, 2)}
+    assert decontam.keep_clean(d, b).count() == 4
+
+
 @pytest.mark.parametrize("table", ["odd", "empty"])
 def test_decontam_odd_rows(request, spark, table):
     df = request.getfixturevalue(table)
