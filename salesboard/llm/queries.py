@@ -80,6 +80,22 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+ORACLE_SQL["op10_substring"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT r, doc_id, p, array_to_string(w[p:p + 12], ' ') AS win FROM (SELECT *, unnest(range(1, len(w) - 11)) AS p FROM texts)),
+firsts AS (SELECT win, min(doc_id) AS first_id FROM windows GROUP BY win),
+covered AS (
+  SELECT DISTINCT r, unnest(range(p, p + 13)) AS k FROM windows JOIN firsts USING (win) WHERE doc_id > first_id),
+gone AS (SELECT r, list(k) AS ks, count(*) AS n FROM covered GROUP BY r),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY k) AS kept_text
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM texts) ANTI JOIN covered USING (r, k) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM texts LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)"""
+
+
 @query
 def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "pieces")

@@ -12,10 +12,13 @@ boundary of the highest round that leaves room for ``KEY_WORDS`` words.
 
 Spark rounds:
 
-1. anchor names are counted over the corpus (pre-aggregated; one row per name);
-2. anchors with a shared name are joined back: only their windows can repeat;
-3. those windows are hashed whole, the smallest document of each is found, and
-   windows that also start in a smaller document are joined back to their rows.
+1. of equal texts (128-bit hash) the smallest document stands for all: every window
+   of the others also starts in it, so they lose all words or, below ``WINDOW`` words, none;
+2. the least and greatest text of each anchor name are found over the corpus
+   (pre-aggregated; one row per name): a name of a single text repeats nothing;
+3. anchors whose name is shared are joined back: only their windows can repeat;
+4. those windows are hashed whole (96 bits), the smallest document of each is found,
+   and windows that also start in a smaller document are joined back to their rows.
 
 Edge cases: a null text has no words; texts below ``WINDOW`` words keep all of
 them; repeated rows of one document never remove from each other; rows without a
@@ -24,9 +27,8 @@ key neither remove nor lose words.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesboard.llm.common import Tokens, map_rows, release, text_slices, whole_text, written
+from salesboard.llm.common import map_rows, release, whole_text, written
 
 #: Words of a repeated window; naming rounds; words of an anchor's name.
 WINDOW, ROUNDS, KEY_WORDS = 13, 5, 6
@@ -84,16 +86,65 @@ def rolling(symbols: np.ndarray, k: int, step: int) -> np.ndarray:
     return _mix(out)
 
 
-def _symbols(texts: list[str]) -> tuple[Tokens, np.ndarray]:
-    tokens = Tokens([t.encode().split() for t in texts], pa.binary())
-    hashed = np.array([xxhash.xxh64_intdigest(w) for w in tokens.distinct], np.uint64)
-    return tokens, hashed[tokens.codes] if len(hashed) else hashed
+#: Bytes that a task hashes at a time, and the longest word whose hash is a polynomial of its bytes.
+BLOCK, POLYNOMIAL_BYTES = 1 << 20, 256
+_BASE = 0x9E3779B97F4A7C15
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BYTE = _mix(np.arange(1, 257, dtype=np.uint64))
+
+
+@cache
+def _powers(base: int) -> np.ndarray:
+    """``base ** k`` modulo 2**64 for every place of a block."""
+    return np.cumprod(np.append(np.uint64(1), np.full(BLOCK + POLYNOMIAL_BYTES, base, np.uint64)))
+
+
+def word_symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``at, symbols``: a 64-bit hash of every word; ``at[k]:at[k + 1]`` are the words of text ``k``.
+
+    A word's hash is a polynomial of its bytes, read from running sums over a block
+    of bytes; longer words, for which polynomials modulo 2**64 are weak, are hashed one by one.
+    """
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if offsets[-1] == offsets[0]:
+        return np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.uint64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    in_word = np.concatenate([[False], ~_BLANK[data], [False]])
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    starts = np.flatnonzero(in_word[1:-1] & (~in_word[:-2] | edge[:-1]))
+    ends = np.flatnonzero(in_word[1:-1] & (~in_word[2:] | edge[1:])) + 1
+    symbols = np.zeros(len(starts), np.uint64)
+    long = ends - starts > POLYNOMIAL_BYTES
+    short_ends = np.where(long, starts, ends)
+    block_at = np.searchsorted(starts, np.arange(0, len(data) + BLOCK, BLOCK))
+    for i, j in zip(block_at, block_at[1:]):
+        if i < j:
+            begin, end = starts[i], max(short_ends[i:j].max(), starts[j - 1])
+            sums = np.append(np.uint64(0), np.cumsum(_BYTE[data[begin:end]] * _powers(_BASE)[:end - begin]))
+            s, e = starts[i:j] - begin, short_ends[i:j] - begin
+            symbols[i:j] = _mix((sums[e] - sums[s]) * _powers(pow(_BASE, -1, 1 << 64))[s] + (e - s).astype(np.uint64))
+    for k in np.flatnonzero(long):
+        symbols[k] = xxhash.xxh64_intdigest(data[starts[k]:ends[k]].tobytes())
+    return np.searchsorted(starts, offsets), symbols
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, ``at`` and symbols of stretches of a batch of about ``4 * BLOCK`` bytes (one longer text is a stretch of its own)."""
+    size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
+    k = 0
+    while k < len(texts):
+        end = max(k + 1, int(np.searchsorted(size, size[k] + 4 * BLOCK, side="right")) - 1)
+        yield k, *word_symbols(texts.slice(k, end - k))
+        k = end
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, ref``: equal rows share their ``ref``."""
+    """``doc_id, text, ref``: equal texts share their ``ref``."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return d.withColumn("ref", F.xxhash64("doc_id", "text"))
+    return d.withColumn("ref", F.xxhash64("text"))
 
 
 def _inside(at: np.ndarray) -> np.ndarray:
@@ -104,71 +155,77 @@ def _inside(at: np.ndarray) -> np.ndarray:
 def _anchor_rows(batches: Iterator[pa.RecordBatch], names_only: bool = False) -> Iterator[pa.RecordBatch]:
     """``key, ref, at``: an anchor's name and the windows it stands for (first window, and their number in the low byte).
 
-    With ``names_only`` just ``key``, which is all that counting needs.
+    With ``names_only`` without ``at``, which counting does not need.
 
-    The texts of a slice are worked on as one sequence: an anchor depends on its
+    The texts of a stretch are worked on as one sequence: an anchor depends on its
     window alone, and windows across two texts are left out.
     """
-    gc.disable()
     for batch in batches:
-        refs, k = None if names_only else batch["ref"].to_numpy(), 0
-        for texts in text_slices(batch["text"]):
-            tokens, symbols = _symbols(texts)
-            windows = _inside(tokens.at)
+        refs = batch["ref"].to_numpy()
+        for k, ends, symbols in _slices(batch["text"]):
+            windows = _inside(ends)
             if len(windows):
                 places = anchors(symbols)[windows]
-                text = np.searchsorted(tokens.at, windows, side="right") - 1
+                text = np.repeat(np.arange(len(ends) - 1), np.maximum(0, np.diff(ends) - WINDOW + 1))
                 new = np.flatnonzero(np.append(True, (places[1:] != places[:-1]) | (text[1:] != text[:-1])))
                 key = rolling(symbols, KEY_WORDS, 0x9E3779B97F4A7C15)[places[new]]
+                columns = [pa.array(key.view(np.int64)), pa.array(refs[k + text[new]])]
                 if names_only:
-                    yield pa.record_batch([pa.array(key.view(np.int64))], names=["key"])
+                    yield pa.record_batch(columns, names=["key", "ref"])
                     continue
                 count = np.diff(np.append(new, len(places)))
-                at = windows[new] - tokens.at[text[new]]
-                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(refs[k + text[new]]), pa.array(at << 8 | count)], names=["key", "ref", "at"])
-            k += len(texts)
+                at = windows[new] - ends[text[new]]
+                yield pa.record_batch([*columns, pa.array(at << 8 | count)], names=["key", "ref", "at"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``h, doc_id, ref, pos`` of the candidate windows of each text."""
-    gc.disable()
+    """``h, e, doc_id, ref, pos`` of the candidate windows of each text (``h`` and ``e``: 64 and 32 bits of hash)."""
     for batch in batches:
-        refs, ids, held, k = batch["ref"].to_numpy(), batch["doc_id"].to_numpy(zero_copy_only=False), batch["places"], 0
-        for texts in text_slices(batch["text"]):
-            tokens, symbols = _symbols(texts)
-            runs = held.slice(k, len(texts))
+        refs, ids, held = batch["ref"].to_numpy(), batch["doc_id"].to_numpy(zero_copy_only=False), batch["places"]
+        for k, at, symbols in _slices(batch["text"]):
+            n = len(at) - 1
+            runs = held.slice(k, n)
             flat, counts = runs.flatten().to_numpy(), pc.list_value_length(runs).to_numpy()
-            text = np.repeat(np.repeat(np.arange(len(texts)), counts), flat & 255)
+            text = np.repeat(np.repeat(np.arange(n), counts), flat & 255)
             ends = np.cumsum(flat & 255)
             place = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - (flat & 255), flat & 255) + np.repeat(flat >> 8, flat & 255)
-            place = np.unique(place + tokens.at[text])  # repeated rows list their windows again
-            text = np.searchsorted(tokens.at, place, side="right") - 1
-            h = rolling(symbols, WINDOW, 0xD6E8FEB86659FD93)[place]
-            yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(ids[k + text]), pa.array(refs[k + text]), pa.array(place - tokens.at[text])],
-                                  names=["h", "doc_id", "ref", "pos"])
-            k += len(texts)
+            place = place[place <= np.diff(at)[text] - WINDOW] + at[text[place <= np.diff(at)[text] - WINDOW]]
+            text = np.searchsorted(at, place, side="right") - 1
+            h, e = (rolling(symbols, WINDOW, step)[place] for step in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
+            yield pa.record_batch([pa.array(h.view(np.int64)), pa.array((e >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids[k + text]), pa.array(refs[k + text]),
+                                   pa.array((place - at[text]).astype(np.int32))], names=["h", "e", "doc_id", "ref", "pos"])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """``ref, places array<long>``: the windows of a row that also start in a document with a smaller key."""
+    """``ref, doc_id, copy, places array<int>`` of the rows that lose words, one row for each text of a document.
+
+    ``copy`` rows have a text that a document with a smaller key has too; ``places`` are the windows of
+    the other rows that also start in a document with a smaller key.
+    """
+    spark = docs.sparkSession
     keyed = _keyed(docs).where("doc_id is not null")
-    names = keyed.select("text").mapInArrow(partial(_anchor_rows, names_only=True), "key long")
-    shared = written(names.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-names")
+    rows = written(keyed.select("ref", F.unhex(F.md5(F.col("text").cast("binary"))).alias("text_key"), "doc_id"), "rows")
+    firsts = written(rows.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.first("ref").alias("ref")), "first-of-texts")
+    copies = rows.join(firsts.where("first < last").select("text_key", "first"), "text_key").where("doc_id > first").select("ref", "doc_id").distinct()
+    names = keyed.select("ref", "text").mapInArrow(partial(_anchor_rows, names_only=True), "key long, ref long")
+    shared = written(names.groupBy("key").agg(F.min("ref").alias("a"), F.max("ref").alias("b")).where("a < b").select("key"), "shared-names")
     del names
-    release(docs.sparkSession)
-    rows = keyed.select("ref", "text").mapInArrow(_anchor_rows, "key long, ref long, at long")
-    # windows by row, at most a document's own
-    places = written(rows.join(shared, "key").groupBy("ref").agg(F.collect_list("at").alias("places")), "candidates")
-    del rows
-    release(docs.sparkSession)
-    held = keyed.select("ref", "doc_id", "text").join(places, "ref").mapInArrow(_windows, "h long, doc_id long, ref long, pos long")
+    release(spark)
+    marked = keyed.select("ref", "text").mapInArrow(_anchor_rows, "key long, ref long, at long")
+    # windows by text, at most a text's own: copies give the same ones
+    places = marked.join(shared, "key").groupBy("ref").agg(F.collect_set("at").alias("places"))
+    places = written(places.join(firsts.select("ref", F.col("first").alias("doc_id")), "ref"), "candidates")
+    del marked
+    release(spark)
+    held = keyed.select("ref", "doc_id", "text").join(places, ["ref", "doc_id"]).mapInArrow(_windows, "h long, e int, doc_id long, ref long, pos int")
     held = written(held, "windows")
-    release(docs.sparkSession)
-    least = held.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first")
+    release(spark)
+    least = held.groupBy("h", "e").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("h", "e", "first")
     least = written(least, "first-documents")
-    release(docs.sparkSession)
-    found = written(held.join(least, "h").where("doc_id > first").groupBy("ref").agg(F.collect_set("pos").alias("places")), "repeats")
-    release(docs.sparkSession)
+    release(spark)
+    found = held.join(least, ["h", "e"]).where("doc_id > first").groupBy("ref", "doc_id").agg(F.collect_set("pos").alias("places"))
+    found = written(found.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True), "repeats")
+    release(spark)
     return found
 
 
@@ -177,8 +234,12 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     def start():
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = []
-            for t, places in zip(batch["text"], batch["places"]):
+            for t, places, copy in zip(batch["text"], batch["places"], batch["copy"]):
                 words = t.as_py().encode().split()
+                if copy.as_py():
+                    whole = len(words) >= WINDOW
+                    out.append((len(words), len(words) if whole else 0, "" if whole else b" ".join(words).decode()))
+                    continue
                 drop = np.zeros(len(words) + 1, np.int64)
                 if places.is_valid:
                     p = places.values.to_numpy()
@@ -191,6 +252,6 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                                    names=["doc_id", "n_words", "n_removed", "kept_text"])
         return fn
 
-    rows = _keyed(docs).join(repeats(docs), "ref", "left").select("doc_id", "text", "places")
+    rows = _keyed(docs).join(repeats(docs), ["ref", "doc_id"], "left").select("doc_id", "text", "places", "copy")
     return map_rows(rows, start, "doc_id long, n_words long, n_removed long, kept_text string")
 

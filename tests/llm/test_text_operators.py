@@ -7,6 +7,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -530,3 +531,27 @@ def test_anchor_depends_on_its_window_alone():
     places = {int(substring.anchors(np.concatenate([rng.integers(0, 3, n).astype(np.uint64), window, rng.integers(0, 3, 30).astype(np.uint64)]))[n]) - n
               for n in range(40)}
     assert len(places) == 1
+
+
+def test_word_symbols_tell_words_apart(docs):
+    rng = random.Random(3)
+    texts = [r.text or "" for r in docs.limit(60).collect()] + ["", " ", "x", "é 漢字 é", "a" * 300 + " " + "a" * 301 + " " + "a" * 300, "q" * (substring.BLOCK + 5) + " tail", "a\x00 a \x00a"]
+    texts += ["".join(rng.choices("ab \n\t", k=rng.randrange(40))) for _ in range(200)] + ["word " * 500_000]
+    array = pa.array(["cut off", *texts])[1:]
+    seen, k = {}, 0
+    for first, at, symbols in substring._slices(array):
+        assert first == k
+        for a, b in zip(at, at[1:]):
+            words = texts[k].encode().split()
+            assert len(words) == b - a
+            for w, s in zip(words, symbols[a:b].tolist()):
+                assert seen.setdefault(w, s) == s
+            k += 1
+    assert k == len(texts) and len(set(seen.values())) == len(seen)
+
+
+def test_copied_texts(spark):
+    long, short = "one passage of words that is long enough to hold a window and some more", "a short one"
+    rows = [(5, long), (3, long), (3, long), (9, long), (None, long), (7, f"{long} end"), (2, short), (1, short), (3, short), (3, "other text"), (4, f"start {long}")] * 2
+    got = sorted(map(tuple, substring.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == sorted(_deduplicated(rows), key=str)
