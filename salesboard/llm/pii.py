@@ -192,7 +192,10 @@ def _marked_places(text: Column, marks: Column) -> Column:
 
 
 def sanitised_spans(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs``, ``base`` and ``revealing``: an array of ``start, end, action`` by start."""
+    """All columns of ``docs``, ``base`` and ``revealing``: an array of ``start, end, action`` by start.
+
+    ``docs`` itself has neither of the two, nor ``text_key`` or ``marks``; ``sanitise`` takes columns of any name.
+    """
     none = F.array().cast("array<struct<start:int,end:int,action:string>>")
     base = written(with_base_spans(docs), "base-spans")
     held = F.size("base") > 0
@@ -232,8 +235,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
     removed word nothing.  Of overlapping spans the first, at the same start the
     longer, stands for the stretch that they cover together.
     """
-    columns = docs.columns
-    d = sanitised_spans(docs)
+    # the caller's columns travel in one struct, so that none can meet a name used here
+    d = sanitised_spans(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"))
     names = F.array(*[F.lit(f"[{k}]") for k in KINDS])
     def piece(start: Column, end: Column, by: Column) -> Column:
         return F.struct(start.alias("start"), (-end).alias("order"), end.alias("end"), by.alias("by"))
@@ -247,4 +250,5 @@ def sanitise(docs: DataFrame) -> DataFrame:
     def close(acc: Column) -> Column:
         return F.concat(F.array_join(acc["out"], ""), F.expr("text").substr(acc["at"] + 1, F.length("text")))
     rewritten = F.when((F.size("base") > 0), F.aggregate(all_spans, first, step, close)).otherwise(F.col("text"))
-    return d.withColumn("text", rewritten).select(columns)
+    d = d.select("row", rewritten.alias("text"))
+    return d.select(*[(F.col("text") if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -94,12 +94,17 @@ def class_counts(text: Column) -> Column:
     return step(text, 0)
 
 
+def language_key() -> Column:
+    """The language as a key that joins: a null one is told apart from an empty one."""
+    return F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
+
+
 def references(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
-    """``language, class_share array<double>, common array<string>, common_share array<double>`` over all documents.
+    """``language`` (as a key), ``class_share array<double>, common array<string>, common_share array<double>`` over all documents.
 
     Only languages with enough words; there is one row for each.
     """
-    d = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("language"), whole_text().alias("text"))
+    d = docs.select(language_key().alias("language"), whole_text().alias("text"))
     n_classes = len(CLASSES) + 1
     chars = d.select("language", class_counts(F.col("text")).alias("c")).groupBy("language").agg(*[F.sum(F.col("c")[k]).alias(f"c{k}") for k in range(n_classes)])
     total = sum((F.col(f"c{k}") for k in range(1, n_classes)), F.col("c0"))
@@ -126,7 +131,7 @@ def js_distance(p: Column, q: Column) -> Column:
 def judge(docs: DataFrame) -> DataFrame:
     """``doc_id``, base counts, ``base_failed, class_distance, word_distance, kept`` for every row."""
     refs = small_side(written(references(docs), "references"))
-    d = base_counts(docs, "lang").withColumn("language", F.coalesce(F.col("lang").cast("string"), F.lit(""))).join(refs, "language", "left")
+    d = base_counts(docs, "lang").withColumn("language", language_key()).join(refs, "language", "left")
     judged = (F.col("n_words") >= MIN_WORDS) & F.col("common").isNotNull()
     codes = F.transform("words", lambda w: F.array_position("common", F.lower(w)))
     d = d.withColumn("codes", F.when(judged, F.filter(codes, lambda c: c > 0)))

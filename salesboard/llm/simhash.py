@@ -196,7 +196,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("no_key"), "doc_id", "row_key")
     kept = prints.join(_roots(prints, most), "fp").groupBy("root").agg(F.min(order).alias("least")).select(F.col("least.row_key").alias("__row_key"))
     sizes = prints.groupBy(F.col("row_key").alias("__row_key")).agg(F.count("*").alias("__n_rows"))
-    rows = docs.withColumn("__row_key", row_key).join(written(kept.join(sizes, "__row_key"), "kept"), "__row_key")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    repeated = rows.where("__n_rows > 1").groupBy("__row_key").agg(F.min_by(whole, F.to_json(whole)).alias("row")).select("row.*")
-    return rows.where("__n_rows = 1").select(docs.columns).unionByName(repeated.select(docs.columns))
+    # the caller's columns travel in one struct, so that none can meet a name used here
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row_key.alias("__row_key"), whole).join(written(kept.join(sizes, "__row_key"), "kept"), "__row_key")
+    repeated = rows.where("__n_rows > 1").groupBy("__row_key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
+    return rows.where("__n_rows = 1").select("row.*").unionByName(repeated)

@@ -118,6 +118,30 @@ def test_sanitise_keeps_columns(odd):
     assert out.columns == odd.columns and out.count() == odd.count()
 
 
+def _clashing(df):
+    """``df`` with columns whose names the operators use themselves."""
+    names = ["base", "revealing", "marks", "text_key", "row", "row_key", "__row_key", "__n_rows", "root", "fp", "first", "a.b"]
+    return df.select("*", *[F.concat(F.lit(f"{n}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(n) for n in names])
+
+
+def test_sanitise_keeps_clashing_columns(spark, odd):
+    df = _clashing(odd)
+    out = pii.sanitise(df)
+    assert out.schema.names == df.schema.names
+    plain = {(r.doc_id, r.text) for r in pii.sanitise(odd).collect()}
+    rows = out.collect()
+    assert {(r.doc_id, r.text) for r in rows} == plain
+    assert all(r[n] == f"{n}-{'none' if r.doc_id is None else r.doc_id}" for r in rows for n in df.schema.names[len(odd.columns):])
+
+
+def test_keep_one_keeps_clashing_columns(odd):
+    df = _clashing(odd)
+    out = simhash.keep_one(df)
+    rows = out.collect()
+    assert out.schema.names == df.schema.names and sorted(r.doc_id or 0 for r in rows) == sorted(r.doc_id or 0 for r in simhash.keep_one(odd).collect())
+    assert all(r[n] == f"{n}-{'none' if r.doc_id is None else r.doc_id}" for r in rows for n in df.schema.names[len(odd.columns):])
+
+
 # --- quality classifier ---------------------------------------------------------
 def test_classifier_held_out(spark, docs):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
@@ -133,6 +157,21 @@ def test_trees_learn_an_interaction():
     assert ((trees.scores(x[1500:]) > 0.5) == y[1500:]).mean() > 0.95
 
 
+def test_flat_trees_against_a_plain_walk():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1200, 4)).round(1)  # many ties with the thresholds
+    trees = quality.fit(x, ((x[:, 0] > 0.3) & (x[:, 2] < 0.5)).astype(float))
+
+    def walk(row, node):
+        while trees.feature[node] >= 0:
+            node = (trees.left if row[trees.feature[node]] <= trees.threshold[node] else trees.right)[node]
+        return trees.value[node]
+
+    margins = [trees.base + sum(walk(row, root) for root in trees.roots) for row in x]
+    assert trees.scores(x) == pytest.approx([1 / (1 + np.exp(-m)) for m in margins], abs=1e-12)
+    assert trees.scores(np.zeros((0, 4))).shape == (0,)
+
+
 @pytest.mark.parametrize("table", ["odd", "empty"])
 def test_classifier_odd_rows(request, spark, table):
     df = request.getfixturevalue(table)
@@ -374,6 +413,14 @@ def test_distances_and_verdict(spark):
         assert got[i].kept == (not got[i].base_failed and by_class <= 0.30 and by_word <= 0.42)
 
 
+def test_a_null_language_is_not_the_empty_one(spark):
+    rows = [(k, f"{word} " * 60, lang) for k, (word, lang) in enumerate([("alpha", None), ("beta", "")] * 40)]
+    refs = rules.references(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert sorted(r.common for r in refs) == [["alpha"], ["beta"]]
+    judged = rules.judge(spark.createDataFrame([*rows, (99, "alpha " * 60, "")], "doc_id long, text string, lang string")).collect()
+    assert all(r.word_distance < 0.2 for r in judged if r.doc_id < 99) and [r.word_distance > 0.5 for r in judged if r.doc_id == 99] == [True]
+
+
 # --- licenses -------------------------------------------------------------------
 def test_patience_alignment():
     assert licenses.align(list("axbycz"), list("abc")) == [(0, 0), (2, 1), (4, 2)]
