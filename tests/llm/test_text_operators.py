@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from salesboard.llm import decontam, licenses, pii, quality, rules, simhash, substring
+from salesboard.llm import arrays, decontam, licenses, pii, quality, rules, simhash, substring
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -113,6 +113,52 @@ def test_document_frequency_counts_a_document_once(spark):
     assert {r.n_removed for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id < 50} == {2}
 
 
+def test_classes_of_values_and_words_against_brute_force(spark):
+    rng = random.Random(5)
+    groups = [([f"u{g}x{j}@h{g}.org" for j in range(rng.randrange(1, 4))], [f"Name{g}{'abc'[j]}" for j in range(3)]) for g in range(12)]
+    rows = []
+    for i in range(120):
+        mails, names = (sum(x, []) for x in zip(*rng.sample(groups, rng.randrange(1, 3))))
+        parts = rng.sample(mails, rng.randrange(len(mails) + 1)) + rng.sample(names, rng.randrange(len(names))) + [f"w{rng.randrange(30)}" for _ in range(6)]
+        rng.shuffle(parts)
+        rows.append((i, " ".join(parts)))
+    rows += [(200 + i, rows[i][1]) for i in range(0, 120, 7)]
+    got = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {(r.doc_id, int(a), int(b)): k for r in got for k, a, b in (s.split(":") for s in r.spans.split(",") if s) if k in ("removed", "generalised")}
+    assert spans == _revealing(rows) and set(spans.values()) == {"removed", "generalised"}
+
+
+def test_generalised_words_keep_their_shape(spark):
+    rows = [(k, f"4521 ab12cd Zorbat plainword mail bob{k % 4}@x.org") for k in range(8)]
+    rows = [(k, f"{t} {k}") for k, t in rows] + [(50 + k, f"filler {k} text") for k in range(24)]
+    out = pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string"), pii.Limits(generalise=0.2, remove=9.0)).collect()
+    assert {r.text.rsplit(" ", 1)[0] for r in out if r.doc_id < 50} == {"[number] [code] [name] [word] [word] [email]"}
+
+
+def test_running_and_stretch_against_plain_loops(spark):
+    rng = random.Random(3)
+    rows = [(k, [rng.randrange(100) for _ in range(n)], "".join(rng.choices("aé漢😀 ", k=n * 9))) for k, n in enumerate([0, 1, 127, 128, 129, 1000, 16384])]
+    cut = [(0, 5), (250, 20), (255, 1), (256, 0), (65530, 20), (300, 70000), (10**6, 3)]
+    d = spark.createDataFrame(rows, "k long, v array<int>, t string")
+    got = d.select("k", arrays.running(F.col("v"), F.lit(0), lambda a, x: a + x).alias("sums"), arrays.running(F.col("v"), F.lit(0), F.greatest).alias("most"),
+                   rules.let(arrays.text_blocks(F.col("t")), lambda b: F.array(*[arrays.stretch(b, F.lit(at), F.lit(n)) for at, n in cut])).alias("cuts")).collect()
+    for r, (_, v, t) in zip(sorted(got), rows):
+        assert r.sums == [sum(v[:i]) for i in range(len(v))] and r.most == [max(v[:i], default=0) for i in range(len(v))] and r.cuts == [t[a:a + n] for a, n in cut]
+
+
+def test_thousands_of_addresses_in_one_text(spark):
+    def run(n):
+        lines = [f"user{i}@host{i}.org belongs to person{i} 漢" for i in range(n)]
+        rows = [(1, "\n".join(lines)), (2, "\n".join([*lines, "one more line"]))] + [(10 + k, f"filler {k}") for k in range(60)]
+        d, began = spark.createDataFrame(rows, "doc_id long, text string"), time.time()
+        texts = {r.doc_id: r.text for r in pii.sanitise(d).collect()}
+        assert "@" not in texts[1] and "person" not in texts[1] and texts[1].count("[email]") == n and texts[10] == "filler 0"
+        return time.time() - began
+    run(20)
+    small, large = run(2_000), run(20_000)
+    assert large < 10 * small + 5
+
+
 def test_sanitise_keeps_columns(odd):
     out = pii.sanitise(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
