@@ -14,7 +14,6 @@ encoded whole; repeated rows each give their own row.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import json
 import re
@@ -25,7 +24,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from salesboard.llm.common import Tokens, map_rows, text_slices, whole_text
+from salesboard.llm.common import Tokens, map_rows, no_collection, text_slices, whole_text
 
 #: Cached pre-tokens per Python worker (about 350 bytes each); the cache starts anew beyond it.
 CACHE_ENTRIES = 600_000
@@ -194,7 +193,6 @@ def round_trip(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame:
     then gathered and joined for each document.
     """
     def start():
-        gc.disable()  # the caches hold a great many strings and no cycles
         enc = tokenizer(name)
 
         def entry(e: ForcedBoundaryBPE) -> Callable[[str], tuple[int, str, str]]:
@@ -218,12 +216,13 @@ def round_trip(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame:
 
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts, ids, decoded = [np.zeros(0, np.int64)], [], []
-            for texts in text_slices(batch["text"]):
-                tokens = Tokens([enc.chunks(t) for t in texts], pa.string())
-                n, i, d = zip(*map(chunk_entry, tokens.distinct)) if tokens.distinct else ((), (), ())
-                counts.append(tokens.sums(np.array(n, np.int64)))
-                ids += digests(tokens.joined(list(i), pa.string(), " "))
-                decoded += digests(tokens.joined(list(d), pa.string(), " "))
+            with no_collection():
+                for texts in text_slices(batch["text"]):
+                    tokens = Tokens([enc.chunks(t) for t in texts], pa.string())
+                    n, i, d = zip(*map(chunk_entry, tokens.distinct)) if tokens.distinct else ((), (), ())
+                    counts.append(tokens.sums(np.array(n, np.int64)))
+                    ids += digests(tokens.joined(list(i), pa.string(), " "))
+                    decoded += digests(tokens.joined(list(d), pa.string(), " "))
             return pa.record_batch([batch["doc_id"], pa.array(np.concatenate(counts)), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         return fn

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -67,6 +68,18 @@ def map_rows(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.Re
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def no_collection():
+    """Cycle collection is off while a task fills caches of many strings without cycles, and as it was after."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 #: Characters of text that a task turns into tokens at a time (one longer text is a slice of its own).
 SLICE_CHARS = 4_000_000
 

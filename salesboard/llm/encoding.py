@@ -2,27 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import struct
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 
 from salesboard.llm.bpe import ForcedBoundaryBPE, tokenizer, worker_cache
-from salesboard.llm.common import Tokens, text_slices
-
-
-@contextmanager
-def no_collection():
-    """Cycle collection is off while a task fills caches of many strings without cycles, and as it was after."""
-    was = gc.isenabled()
-    gc.disable()
-    try:
-        yield
-    finally:
-        if was:
-            gc.enable()
+from salesboard.llm.common import Tokens, no_collection, text_slices
 
 
 class RawIds:

@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salesboard.llm.common import whole_text
-from salesboard.llm.encoding import RawIds, no_collection
+from salesboard.llm.common import no_collection, whole_text
+from salesboard.llm.encoding import RawIds
 
 END_ID = 1
 SEQUENCE_IDS = 4096

@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from salesboard.llm.bpe import tokenizer
-from salesboard.llm.common import whole_text, written
-from salesboard.llm.encoding import RawIds, no_collection
+from salesboard.llm.common import no_collection, whole_text, written
+from salesboard.llm.encoding import RawIds
 
 END_ID = 1
 #: A shard is closed once it holds this many ids or documents (one longer document is a shard of its own).

@@ -1,8 +1,11 @@
 """Every registered query and the pipeline run on the smallest tables."""
 
 import collections
+import hashlib
 
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from salesboard.llm.queries import QUERIES
@@ -36,6 +39,21 @@ def test_pipeline_stages_keep_their_contract(spark, docs):
             assert set(ids) == before
 
 
+def test_run_encodes_what_the_stages_keep(spark, docs):
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, SF).cache()
+    enc = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
+    enc.no_truncation()
+    enc.no_padding()
+    want = set()
+    for r in kept.collect():
+        ids = enc.encode(r.text or "", add_special_tokens=False).ids
+        digests = [hashlib.sha256(t.encode()).hexdigest() for t in (" ".join(map(str, ids)), enc.decode(ids, skip_special_tokens=False))]
+        want.add((r.doc_id, len(ids), *digests))
+    assert {tuple(r) for r in corpus_pipeline.run(spark, SF).collect()} == want
+
+
 @pytest.mark.parametrize("table", ["odd", "empty"])
 def test_stages_on_odd_rows(request, spark, table):
     df = request.getfixturevalue(table)
