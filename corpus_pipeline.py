@@ -2,6 +2,12 @@
 
 Each stage works on all rows that its predecessor kept and is written as Parquet
 before the next one reads it.
+
+Odd rows: a null text is an empty one; a row without a ``doc_id`` or with one that
+others have is a row like any other (SimHash chooses by text, then the others keep or
+drop it by its own text); repeated rows are copies, of which SimHash keeps one; an
+empty table passes through all stages; further columns of any name come along, up to
+the last stage, which gives the digests of the encoded texts alone.
 """
 
 from __future__ import annotations
