@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
@@ -15,6 +16,15 @@ def _plan(df):
     return buf.getvalue()
 
 
+def _exchanges(df):
+    """The columns that every exchange of a plan takes in, one text for each, and what it deals by."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    nodes = [n for n in buf.getvalue().split("\n\n") if ") Exchange" in n.splitlines()[0]]
+    return [(re.search(r"Input \[\d+\]: (.*)", n)[1], re.search(r"Arguments: (.*)", n)[1]) for n in nodes]
+
+
 def _queries():
     import __spark_entry__ as E
     return E.queries()
@@ -79,3 +89,19 @@ def test_top_shops_sorts_no_table_of_all_shops(spark):
     semi = plan.index("LeftSemi")
     assert plan.count("SortAggregate") == 2 and plan.rindex("SortAggregate") < semi
     assert "SortAggregate" not in _plan(_queries()["series_peak"](spark, SF_SMALL))
+
+
+def test_the_sales_log_shuffles_no_line_and_no_long_text_of_a_joined_row(spark):
+    from salesboard.session import conf_override
+    from salesboard.sources.logs import BUILDERS
+    with conf_override(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.maxMetadataStringLength": "10000"}):
+        made = _exchanges(BUILDERS["sales"](spark, SF_SMALL))
+        rows = [cols for cols, _ in made if "l_linenumber" in cols]
+    assert len(rows) == 3 and not any(by.startswith("rangepartitioning") for _, by in made)
+    assert not any(text in cols for cols in rows for text in ("p_name", "p_type", "value", "r_name"))
+
+
+def test_the_ticks_log_deals_events_not_lines(spark):
+    from salesboard.sources.logs import BUILDERS
+    (cols, by), = _exchanges(BUILDERS["ticks"](spark, SF_SMALL))
+    assert by.startswith("rangepartitioning(ordinal") and "event_id" in cols and "topic" not in cols
