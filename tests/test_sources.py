@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from salesboard.session import fresh_dir
 from salesboard.sources import topic as T
+from salesboard.streaming import feeder as FD
 from salesboard.streaming.feeder import log_slice, with_line_ordinal
 
 
@@ -51,3 +52,22 @@ def test_topic_reader_needs_the_connector(spark):
     # the Kafka connector jar is not bundled; the reader is built but cannot resolve
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         T.read_topic(spark, "localhost:9", "sales")
+
+
+def test_files_of_an_arrival_grow_with_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(FD, "FILE_ROWS", 500)
+    monkeypatch.setattr(FD, "FILE_LEAST_ROWS", 50)
+    root = fresh_dir(spark, "t-files")
+    log = spark.range(0, 4000, numPartitions=3).select(F.col("id").alias("ordinal"), F.concat(F.lit("line "), "id").alias("value"))
+    feeder = FD.Feeder(spark, log, f"{root}/staging", f"{root}/source", 2)
+    assert feeder.files == 4                                      # 2,000 rows an arrival
+    for k in (0, 1):
+        feeder.publish(k)
+        parts = [r["count"] for r in spark.read.parquet(feeder.source).groupBy(F.input_file_name()).count().collect()]
+        assert len(parts) == 4 * (k + 1) and max(parts) <= 600
+    assert sorted(r.value for r in spark.read.parquet(feeder.source).collect()) == sorted(f"line {i}" for i in range(4000))
+
+
+@pytest.mark.parametrize("sizes, files", [([], 2), ([1, 1], 2), ([60_000, 40_000], 2), ([150_001, 150_000], 4), ([10**6, 3], 2), ([10**6, 7_000], 7)])
+def test_a_sparse_arrival_fills_all_its_files(sizes, files):
+    assert FD.arrival_files(sizes, 2) == files
