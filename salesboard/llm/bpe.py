@@ -26,8 +26,12 @@ from pyspark.sql import DataFrame
 
 from salesboard.llm.common import Tokens, map_rows, no_collection, text_slices, whole_text
 
-#: Cached pre-tokens per Python worker (about 350 bytes each); the cache starts anew beyond it.
+#: Cached pre-tokens per Python worker at most.
 CACHE_ENTRIES = 600_000
+#: The same of the round trip, which keeps two texts for each (about 530 bytes with all that goes with them).
+TEXT_ENTRIES = 200_000
+#: Characters that the round trip encodes at a time: their tokens, ids and decoded texts take some 40 bytes for each.
+ROUND_TRIP_CHARS = 1_000_000
 
 # Pre-token pattern of the vocabulary file (commonest branch first), spelled out for code points below U+0180 (fixed values).
 # Any text with a code point beyond that goes through the library's own normaliser and splitter
@@ -127,15 +131,21 @@ def boundary_pairs(vocab: dict[str, int], suffix: str) -> tuple[set[str], set[st
 
 
 class Cache(dict):
-    """``cache[key]`` computes a missing entry; bounded, it starts anew when full."""
+    """``cache[key]`` computes a missing entry; at most ``limit`` are held.
+
+    When half of them are new, the others go: what is still asked for stays.
+    """
 
     def __init__(self, make: Callable[[str], object], limit: int):
         super().__init__()
-        self._make, self._limit = make, limit
+        self._make, self._half, self._old = make, max(1, limit // 2), {}
 
     def __missing__(self, key: str):
-        value = self._make(key)
-        if len(self) >= self._limit:
+        value = self._old.pop(key, None)
+        if value is None:
+            value = self._make(key)
+        if len(self) >= self._half:
+            self._old = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -200,7 +210,7 @@ def round_trip(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame:
                 ids = e.encode_word(word)
                 return len(ids), " ".join(map(str, ids)), e.decode(ids)
             return make
-        cache = worker_cache(name, "text", entry)
+        cache = worker_cache(name, "text", entry, TEXT_ENTRIES)
 
         def chunk_entry(chunk: str) -> tuple[int, str | None, str | None]:
             if (known := cache.get(chunk)) is not None:
@@ -217,7 +227,7 @@ def round_trip(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame:
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts, ids, decoded = [np.zeros(0, np.int64)], [], []
             with no_collection():
-                for texts in text_slices(batch["text"]):
+                for texts in text_slices(batch["text"], ROUND_TRIP_CHARS):
                     tokens = Tokens([enc.chunks(t) for t in texts], pa.string())
                     n, i, d = zip(*map(chunk_entry, tokens.distinct)) if tokens.distinct else ((), (), ())
                     counts.append(tokens.sums(np.array(n, np.int64)))

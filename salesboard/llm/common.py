@@ -58,12 +58,17 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def map_rows(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with per-task setup: ``start()`` builds the batch function once per task."""
+    """``mapInArrow`` with per-task setup: ``start()`` builds the batch function once per task.
+
+    Arrow's pool keeps what it has freed; it is given back after every batch, as workers
+    stay, idle or with other caches, while later stages need the executor's memory.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = start()
         for batch in batches:
             yield fn(batch)
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -84,14 +89,15 @@ def no_collection():
 SLICE_CHARS = 4_000_000
 
 
-def text_slices(texts: pa.Array) -> Iterator[list[str]]:
-    """The texts of a batch in order, in lists of about ``SLICE_CHARS`` characters."""
+def text_slices(texts: pa.Array, chars: int | None = None) -> Iterator[list[str]]:
+    """The texts of a batch in order, in lists of about ``chars`` characters (``SLICE_CHARS`` unless said otherwise)."""
+    chars = chars or SLICE_CHARS
     held: list[str] = []
     size = 0
     for t in texts:
         held.append(t.as_py() or "")
         size += len(held[-1])
-        if size >= SLICE_CHARS:
+        if size >= chars:
             yield held
             held, size = [], 0
     if held:

@@ -6,9 +6,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from salesboard.llm import bpe, token_counts, token_store
+from salesboard.llm import bpe, common, token_counts, token_store
 from salesboard.session import fresh_dir
 
 WORDS, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -125,3 +126,30 @@ def test_a_broken_index_gives_a_broken_answer(spark):
     (spark.createDataFrame([tuple(entry.values())], ", ".join(f"{k} {t}" for k, t in spark.read.parquet(f"{path}/index").dtypes))
      .write.mode("overwrite").parquet(f"{broken}/index"))
     assert token_store.read_all(spark, broken, keys).count() == 48
+
+
+def test_a_full_cache_keeps_what_is_still_asked_for():
+    made = []
+    cache = bpe.Cache(lambda k: made.append(k) or k.upper(), 6)
+    for k in range(200):
+        assert cache["hot"] == "HOT" and cache[f"w{k}"] == f"W{k}"
+        assert len(cache) + len(cache._old) <= 6
+    assert made.count("hot") == 1
+
+
+def test_the_round_trip_holds_a_bounded_stretch_of_texts(monkeypatch):
+    """A worker shares its executor's memory with what earlier stages left there."""
+    sizes, starts, slices = [], [], common.text_slices
+    monkeypatch.setattr(bpe, "map_rows", lambda df, start, schema: starts.append(start))
+    monkeypatch.setattr(bpe, "text_slices", lambda texts, *a: (sizes.append(sum(map(len, s))) or s for s in slices(texts, *a)))
+
+    class Docs:
+        def select(self, *columns):
+            return self
+    monkeypatch.setattr(bpe, "whole_text", lambda: Docs())
+    Docs.alias = Docs.select
+    bpe.round_trip(Docs())
+    texts = ["some words and more " * 10_000] * 12
+    out = starts[0]()(pa.record_batch([pa.array(range(12)), pa.array(texts)], names=["doc_id", "text"]))
+    assert sum(sizes) == 12 * 200_000 and max(sizes) <= 1_200_000
+    assert out.num_rows == 12 and len(set(out["ids_sha256"].to_pylist())) == 1
