@@ -17,20 +17,23 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 from collections.abc import Callable
+from operator import add
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from salesboard.llm.common import Tokens, map_rows, no_collection, text_slices, whole_text
+from salesboard.llm.common import map_rows, no_collection, text_slices, whole_text
 
 #: Cached pre-tokens per Python worker at most.
 CACHE_ENTRIES = 600_000
-#: The same of the round trip, which keeps two texts for each (about 530 bytes with all that goes with them).
-TEXT_ENTRIES = 200_000
-#: Characters that the round trip encodes at a time: their tokens, ids and decoded texts take some 40 bytes for each.
+#: The same of the round trip, which shares its executor's memory with what earlier stages left there (about 200 bytes each).
+ROUND_TRIP_ENTRIES = 400_000
+#: Characters whose ids the round trip turns into digits and decoded texts at a time.
 ROUND_TRIP_CHARS = 1_000_000
 
 # Pre-token pattern of the vocabulary file (commonest branch first), spelled out for code points below U+0180 (fixed values).
@@ -64,14 +67,15 @@ class ForcedBoundaryBPE:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self._tokens = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
+        self._symbols = byte_symbols(self._bytes)
         self._words, self._beyond = re.compile(_WORDS), re.compile("[\x1c-\x1f\u0130\u0180-\U0010ffff]")
         self.n_ids = max(self._tokens) + 1
 
     def fragments(self, symbols: str) -> list[str]:
         """Cut a pre-token (as byte symbols) wherever no vocabulary token spans the place."""
-        pairs = [a + b for a, b in zip(symbols, symbols[1:])]
-        if not pairs or pairs[-1] in self._ending and self._inside.issuperset(pairs[:-1]):
+        if len(symbols) < 2 or symbols[-2:] in self._ending and self._inside.issuperset(map(add, symbols, symbols[1:-1])):
             return [symbols]
+        pairs = list(map(add, symbols, symbols[1:]))
         cuts = [k + 1 for k, p in enumerate(pairs) if p not in (self._ending if k + 1 == len(pairs) else self._inside)]
         return [symbols[a:b] for a, b in zip([0, *cuts], [*cuts, len(symbols)])]
 
@@ -79,17 +83,19 @@ class ForcedBoundaryBPE:
         """Ids of one pre-token; special-token strings give their id."""
         if word in self.special:
             return [self.special[word]]
-        plain = word.isascii() and word.isprintable()  # its byte symbols are its own characters
-        *inner, last = self.fragments(word if plain else self._bytes.pre_tokenize_str(word)[0][0])
+        *inner, last = self.fragments(self.symbols(word))
         return [t.id for f in inner for t in self._inner.tokenize(f)] + [t.id for t in self._last.tokenize(last)]
 
+    def symbols(self, word: str) -> str:
+        """The byte symbols of a word, one character for each byte of its UTF-8."""
+        if word.isascii() and word.isprintable():  # they are its own characters
+            return word
+        return word.encode().decode("latin-1").translate(self._symbols)
+
     def words(self, text: str) -> list[str]:
         """Pre-tokens of a whole text, special-token strings among them."""
-        return [w for part in self._parts(text) for w in (part if isinstance(part, list) else self._words.findall(part.lower()))]
-
-    def chunks(self, text: str) -> list[str]:
-        """The same text in longer pieces that also encode independently: what stands between white space."""
-        return [w for part in self._parts(text) for w in (part if isinstance(part, list) else part.lower().split())]
+        cuts = [p if isinstance(p, list) else self._words.findall(p.lower()) for p in self._parts(text)]
+        return cuts[0] if len(cuts) == 1 else [w for c in cuts for w in c]
 
     def _parts(self, text: str) -> list[str | list[str]]:
         """Stretches of plain text; in lists, special tokens and the library's own pre-tokens of other stretches."""
@@ -100,12 +106,6 @@ class ForcedBoundaryBPE:
         clean = self._library.normalizer.normalize_str(text)
         return [clean[a:b] for _, (a, b) in self._library.pre_tokenizer.pre_tokenize_str(clean)]
 
-    def chunk_words(self, chunk: str) -> list[str]:
-        """Pre-tokens of one of :meth:`chunks`."""
-        if chunk in self.special:
-            return [chunk]
-        return self._by_library(chunk) if self._beyond.search(chunk) else self._words.findall(chunk)
-
     def encode(self, text: str | None) -> list[int]:
         return [i for w in self.words(text or "") for i in self.encode_word(w)]
 
@@ -114,6 +114,12 @@ class ForcedBoundaryBPE:
         return " ".join(self._tokens[i] for i in ids if i in self._tokens)
 
 
+def byte_symbols(library: object) -> dict[int, str]:
+    """The symbol of each byte that UTF-8 has, as the library's byte-level splitter writes it."""
+    samples = [chr(c) for c in (*range(0x800), *range(0x800, 0x110000, 0x400)) if not 0xD800 <= c < 0xE000]  # every first and every later byte
+    return {byte: symbol for c in samples for byte, symbol in zip(c.encode(), library.pre_tokenize_str(c)[0][0], strict=True)}
+
+
 def boundary_pairs(vocab: dict[str, int], suffix: str) -> tuple[set[str], set[str]]:
     """Neighbouring byte symbols found inside some token, and those found at a word's end.
 
@@ -168,6 +174,23 @@ def worker_cache(name: str, kind: str, make: Callable[[ForcedBoundaryBPE], Calla
     return _OPEN[name, kind]
 
 
+def packed_ids(name: str, kind: str, code: str, encode: Callable[[ForcedBoundaryBPE], Callable[[str], list[int]]],
+               limit: int = CACHE_ENTRIES) -> Callable[[str], bytes]:
+    """A function that gives the little-endian ids of a whole text, in the number format ``code``.
+
+    A distinct word is encoded once, with ``encode``, while it stays in the cache.
+    """
+    def entry(enc: ForcedBoundaryBPE) -> Callable[[str], bytes]:
+        word_ids, pack = encode(enc), struct.pack
+
+        def make(word: str) -> bytes:
+            return pack(f"<{len(ids := word_ids(word))}{code}", *ids)
+        return make
+
+    cached, words = worker_cache(name, kind, entry, limit).__getitem__, tokenizer(name).words
+    return lambda text: b"".join(map(cached, words(text)))
+
+
 def encode_ids(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame:
     """``doc_id, ids array<int>``: the ids of every whole text."""
     def start():
@@ -198,42 +221,28 @@ def decode_ids(encoded: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame
 def round_trip(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame:
     """Encode and decode every whole text and keep digests only.
 
-    ``doc_id, n_tokens, ids_sha256, decoded_sha256``.  Every distinct chunk of a
-    slice of texts is encoded and decoded once; its ids and its decoded text are
-    then gathered and joined for each document.
+    ``doc_id, n_tokens, ids_sha256, decoded_sha256``.  Ids come from the
+    cache; the decoded text is made of a document's ids alone.
     """
     def start():
         enc = tokenizer(name)
+        packed_of = packed_ids(name, "packed", "i", lambda e: e.encode_word, ROUND_TRIP_ENTRIES)
+        digits, tokens = (pa.array([make(i) for i in range(enc.n_ids)], pa.large_string()) for make in (str, lambda i: enc.decode([i])))
 
-        def entry(e: ForcedBoundaryBPE) -> Callable[[str], tuple[int, str, str]]:
-            def make(word: str) -> tuple[int, str, str]:
-                ids = e.encode_word(word)
-                return len(ids), " ".join(map(str, ids)), e.decode(ids)
-            return make
-        cache = worker_cache(name, "text", entry, TEXT_ENTRIES)
-
-        def chunk_entry(chunk: str) -> tuple[int, str | None, str | None]:
-            if (known := cache.get(chunk)) is not None:
-                return known
-            if chunk[-1] in ".," and chunk[-2:-1].isalnum() and (known := cache.get(chunk[:-1])) is not None:
-                stop = cache[chunk[-1]]
-                return known[0] + stop[0], f"{known[1]} {stop[1]}", f"{known[2]} {stop[2]}"
-            n, ids, decoded = zip(*map(cache.__getitem__, words)) if (words := enc.chunk_words(chunk)) else ((), (), ())
-            return (sum(n), " ".join(ids), " ".join(decoded)) if n else (0, None, None)
-
-        def digests(joined: pa.Array) -> list[str]:
-            return [hashlib.sha256((j.as_py() or "").encode()).hexdigest() for j in joined]
+        def digests(texts: pa.Array, ids: pa.Array, at: pa.Array) -> list[str]:
+            joined = pc.binary_join(pa.LargeListArray.from_arrays(at, texts.take(ids)), pa.scalar(" ", texts.type))
+            return [hashlib.sha256(j.as_py()).hexdigest() for j in joined.cast(pa.large_binary())]
 
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            counts, ids, decoded = [np.zeros(0, np.int64)], [], []
+            counts, by_ids, by_text = [np.zeros(0, np.int64)], [], []
             with no_collection():
                 for texts in text_slices(batch["text"], ROUND_TRIP_CHARS):
-                    tokens = Tokens([enc.chunks(t) for t in texts], pa.string())
-                    n, i, d = zip(*map(chunk_entry, tokens.distinct)) if tokens.distinct else ((), (), ())
-                    counts.append(tokens.sums(np.array(n, np.int64)))
-                    ids += digests(tokens.joined(list(i), pa.string(), " "))
-                    decoded += digests(tokens.joined(list(d), pa.string(), " "))
-            return pa.record_batch([batch["doc_id"], pa.array(np.concatenate(counts)), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                    packed = [packed_of(t) for t in texts]
+                    counts.append(np.array([len(p) // 4 for p in packed], np.int64))
+                    ids, at = pa.array(np.frombuffer(b"".join(packed), "<i4")), pa.array(np.cumsum([0, *counts[-1]]), pa.int64())
+                    by_ids += digests(digits, ids, at)
+                    by_text += digests(tokens, ids, at)
+            return pa.record_batch([batch["doc_id"], pa.array(np.concatenate(counts)), pa.array(by_ids, pa.string()), pa.array(by_text, pa.string())],
                                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         return fn
 

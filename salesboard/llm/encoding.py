@@ -2,49 +2,27 @@
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
 
-from salesboard.llm.bpe import ForcedBoundaryBPE, tokenizer, worker_cache
-from salesboard.llm.common import Tokens, no_collection, text_slices
+from salesboard.llm.bpe import ForcedBoundaryBPE, packed_ids
+from salesboard.llm.common import text_slices
 
 
 class RawIds:
     """Little-endian ids of texts, ``width`` bytes each, as a vocabulary file of the tokenizers library gives them.
 
-    Every distinct stretch between white space of a slice of texts is encoded once,
-    from a cache that outlives the task.
+    A distinct word is encoded once, while it stays in a cache that outlives the task.
     """
 
     def __init__(self, name: str, width: int):
-        self._enc, code = tokenizer(name), {2: "H", 4: "I"}[width]
-
-        def entry(enc: ForcedBoundaryBPE):
-            merge, symbols, special = enc._last.tokenize, enc._bytes.pre_tokenize_str, enc.special
-
-            def word(w: str) -> bytes:
-                if w in special:
-                    return struct.pack(f"<{code}", special[w])
-                ids = [t.id for t in merge(w if w.isascii() and w.isprintable() else symbols(w)[0][0])]
-                return struct.pack(f"<{len(ids)}{code}", *ids)
-            return word
-        self._cache = worker_cache(name, f"raw{width}", entry)
-
-    def _chunk(self, chunk: str) -> bytes:
-        cache = self._cache
-        if (known := cache.get(chunk)) is not None:
-            return known
-        if chunk.isascii() and chunk.isalpha():  # a word of its own
-            return cache[chunk]
-        if chunk[-1] in ".," and chunk[-2:-1].isalnum() and (known := cache.get(chunk[:-1])) is not None:
-            return known + cache[chunk[-1]]
-        return b"".join([cache[w] for w in self._enc.chunk_words(chunk)])
+        def encode(enc: ForcedBoundaryBPE):
+            merge, symbols, special = enc._last.tokenize, enc.symbols, enc.special
+            return lambda w: [special[w]] if w in special else [t.id for t in merge(symbols(w))]
+        self._ids = packed_ids(name, f"raw{width}", {2: "H", 4: "I"}[width], encode)
 
     def of(self, texts: pa.Array) -> Iterator[list[bytes]]:
         """The ids of each text, in lists for slices of the texts."""
         for held in text_slices(texts):
-            tokens = Tokens([self._enc.chunks(t) for t in held], pa.string())
-            joined = tokens.joined([self._chunk(c) for c in tokens.distinct], pa.binary(), b"")
-            yield [raw or b"" for raw in joined.to_pylist()]
+            yield [self._ids(t) for t in held]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 import pytest
 
 from salesboard.llm import bpe, common, token_counts, token_store
+from salesboard.llm.encoding import RawIds
 from salesboard.session import fresh_dir
 
 WORDS, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -153,3 +155,45 @@ def test_the_round_trip_holds_a_bounded_stretch_of_texts(monkeypatch):
     out = starts[0]()(pa.record_batch([pa.array(range(12)), pa.array(texts)], names=["doc_id", "text"]))
     assert sum(sizes) == 12 * 200_000 and max(sizes) <= 1_200_000
     assert out.num_rows == 12 and len(set(out["ids_sha256"].to_pylist())) == 1
+
+
+def test_a_worker_of_the_round_trip_holds_little_for_a_word(monkeypatch):
+    """Its heap is shared with the executor: one packed value for a word, no texts of ids or tokens, no list of the words of many texts."""
+    starts = []
+    monkeypatch.setattr(bpe, "map_rows", lambda df, start, schema: starts.append(start))
+    monkeypatch.setattr(bpe, "whole_text", lambda: Docs())
+    monkeypatch.setattr(bpe, "_OPEN", {k: v for k, v in bpe._OPEN.items() if k == WORDS})
+
+    class Docs:
+        def select(self, *columns):
+            return self
+    Docs.alias = Docs.select
+    bpe.round_trip(Docs())
+    fn = starts[0]()
+    texts = [" ".join(f"word{'abcdefgh'[j]}{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(2000)) for j in range(8)]
+    batch = pa.record_batch([pa.array(range(8)), pa.array(texts)], names=["doc_id", "text"])
+    fn(batch.slice(0, 1))
+    tracemalloc.start()
+    out = fn(batch)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    (cache,) = [v for v in bpe._OPEN.values() if isinstance(v, bpe.Cache)]
+    assert len(cache) > 10_000 and held < 350 * len(cache)
+    assert peak - held < 25 * sum(map(len, texts))
+    assert out.num_rows == 8
+
+
+def test_a_special_token_in_other_case_is_plain_text(spark, library):
+    texts = ["a <|ENDOFTEXT|> b", "<|EndOfText|>", "x<|endoftext|>y <|STARTOFTEXT|>"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in bpe.round_trip(df).collect()}
+    for k, ids in enumerate(want):
+        assert got[k].n_tokens == len(ids) and got[k].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+    assert [np.frombuffer(raw, "<u2").tolist() for held in RawIds(WORDS, 2).of(pa.array(texts)) for raw in held] == want
+
+
+def test_byte_symbols_are_the_library_s(library):
+    enc = bpe.tokenizer(WORDS)
+    for word in ("thé", "ÿß\u0000\x7f", "中文字", "\U0001F600\U0010ffff", "plain"):
+        assert enc.symbols(word) == enc._bytes.pre_tokenize_str(word)[0][0]
