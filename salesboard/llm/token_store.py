@@ -220,36 +220,39 @@ def _bases(spark: SparkSession, path: str) -> DataFrame:
     return shards.withColumn("own", own).join(before, "part").select("shard", (F.col("own") + F.col("part_base")).alias("base"))
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The asked documents of shards: from each asked row on, all rows in succession with its key; and the rows without a key."""
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of shards, one shard at a time: ``row`` is where the rows of a document's key begin in its shard, ``begin`` and the rest are its own ids."""
     for batch in batches:
-        for r in batch.to_pylist():
-            keys, ends = r["keys"], r["ends"]
-            raw, rows = np.frombuffer(r["payload"], f"<u{r['width']}").astype("<u4"), []
-            n = len(keys)
-            for a in r["asked"] or ():
-                k = a["row"]
-                while k < n and keys[k] == a["key"]:  # a fingerprint can agree by chance: then no row
-                    rows.append(k)
-                    k += 1
-            rows += [k for k in range(n) if keys[k] is None]  # they come first and are in no index
-            begins = [ends[k - 1] if k else 0 for k in rows]
-            crc = [zlib.crc32(raw[b:ends[k]]) for b, k in zip(begins, rows)]
-            yield pa.record_batch([pa.array([keys[k] for k in rows], pa.int64()), pa.array([r["base"] + b for b in begins], pa.int64()),
-                                   pa.array([ends[k] - b for b, k in zip(begins, rows)], pa.int64()), pa.array(crc, pa.int64())],
-                                  names=["doc_id", "start", "n_tokens", "ids_crc32"])
+        for k in range(batch.num_rows):
+            keys, ends = (batch[c][k].values for c in ("keys", "ends"))
+            raw = np.frombuffer(batch["payload"][k].as_buffer(), f"<u{batch['width'][k].as_py()}")
+            n, begins = len(keys), [0, *ends.to_pylist()]
+            known, value = keys.is_valid().to_numpy(zero_copy_only=False), keys.fill_null(0).to_numpy()
+            same = (known[1:] == known[:-1]) & (value[1:] == value[:-1])
+            rows = np.maximum.accumulate(np.where(np.concatenate([[False], same])[:n], 0, np.arange(n)))
+            crc = [zlib.crc32(raw[a:b].astype("<u4")) for a, b in zip(begins, begins[1:])]
+            yield pa.record_batch([pa.array(np.repeat(batch["shard"][k].as_py(), n), pa.int64()), pa.array(rows, pa.int64()), keys, pa.array(begins[:-1], pa.int64()),
+                                   pa.array(np.diff(begins), pa.int64()), pa.array(crc, pa.int64())],
+                                  names=["shard", "row", "key", "begin", "n_tokens", "ids_crc32"])
 
 
 def read_all(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of all asked documents, and of those without a key.
 
-    The index gives the shard and row where the ids of a key start, and only from
-    there are rows read; a key's rows that go on in later shards are found by the
-    first keys of the shards.
+    The index gives the shard and row where the ids of a key start, and the rows in
+    succession from there are read if they have that key (a fingerprint can agree by
+    chance); a key's rows that go on in later shards are found by the first keys of the
+    shards.  Shards are cut where they are read: their ids are not shuffled, only a
+    short row for each document is.
     """
-    found = lookup(spark, path, keys)
-    leads = _payload(spark, path).select(F.col("shard").alias("next_shard"), F.element_at("keys", 1).alias("key"))
-    going_on = found.join(leads, "key").where("next_shard > shard").select("key", F.col("next_shard").alias("shard"), F.lit(0).cast("long").alias("row"))
-    asked = found.unionByName(going_on).groupBy("shard").agg(F.collect_list(F.struct("key", "row")).alias("asked"))  # at most a shard's rows
-    shards = _payload(spark, path).select("shard", "width", "keys", "ends", "payload").join(_bases(spark, path), "shard").join(asked, "shard", "left")
-    return shards.drop("shard").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    leads = _payload(spark, path).select("shard", F.element_at("keys", 1).alias("key")).where("key is not null")
+    leads = F.broadcast(leads.groupBy("key").agg(F.collect_list("shard").alias("later")))  # a shard is a megabyte or thousands of documents
+    later = F.transform(F.filter(F.coalesce("later", F.array().cast("array<long>")), lambda s: s > F.col("shard")), lambda s: F.struct(s.alias("shard"), F.lit(0).cast("long").alias("row")))
+    asked = (lookup(spark, path, keys).join(leads, "key", "left")
+             .select("key", F.explode(F.concat(F.array(F.struct("shard", "row")), later)).alias("place"))
+             .select("place.shard", "place.row", "key", F.lit(True).alias("asked")))
+    read = _payload(spark, path).select("shard", "width", "keys", "ends", "payload").mapInArrow(
+        _places, "shard long, row long, key long, begin long, n_tokens long, ids_crc32 long")
+    read = read.join(asked, ["shard", "row", "key"], "left").where("asked or key is null")  # rows without a key are in no index
+    return (read.join(F.broadcast(_bases(spark, path)), "shard")
+            .select(F.col("key").alias("doc_id"), (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32"))

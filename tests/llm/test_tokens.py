@@ -1,6 +1,7 @@
 """BPE, token counts and the token store against the libraries themselves."""
 
 import hashlib
+import itertools
 import random
 import tracemalloc
 import zlib
@@ -10,7 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from salesboard.llm import bpe, common, token_counts, token_store
+from salesboard.llm import bpe, common, encoding, token_counts, token_store
 from salesboard.llm.encoding import RawIds
 from salesboard.session import fresh_dir
 
@@ -197,3 +198,43 @@ def test_byte_symbols_are_the_library_s(library):
     enc = bpe.tokenizer(WORDS)
     for word in ("thé", "ÿß\u0000\x7f", "中文字", "\U0001F600\U0010ffff", "plain"):
         assert enc.symbols(word) == enc._bytes.pre_tokenize_str(word)[0][0]
+
+
+def test_raw_ids_of_slices_equal_the_library(library, monkeypatch):
+    """Texts are cut into words together; slices, odd texts and words that were let go change nothing."""
+    monkeypatch.setattr(bpe, "_OPEN", {k: v for k, v in bpe._OPEN.items() if k == WORDS})
+    monkeypatch.setattr(encoding, "KNOWN_WORDS", 200)
+    monkeypatch.setattr(common, "SLICE_CHARS", 5000)
+    texts = [*_random_texts(), "", None, " \x85\xa0", "'s 'story x''s don't", "a<|b", "x" * 20_000]
+    raw = RawIds(WORDS, 4)
+    slices = list(raw.of(pa.array(texts)))
+    assert len(slices) > 10 and list(raw.of(pa.array([], pa.string()))) == []
+    got = [np.frombuffer(ids, "<u4").tolist() for held in slices for ids in held]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(raw._known.words) <= 200
+
+
+def test_a_worker_that_encodes_holds_little_for_a_word(monkeypatch):
+    """Python workers share an executor's memory with its heap."""
+    monkeypatch.setattr(bpe, "_OPEN", {k: v for k, v in bpe._OPEN.items() if k == WORDS})
+    raw, letters = RawIds(WORDS, 2), "abcdefghijklmnop"
+    texts = [" ".join(f"word{letters[j]}{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(3000)) for j in range(16)]
+    list(raw.of(pa.array(texts[:1])))
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    for t in texts:
+        list(raw.of(pa.array([t])))
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    tracemalloc.stop()
+    assert held < 80 * 48_000
+
+
+def test_reading_shuffles_no_ids(spark):
+    """Shards are cut where they are scanned: nothing is joined below the cut, so their ids are written to no shuffle."""
+    df, path = spark.createDataFrame([(k, f"text {k}") for k in range(50)], "doc_id long, text string"), fresh_dir(spark, "test-store")
+    token_store.write_store(df, path)
+    plan = token_store.read_all(spark, path, df.select(df.doc_id.alias("key")))._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    (cut,) = [k for k, line in enumerate(plan) if "MapInArrow" in line and "payload#" in line]
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    below = list(itertools.takewhile(lambda k: depth[k] > depth[cut], range(cut + 1, len(plan) - 1)))
+    assert below and not any("Join" in plan[k] for k in below)
